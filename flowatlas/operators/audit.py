@@ -48,10 +48,12 @@ def audit_numeric_quality(df: DataFrame, dataset: str, columns: dict[str, str])
     """Per raw string column (``columns``: raw column -> audit label): rows,
     observed, blank, redacted, zero, negative and non-numeric counts, and
     sum / min / max of the observed values. One unpivot, one group-by."""
-    long = df.select(*[F.col(c).cast(T.StringType()).alias(lbl) for c, lbl in columns.items()]) \
-        .unpivot([], list(columns.values()), "column", "raw")
-    m = measure_columns("raw", "m")
-    x = long.select("column", *[e.alias(k) for k, e in m.items()])
+    # parse each raw column into a struct of measures, then unpivot the
+    # structs (parsing before the Expand keeps the generated code small)
+    measured = df.select(*[
+        F.struct(*[e.alias(k) for k, e in measure_columns(F.col(c).cast(T.StringType()), "m").items()])
+        .alias(lbl) for c, lbl in columns.items()])
+    x = measured.unpivot([], list(columns.values()), "column", "m").select("column", "m.*")
     return x.groupBy("column").agg(
         F.count(F.lit(1)).alias("rows"),
         F.count("m_observed").alias("observed_nonmissing_rows"),
