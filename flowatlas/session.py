@@ -11,6 +11,7 @@ from pyspark.sql import SparkSession
 # partitions at run time, and the UI server stays off.
 BASE_CONF = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -27,6 +28,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     if master:
         b = b.master(master)
     conf = dict(BASE_CONF)
+    if master and master.startswith("local"):
+        # local mode: the driver JVM is the only executor
+        conf["spark.driver.memory"] = os.environ.get("FLOWATLAS_DRIVER_MEMORY", "16g")
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
