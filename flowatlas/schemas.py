@@ -75,6 +75,15 @@ STOCK_REQUIRED = [
     "origin_country_std", "origin_iso3", "origin_map_eligible_flag",
 ]
 
+STOCK_SCHEMA = T.StructType(
+    [T.StructField("year", T.IntegerType()), T.StructField("population_type_std", T.StringType()),
+     T.StructField("value_observed", T.DoubleType())]
+    + [T.StructField(f"{r}_{c}", t) for r in ("origin", "host")
+       for c, t in (("country_std", T.StringType()), ("iso3", T.StringType()),
+                    ("mapping_status", T.StringType()), ("map_eligible_flag", T.BooleanType()))]
+    + [T.StructField(f"value_is_{c}", T.BooleanType()) for c in ("blank", "redacted", "zero", "negative_raw")]
+    + [T.StructField("source_key", T.LongType()), T.StructField("source_line", T.IntegerType())])
+
 # Raw tables are read as all-string columns: parsing is an explicit step.
 RAW_STOCK_SCHEMA = T.StructType([
     T.StructField("year_raw", T.StringType()),

@@ -311,8 +311,10 @@ def oracle_ctes(*names: str) -> str:
 def oracle(body: str, *names: str) -> str:
     """Oracle SQL: fixture CTEs, then ``body``. A body starting with ','
     continues the CTE list with its own CTEs."""
-    head = oracle_ctes(*names)
     body = body.strip()
+    if not names:
+        return body
+    head = oracle_ctes(*names)
     return head + ("\n" if body.startswith(",") else "\n") + body
 
 
