@@ -22,11 +22,12 @@ from flowatlas.schemas import DRIVER_SCHEMAS
 from flowatlas.session import checkpoint_dir
 from flowatlas.sources import fixtures
 
-# Views that re-run the big line-item join and are worth materialising.
-SILVER_VIEWS = ("stock", "decisions", "resettlement", "apps_monthly", "raw_stock",
+# Views worth materialising: the line-item join (once), then the tables
+# derived from it, which then read the silver join instead of re-joining.
+SILVER_VIEWS = ("stock_base", "stock", "decisions", "resettlement", "apps_monthly", "raw_stock",
                 "demographics_wide", "poc_wide")
 
-_LOCK = threading.Lock()
+_LOCK = threading.RLock()
 _CATALOGS: dict[tuple[str, str, bool], "Catalog"] = {}
 
 
@@ -103,6 +104,8 @@ class Catalog:
             key = f"__final__{name}"
             if key in tables:
                 return tables[key]
+            for dep in fixtures.VIEWS[name][1]:
+                self.view(dep)  # silver dependencies are materialised first
             df = fixtures.spark_view(self.spark, tables, name)
             if name in SILVER_VIEWS and self.silver_dir:
                 df = self._materialize(name, df)
