@@ -120,3 +120,21 @@ GROUP BY year, age_group, sex, age_order
 """, views=("demographics_wide",))
 def q_demographics_latest(spark, sf):
     return fl.demographics_latest(views(spark, sf).view("demographics_wide"))
+
+
+@register("streaming_monthly_applications", _MONTHLY + "SELECT * FROM monthly", views=("apps_monthly",))
+def q_streaming_monthly_applications(spark, sf):
+    """The monthly aggregation run as a stream over the monthly table written
+    as parquet files (one folder per year) into the checkpoint folder."""
+    import uuid
+
+    from flowatlas.plans.io_plans import scratch
+    from flowatlas.streaming.monthly import monthly_applications_stream, run_available
+
+    base = scratch(spark, sf, "stream")
+    src = f"{base}/source"
+    apps = views(spark, sf).view("apps_monthly")
+    apps.write.mode("overwrite").partitionBy("year").parquet(src)
+    agg = monthly_applications_stream(spark, src, apps.schema)
+    run = uuid.uuid4().hex[:12]  # a fresh stream (and state) per call
+    return run_available(agg, f"monthly_stream_{run}", f"{base}/checkpoint_{run}")
