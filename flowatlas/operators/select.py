@@ -24,11 +24,13 @@ def latest_year(df: DataFrame) -> DataFrame:
 
 def filter_year(df: DataFrame, year) -> DataFrame:
     """``year`` int: equality (pushed down / partition-pruned); ``"latest"``:
-    semi-join with the one-row max-year aggregate; ``None``: all years."""
+    equality with a scalar subquery of the max year - on a year-partitioned
+    table the subquery reads partition values only and the scan keeps the
+    selected partition (runtime partition filter); ``None``: all years."""
     if year is None:
         return df
     if year == LATEST:
-        return df.join(F.broadcast(latest_year(df)), "year", "left_semi")
+        return df.filter(F.col("year") == latest_year(df).scalar())
     return df.filter(F.col("year") == F.lit(int(year)))
 
 

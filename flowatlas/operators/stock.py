@@ -110,11 +110,11 @@ def rank_entities(df: DataFrame, role: str, n: int) -> DataFrame:
     """Top ``n`` entities of a role: clean -> sum -> positive -> top n ->
     rank 1..n; share is of the total over all cleaned rows."""
     name, iso = f"{role}_country_std", f"{role}_iso3"
-    d = clean_entities(df, role)
-    total = d.agg(F.sum(V)).scalar()
-    top = (d.dropna(subset=[name, iso]).groupBy(name, iso).agg(sum0(V).alias(V))
-           .filter(F.col(V) > 0)
-           .orderBy(F.col(V).desc(), F.col(name), F.col(iso)).limit(int(n)))
+    g = clean_entities(df, role).dropna(subset=[name, iso]).groupBy(name, iso).agg(sum0(V).alias(V))
+    # the denominator is summed from the same grouped frame, so its scan and
+    # shuffle are reused by the subquery (a cleaned row always has a name)
+    total = g.agg(F.sum(V)).scalar()
+    top = g.filter(F.col(V) > 0).orderBy(F.col(V).desc(), F.col(name), F.col(iso)).limit(int(n))
     return (_rank_numbers(top, [F.col(V).desc(), F.col(name), F.col(iso)])
             .withColumn("share", share(F.col(V), total)))
 
@@ -123,13 +123,10 @@ def rank_entities_full(df: DataFrame, role: str, n: int) -> DataFrame:
     """``rank_entities`` with mapping status, map flag and row counts."""
     name, iso = f"{role}_country_std", f"{role}_iso3"
     st, fl = f"{role}_mapping_status", f"{role}_map_eligible_flag"
-    d = clean_entities(df, role)
-    total = d.agg(F.sum(V)).scalar()
-    top = (d.dropna(subset=[name, iso]).groupBy(name, iso, st, fl)
-           .agg(sum0(V).alias(V), F.count(F.lit(1)).alias("source_rows"),
-                F.count(V).alias("observed_rows"))
-           .filter(F.col(V) > 0)
-           .orderBy(F.col(V).desc(), F.col(name), F.col(iso)).limit(int(n)))
+    g = (clean_entities(df, role).dropna(subset=[name, iso]).groupBy(name, iso, st, fl)
+         .agg(sum0(V).alias(V), F.count(F.lit(1)).alias("source_rows"), F.count(V).alias("observed_rows")))
+    total = g.agg(F.sum(V)).scalar()
+    top = g.filter(F.col(V) > 0).orderBy(F.col(V).desc(), F.col(name), F.col(iso)).limit(int(n))
     return (_rank_numbers(top, [F.col(V).desc(), F.col(name), F.col(iso)])
             .withColumn("share_of_selected_total", share(F.col(V), total)))
 
