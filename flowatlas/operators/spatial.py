@@ -57,9 +57,11 @@ def corridor_year(df: DataFrame, centroid: DataFrame) -> DataFrame:
     out = out.withColumn("previous_year_flow", F.sum(V).over(pair_w))
 
     def end_prev(end: str, name: str) -> DataFrame:
+        # one row per (year, country): bounded by the country dimension
+        # times the years, whatever the data size - safe to broadcast
         tot = out.groupBy("year", end).agg(F.sum(V).alias("_t"))
         w = Window.partitionBy(end).orderBy("year").rangeBetween(-1, -1)
-        return tot.select("year", end, F.sum("_t").over(w).alias(name))
+        return F.broadcast(tot.select("year", end, F.sum("_t").over(w).alias(name)))
 
     out = (out.join(end_prev("origin", "origin_total_previous_year"), ["year", "origin"], "left")
            .join(end_prev("host", "host_total_previous_year"), ["year", "host"], "left"))

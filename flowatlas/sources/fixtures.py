@@ -75,15 +75,19 @@ WHERE k < 20
 """)
 
 # One line item = one stock cell, with the keys the other fixtures need.
+# Join order: orders meet customers first (the smaller pair), so the line
+# items are shuffled once by order key against (order key, host nation)
+# pairs only; the supplier side is a nation lookup by supplier key.
 _view("stock_base", (), """
 SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_quantity,
        l.l_returnflag, l.l_linestatus,
        cast(extract(year FROM l.l_shipdate) AS int) AS year,
        s.s_nationkey AS origin_k,
-       c.c_nationkey AS host_k
+       oc.c_nationkey AS host_k
 FROM {lineitem} l
-JOIN {orders} o ON l.l_orderkey = o.o_orderkey
-JOIN {customer} c ON o.o_custkey = c.c_custkey
+JOIN (SELECT o.o_orderkey, c.c_nationkey
+      FROM {orders} o JOIN {customer} c ON o.o_custkey = c.c_custkey) oc
+  ON l.l_orderkey = oc.o_orderkey
 JOIN {supplier} s ON l.l_suppkey = s.s_suppkey
 """)
 
