@@ -133,7 +133,7 @@ def check_no_negative(df: DataFrame, dataset: str, columns: list[str]) -> DataFr
 
 def validate_required_columns(df: DataFrame, dataset: str, required: list[str]) -> DataFrame:
     """Schema guard as a check row: the required columns missing from the
-    table (computed from its schema with ``array_except``)."""
+    table (``array_except`` of the required list and the table's columns)."""
     have = F.array(*[F.lit(c) for c in df.columns])
     need = F.array(*[F.lit(c) for c in required])
     missing = F.array_join(F.array_except(need, have), " | ")
@@ -143,6 +143,21 @@ def validate_required_columns(df: DataFrame, dataset: str, required: list[str])
         F.concat(F.lit("missing="), missing).alias("detail"))
 
 
+def required_columns_checklist(tables: dict[str, DataFrame], required: dict[str, list[str]]) -> DataFrame:
+    """Per table: rows, column count, required and missing columns, status."""
+    parts = []
+    for name, df in tables.items():
+        have = F.array(*[F.lit(c) for c in df.columns])
+        need = F.array(*[F.lit(c) for c in required[name]])
+        missing = F.array_join(F.array_except(need, have), " | ")
+        parts.append(df.agg(F.count(F.lit(1)).alias("rows")).select(
+            F.lit(name).alias("dataset"), "rows", F.lit(len(df.columns)).alias("columns"),
+            F.lit(" | ".join(required[name])).alias("required_columns"),
+            missing.alias("missing_required_columns"),
+            F.when(missing == "", F.lit("PASS")).otherwise(F.lit("FAIL")).alias("status")))
+    return _union(parts)
+
+
 def check_unmapped(unmapped: DataFrame) -> DataFrame:
     """Unmapped labels are kept (status ``unmapped``) and listed, so their
     presence is documented rather than a failure."""

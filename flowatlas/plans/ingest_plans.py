@@ -328,6 +328,17 @@ def _required_sql():
     return "\nUNION ALL\n".join(parts)
 
 
+@register("validate_required_columns", "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS dataset, count(*) AS rows, {len(DATASET_COLUMNS[t])} AS columns, "
+    f"'{' | '.join(req)}' AS required_columns, "
+    f"'{' | '.join(c for c in req if c not in DATASET_COLUMNS[t])}' AS missing_required_columns, "
+    f"'{'PASS' if all(c in DATASET_COLUMNS[t] for c in req) else 'FAIL'}' AS status FROM {t}"
+    for t, req in REQUIRED.items()), views=tuple(REQUIRED))
+def q_validate_required_columns(spark, sf):
+    cat = views(spark, sf)
+    return au.required_columns_checklist({t: cat.view(t) for t in REQUIRED}, REQUIRED)
+
+
 @register("quality_gate", RECONCILED_SQL + f"""
 , checks AS (
 SELECT 'no_row_loss__stock' AS "check",

@@ -139,14 +139,15 @@ SELECT * FROM (VALUES
 ) AS t(scope, population_type_std)
 """)
 
-# Host-country denominators per (iso3, year); missing when k % 5 = 4.
-_view("population", ("entity",), """
+# Host-country denominators per (iso3, year) present in the data (one row
+# per host and year, from an equi-join); missing when k % 5 = 4.
+_view("population", ("entity", "stock_base"), """
 SELECT e.iso3, y.year,
        CASE WHEN e.k % 5 = 4 THEN NULL ELSE cast(100000 * (e.k + 1) AS double) END AS population_total,
        CASE WHEN e.k % 5 = 4 THEN NULL ELSE cast(1000 * (e.k + 3) AS double) END AS gdp_per_capita,
        CASE WHEN e.k % 5 = 4 THEN NULL WHEN e.k < 10 THEN 'Low income' ELSE 'High income' END AS income_group
-FROM entity e
-CROSS JOIN (SELECT DISTINCT cast(extract(year FROM l_shipdate) AS int) AS year FROM {lineitem}) y
+FROM (SELECT DISTINCT host_k, year FROM stock_base) y
+JOIN entity e ON e.k = y.host_k
 WHERE e.iso3 IS NOT NULL
 """)
 
