@@ -8,6 +8,7 @@ what is checked is the round trip.
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import functions as F
 
@@ -16,15 +17,15 @@ from flowatlas.operators.select import filter_selection
 from flowatlas.plans.common import register, views
 from flowatlas.plans.stock_plans import F0, _rank_sql
 from flowatlas.schemas import DRIVER_SCHEMAS, RAW_STOCK_SCHEMA, STOCK_SCHEMA
-from flowatlas.session import checkpoint_dir
+from flowatlas.session import checkpoint_dir, ensure_checkpoint_dir
 from flowatlas.sources import sinks
 from flowatlas.sources.catalog import load_catalog, scan_first_available, scan_table
 
 
 def scratch(spark, sf: str, key: str) -> str:
-    base = checkpoint_dir(spark)
-    if not base:
-        raise RuntimeError("this query writes files: set spark.checkpoint.dir")
+    """Output folder of a writing query under the session's checkpoint
+    folder; a session without one (a local test run) gets a fresh one."""
+    base = checkpoint_dir(spark) or ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="run-", dir="/tmp"))
     return f"{base}/flowatlas_out/{os.path.basename(sf.rstrip('/'))}/{key}"
 
 
