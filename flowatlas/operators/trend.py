@@ -38,7 +38,8 @@ def ols_fit(annual: DataFrame, group_cols: list[str] | None = None, holdout: int
     the last training year and its value, and the last observed year."""
     annual, g = _grouped(annual, group_cols)
     r = _ranked(annual, g, holdout)
-    t = r.withColumn("_x0", F.min("year").over(Window.partitionBy(*g))).withColumn("_x", (F.col("year") - F.col("_x0")).cast("double"))
+    t = (r.withColumn("_x0", F.min("year").over(Window.partitionBy(*g)))
+         .withColumn("_x", (F.col("year") - F.col("_x0")).cast("double")))
     tr = F.col("_is_holdout") == F.lit(False)
     y = F.col("value_observed")
     agg = t.groupBy(*g).agg(
@@ -79,13 +80,29 @@ def trend_forecast(annual: DataFrame, horizon: int = 5, holdout: int = 3,
 def forecast_compare(annual: DataFrame, holdout: int = 3,
                      group_cols: list[str] | None = None) -> DataFrame:
     """Hold-out MAE of the naive last-value forecast and of the linear
-    trend, per group (one fit row per group, joined on the group key)."""
+    trend, per group. The fit's sums are window aggregates over the group's
+    annual rows (a handful of years per group), so each hold-out row sees its
+    group's slope and intercept without a join."""
     keep = list(group_cols or [])
     annual, g = _grouped(annual, group_cols)
-    fit = ols_fit(annual, g, holdout)
-    r = _ranked(annual, g, holdout).filter(F.col("_is_holdout"))
-    j = r.join(fit.select(*g, "x0", "slope", "intercept", "last_train_value"), g, "inner")
-    err = j.select(*g, F.abs(F.col("value_observed") - F.col("last_train_value")).alias(NAIVE),
-                   F.abs(F.col("value_observed") - _predict(F.col("year"))).alias(LINEAR))
+    w = Window.partitionBy(*g)
+    t = _ranked(annual, g, holdout)
+    t = t.withColumn("_x", (F.col("year") - F.min("year").over(w)).cast("double"))
+    tr = F.col("_is_holdout") == F.lit(False)
+    y = F.col("value_observed")
+    t = t.select(
+        *g, "year", "_x", "_is_holdout", y,
+        F.sum(F.when(tr, F.lit(1.0))).over(w).alias("n"),
+        F.sum(F.when(tr, F.col("_x"))).over(w).alias("sx"),
+        F.sum(F.when(tr, y)).over(w).alias("sy"),
+        F.sum(F.when(tr, F.col("_x") * y)).over(w).alias("sxy"),
+        F.sum(F.when(tr, F.col("_x") * F.col("_x"))).over(w).alias("sxx"),
+        F.max_by(F.when(tr, y), F.when(tr, F.col("year"))).over(w).alias("last_train_value"))
+    slope = ((F.col("n") * F.col("sxy") - F.col("sx") * F.col("sy"))
+             / (F.col("n") * F.col("sxx") - F.col("sx") * F.col("sx")))
+    t = t.filter(F.col("_is_holdout")).withColumn("slope", slope) \
+        .withColumn("intercept", (F.col("sy") - F.col("slope") * F.col("sx")) / F.col("n"))
+    err = t.select(*g, F.abs(y - F.col("last_train_value")).alias(NAIVE),
+                   F.abs(y - (F.col("intercept") + F.col("slope") * F.col("_x"))).alias(LINEAR))
     mae = err.groupBy(*g).agg(F.avg(NAIVE).alias(NAIVE), F.avg(LINEAR).alias(LINEAR))
     return mae.unpivot(g, [NAIVE, LINEAR], "model", "holdout_mae").select(*keep, "model", "holdout_mae")
