@@ -35,3 +35,43 @@ def test_flagship_plan_shape(spark):
     assert "partial_sum" in text                                               # map-side combine
     assert "TakeOrderedAndProject" in text                                     # top-N, no global sort
     assert "ReadSchema: struct<population_type_std:string,value_observed:double,host_country_std" in text
+
+
+_PASS_THROUGH = ("Project", "Filter", "ColumnarToRow", "WholeStageCodegen", "InputAdapter", "Expand",
+                 "Generate", "Sort")
+
+
+def _raw_row_exchanges(node, out):
+    """Shuffle exchanges whose input is a scan reached through row-wise
+    operators only, i.e. shuffles of raw rows without map-side combine."""
+    kids = [node.children().apply(i) for i in range(node.children().size())]
+    name = node.nodeName()
+    if "Exchange" in name and "Broadcast" not in name and kids:
+        cur = kids[0]
+        while True:
+            n = cur.nodeName()
+            if "Scan" in n:
+                out.append(node.toString().splitlines()[0])
+                break
+            if any(p in n for p in _PASS_THROUGH) and cur.children().size() == 1:
+                cur = cur.children().apply(0)
+                continue
+            break
+    for k in kids:
+        _raw_row_exchanges(k, out)
+
+
+# gzip CSV is not splittable: its one-task read is spread out on purpose
+RAW_SHUFFLE_OK = {"scan_stock", "fit_forest"}
+
+
+@pytest.mark.parametrize("key", sorted(k for k in QUERIES if k not in RAW_SHUFFLE_OK))
+def test_no_raw_row_shuffle(spark, key):
+    """A hot key holding a third of the rows only ever reaches a shuffle as
+    partial aggregates: no query shuffles raw rows."""
+    plan = QUERIES[key](spark, SF_SMALL)._jdf.queryExecution().executedPlan()
+    if plan.nodeName() == "AdaptiveSparkPlan":
+        plan = plan.inputPlan()
+    out = []
+    _raw_row_exchanges(plan, out)
+    assert not out, f"{key}: {out}"
