@@ -85,6 +85,21 @@ def assembler() -> VectorAssembler:
     return VectorAssembler(inputCols=FEATURE_COLUMNS, outputCol="features")
 
 
+def _split_memory_mb(spark) -> int:
+    """Memory for split statistics per pass: 1/8 of the executor heap
+    (the driver's in local mode), between 128 and 1024 MB."""
+    conf = spark.sparkContext.getConf()
+    master = conf.get("spark.master", "")
+    raw = conf.get("spark.driver.memory" if master.startswith("local") else "spark.executor.memory", "1g")
+    units = {"k": 1 / 1024, "m": 1, "g": 1024, "t": 1024 * 1024}
+    r = raw.strip().lower().rstrip("b")
+    try:
+        mb = float(r[:-1]) * units[r[-1]] if r[-1] in units else float(r) / (1024 * 1024)
+    except ValueError:
+        mb = 1024
+    return int(min(1024, max(128, mb // 8)))
+
+
 def fit_forest(cy: DataFrame, n_trees: int = 140, seed: int = 42, max_depth: int = 30,
                max_bins: int = 256) -> ForestBundle:
     """Train on the non-test years (checked by the gates first: one
@@ -96,8 +111,9 @@ def fit_forest(cy: DataFrame, n_trees: int = 140, seed: int = 42, max_depth: int
     rf = RandomForestRegressor(featuresCol="features", labelCol="target_log_flow", numTrees=int(n_trees),
                                minInstancesPerNode=2, featureSubsetStrategy="all", maxDepth=int(max_depth),
                                maxBins=int(max_bins), seed=int(seed), subsamplingRate=1.0, bootstrap=True,
-                               # fewer, larger passes over the data for deep trees
-                               maxMemoryInMB=1024, cacheNodeIds=True)
+                               # fewer, larger passes over the data for deep trees,
+                               # within an eighth of the executor heap
+                               maxMemoryInMB=_split_memory_mb(cy.sparkSession), cacheNodeIds=True)
     model = Pipeline(stages=[assembler(), rf]).fit(train)
     return ForestBundle(True, "OK", model, g["train_rows"], g["test_rows"])
 

@@ -86,6 +86,7 @@ class Catalog:
                                         os.path.basename(self.sf_dir) or "root")
                            if base else None)
         self._views: dict[str, DataFrame] = {}
+        self._locks: dict[str, threading.Lock] = {}
 
     # driver tables ---------------------------------------------------------
     def driver(self, name: str) -> DataFrame:
@@ -98,21 +99,40 @@ class Catalog:
         return self._views
 
     # displacement views ---------------------------------------------------
+    def _lock_for(self, name: str) -> threading.Lock:
+        with _LOCK:
+            return self._locks.setdefault(name, threading.Lock())
+
     def view(self, name: str) -> DataFrame:
+        """The view as a DataFrame; silver views are written once and read
+        back. One lock per view: different views build concurrently."""
+        key = f"__final__{name}"
         with _LOCK:
             tables = self._tables()
-            key = f"__final__{name}"
             if key in tables:
                 return tables[key]
-            for dep in fixtures.VIEWS[name][1]:
-                self.view(dep)  # silver dependencies are materialised first
-            df = fixtures.spark_view(self.spark, tables, name)
+        for dep in fixtures.VIEWS[name][1]:
+            self.view(dep)  # silver dependencies are materialised first
+        with self._lock_for(name):
+            with _LOCK:
+                if key in tables:
+                    return tables[key]
+                df = fixtures.spark_view(self.spark, dict(tables), name)
             if name in SILVER_VIEWS and self.silver_dir:
                 df = self._materialize(name, df)
+            with _LOCK:
                 tables[name] = df  # dependants built later read the silver copy
-            tables[key] = df
+                tables[key] = df
             return df
 
+    def build_silver(self, threads: int = 4) -> None:
+        """Write every silver view: the line-item join first (the others read
+        it), then the rest as concurrent Spark jobs."""
+        from concurrent.futures import ThreadPoolExecutor
+        self.view(SILVER_VIEWS[0])
+        with ThreadPoolExecutor(max_workers=threads) as ex:
+            list(ex.map(self.view, SILVER_VIEWS[1:]))
+
     def _materialize(self, name: str, df: DataFrame) -> DataFrame:
         path = f"{self.silver_dir}/{name}"
         if not path_exists(self.spark, f"{path}/_SUCCESS"):
