@@ -77,6 +77,3 @@ def band_order(band) -> Column:
         expr = (F.when(b == name, F.lit(i)) if expr is None else expr.when(b == name, F.lit(i)))
     return expr.cast(T.IntegerType())
 
-
-def round_to(c, digits: int) -> Column:
-    return F.round(col(c), digits)

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowatlas.functions.columns import share, sum0
-from flowatlas.operators.select import clean_entities, filter_selection, filter_year, latest_year
+from flowatlas.operators.select import clean_entities, filter_selection, filter_year
 from flowatlas.schemas import (
     ACTIVE_FORCED_TYPES, CRISIS_ORIGIN, CROSS_BORDER_TYPES, DEFAULT_CRISIS, LATEST, POP_ASYLUM, POP_IDPS, POP_REFUGEES,
     Filters, crisis_focus_origin,

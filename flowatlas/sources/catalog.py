@@ -16,7 +16,6 @@ import os
 import threading
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from flowatlas.schemas import DRIVER_SCHEMAS
 from flowatlas.session import checkpoint_dir
@@ -178,10 +177,3 @@ def load_catalog(spark: SparkSession, sf_dir: str, prefix: str = "") -> dict[str
         out[name] = df
     return out
 
-
-def empty_like(df: DataFrame) -> DataFrame:
-    return df.limit(0)
-
-
-def with_lit(df: DataFrame, **cols) -> DataFrame:
-    return df.select("*", *[F.lit(v).alias(k) for k, v in cols.items()])
