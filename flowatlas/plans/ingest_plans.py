@@ -240,9 +240,10 @@ def q_audit_numeric_quality(spark, sf):
 
 
 @register("audit_quality_rollup", _NQ + """
-SELECT dataset, count(*) AS numeric_columns, sum(observed_nonmissing_rows) AS observed_cells,
-       sum(zero_rows) AS zero_cells, sum(blank_rows) AS blank_cells, sum(redacted_star_rows) AS redacted_star_cells,
-       sum(negative_raw_rows) AS negative_raw_cells, coalesce(sum(observed_sum), 0) AS observed_sum_all_numeric
+SELECT dataset, count(*) AS numeric_columns, cast(sum(observed_nonmissing_rows) AS bigint) AS observed_cells,
+       cast(sum(zero_rows) AS bigint) AS zero_cells, cast(sum(blank_rows) AS bigint) AS blank_cells,
+       cast(sum(redacted_star_rows) AS bigint) AS redacted_star_cells,
+       cast(sum(negative_raw_rows) AS bigint) AS negative_raw_cells, coalesce(sum(observed_sum), 0) AS observed_sum_all_numeric
 FROM nq GROUP BY dataset
 """, views=("raw_stock",))
 def q_audit_quality_rollup(spark, sf):

@@ -150,7 +150,7 @@ _OLS_SQL = f"""
 @register("trend_forecast", _OLS_SQL + """
 SELECT year, round(value_observed, 6) AS value_observed, 'observed' AS series FROM an
 UNION ALL
-SELECT last_year + k AS year, round(intercept + slope * cast(last_year + k - x0 AS double), 6),
+SELECT cast(last_year + k AS int) AS year, round(intercept + slope * cast(last_year + k - x0 AS double), 6),
        'linear_trend_forecast_exploratory' FROM f3, range(1, 6) t(k)
 """)
 def q_trend_forecast(spark, sf):

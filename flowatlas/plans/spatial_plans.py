@@ -142,7 +142,7 @@ def _feature_sql():
     for c in FEATURE_COLUMNS:
         if c.startswith("band__"):
             b = c[len("band__"):]
-            cols.append(f"CASE WHEN distance_band = '{b}' THEN 1.0 ELSE 0.0 END AS \"{c}\"")
+            cols.append(f"CASE WHEN distance_band = '{b}' THEN cast(1 AS double) ELSE cast(0 AS double) END AS \"{c}\"")
         elif c == "year":
             cols.append("cast(year AS double) AS year")
         elif c == "distance_km":

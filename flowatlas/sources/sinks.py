@@ -51,8 +51,7 @@ def nullify_non_finite(df: DataFrame) -> DataFrame:
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """JSON-lines export with explicit nulls and no NaN / Infinity tokens."""
-    (nullify_non_finite(df).write.mode(mode).option("ignoreNullFields", False)
-     .option("allowNonNumericNumbers", False).json(path))
+    nullify_non_finite(df).write.mode(mode).option("ignoreNullFields", False).json(path)
 
 
 def export_chart_table(df: DataFrame, path: str, aliases: list[str] | None = None,
