@@ -135,15 +135,16 @@ class Catalog:
     def _materialize(self, name: str, df: DataFrame) -> DataFrame:
         path = f"{self.silver_dir}/{name}"
         if not path_exists(self.spark, f"{path}/_SUCCESS"):
-            w = df
             if "year" in df.columns:
-                # one file per (task, year): sort inside tasks, no skewed
-                # shuffle that would put a whole year into one task
-                w = df.sortWithinPartitions("year")
+                # REBALANCE by year: AQE sizes the output partitions to the
+                # advisory size and splits a hot year over several tasks, so
+                # each year gets a few well-sized files instead of one small
+                # file per input task (or one huge task for a big year)
+                w = df.hint("rebalance", "year").sortWithinPartitions("year")
                 (w.write.mode("overwrite").option("maxRecordsPerFile", 5_000_000)
                  .partitionBy("year").parquet(path))
             else:
-                w.write.mode("overwrite").parquet(path)
+                df.hint("rebalance").write.mode("overwrite").parquet(path)
         out = self.spark.read.parquet(path)
         # keep the fixture's column order (partition column comes back last)
         return out.select(*df.columns)
