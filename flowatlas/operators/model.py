@@ -107,7 +107,12 @@ def fit_forest(cy: DataFrame, n_trees: int = 140, seed: int = 42, max_depth: int
     g = train_gates(cy).first()
     if not g["ok"]:
         return ForestBundle(False, g["reason"], None, g["train_rows"], g["test_rows"])
-    train = feature_matrix(temporal_split(cy).filter(~F.col("is_test")))
+    # the corridor-year table arrives as a few coalesced partitions; spread
+    # it over the cluster's task slots so each tree level's statistics are
+    # computed in parallel, and keep it cached for the level-by-level passes
+    spark = cy.sparkSession
+    train = (feature_matrix(temporal_split(cy).filter(~F.col("is_test")))
+             .repartition(spark.sparkContext.defaultParallelism).persist())
     rf = RandomForestRegressor(featuresCol="features", labelCol="target_log_flow", numTrees=int(n_trees),
                                minInstancesPerNode=2, featureSubsetStrategy="all", maxDepth=int(max_depth),
                                maxBins=int(max_bins), seed=int(seed), subsamplingRate=1.0, bootstrap=True,
@@ -115,6 +120,7 @@ def fit_forest(cy: DataFrame, n_trees: int = 140, seed: int = 42, max_depth: int
                                # within an eighth of the executor heap
                                maxMemoryInMB=_split_memory_mb(cy.sparkSession), cacheNodeIds=True)
     model = Pipeline(stages=[assembler(), rf]).fit(train)
+    train.unpersist()
     return ForestBundle(True, "OK", model, g["train_rows"], g["test_rows"])
 
 
