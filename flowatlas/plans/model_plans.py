@@ -170,3 +170,59 @@ def q_forecast_compare(spark, sf):
 
 
 
+
+
+# ------------------------------------------------------------------ per-group trend
+def _annual_by_type(spark, sf):
+    s = views(spark, sf).stock()
+    return s.groupBy("population_type_std", "year").agg(
+        F.coalesce(F.sum("value_observed"), F.lit(0.0)).alias("value_observed"))
+
+
+_OLS_BY_TYPE_SQL = """
+, an AS (SELECT population_type_std, year, coalesce(sum(value_observed), 0) AS value_observed FROM stock
+         GROUP BY population_type_std, year)
+, rk AS (SELECT *, row_number() OVER (PARTITION BY population_type_std ORDER BY year DESC) <= 3 AS h,
+                cast(year - min(year) OVER (PARTITION BY population_type_std) AS double) AS x FROM an)
+, fit AS (SELECT population_type_std, min(year) AS x0,
+                 sum(CASE WHEN NOT h THEN cast(1 AS double) END) AS n,
+                 sum(CASE WHEN NOT h THEN x END) AS sx,
+                 sum(CASE WHEN NOT h THEN value_observed END) AS sy,
+                 sum(CASE WHEN NOT h THEN x * value_observed END) AS sxy,
+                 sum(CASE WHEN NOT h THEN x * x END) AS sxx,
+                 max(year) AS last_year,
+                 arg_max(CASE WHEN NOT h THEN value_observed END, CASE WHEN NOT h THEN year END) AS last_train_value
+          FROM rk GROUP BY population_type_std)
+, f2 AS (SELECT *, (n * sxy - sx * sy) / (n * sxx - sx * sx) AS slope FROM fit)
+, f3 AS (SELECT *, (sy - slope * sx) / n AS intercept FROM f2)
+"""
+
+
+@register("trend_forecast_by_type", _OLS_BY_TYPE_SQL + """
+SELECT population_type_std, year, round(value_observed, 6) AS value_observed, 'observed' AS series FROM an
+UNION ALL
+SELECT population_type_std, cast(last_year + k AS int) AS year,
+       round(intercept + slope * cast(last_year + k - x0 AS double), 6), 'linear_trend_forecast_exploratory'
+FROM f3, range(1, 6) t(k)
+""")
+def q_trend_forecast_by_type(spark, sf):
+    """One OLS trend per population type in a single aggregation (the
+    ``group_cols`` form that fits thousands of series at once)."""
+    f = tr.trend_forecast(_annual_by_type(spark, sf), horizon=5, holdout=3, group_cols=["population_type_std"])
+    return f.select("population_type_std", "year", F.round("value_observed", 6).alias("value_observed"), "series")
+
+
+@register("forecast_compare_by_type", _OLS_BY_TYPE_SQL + """
+, ev AS (SELECT rk.population_type_std, rk.year, rk.value_observed, f3.x0, f3.slope, f3.intercept,
+                f3.last_train_value
+         FROM rk JOIN f3 ON f3.population_type_std = rk.population_type_std WHERE rk.h)
+SELECT population_type_std, 'naive_last_observed' AS model,
+       round(avg(abs(value_observed - last_train_value)), 6) AS holdout_mae FROM ev GROUP BY population_type_std
+UNION ALL
+SELECT population_type_std, 'linear_trend',
+       round(avg(abs(value_observed - (intercept + slope * cast(year - x0 AS double)))), 6)
+FROM ev GROUP BY population_type_std
+""")
+def q_forecast_compare_by_type(spark, sf):
+    c = tr.forecast_compare(_annual_by_type(spark, sf), holdout=3, group_cols=["population_type_std"])
+    return c.select("population_type_std", "model", F.round("holdout_mae", 6).alias("holdout_mae"))
