@@ -77,6 +77,33 @@ def corridor_year(df: DataFrame, centroid: DataFrame) -> DataFrame:
         "origin_lat", "origin_lon", "host_lat", "host_lon")
 
 
+def corridor_year_for(stock: DataFrame, centroid: DataFrame, f, feature_scope: str = "selection") -> DataFrame:
+    """Corridor-years of a selection, all years.
+
+    ``feature_scope="selection"`` (the reference's behaviour): lags and
+    end-point totals are computed over the selected rows only, so with an
+    origin filter a host's previous-year total shrinks to that corridor.
+    ``"scope"``: the table is built over the whole population scope and the
+    origin / host / crisis selection is applied afterwards, so the features
+    match the ones the model was trained on.
+    """
+    from flowatlas.operators.select import filter_selection
+    from flowatlas.schemas import CRISIS_ALL, crisis_origin
+    sel = f.with_(year=None)
+    if feature_scope == "selection":
+        return corridor_year(filter_selection(stock, sel), centroid)
+    if feature_scope != "scope":
+        raise ValueError(f"feature_scope must be 'selection' or 'scope', not {feature_scope!r}")
+    cy = corridor_year(filter_selection(stock, sel.with_(origin="All", host="All", crisis=CRISIS_ALL)),
+                       centroid)
+    origin = f.origin if f.origin != "All" else crisis_origin(f.crisis)
+    if origin is not None:
+        cy = cy.filter(F.col("origin") == F.lit(origin))
+    if f.host != "All":
+        cy = cy.filter(F.col("host") == F.lit(f.host))
+    return cy
+
+
 def feature_matrix(cy: DataFrame) -> DataFrame:
     """The 8 model features (5 numeric, 3 one-hot bands); NaN / inf / null
     become 0. Key columns are kept."""

@@ -49,9 +49,9 @@ CY_SQL = f"""
 CY_VIEWS = ("stock", "centroid")
 
 
-def corridor_year_df(spark, sf, f: Filters = F_ALL):
+def corridor_year_df(spark, sf, f: Filters = F_ALL, feature_scope: str = "selection"):
     cat = views(spark, sf)
-    return sp.corridor_year(filter_selection(cat.stock(), f), cat.view("centroid"))
+    return sp.corridor_year_for(cat.stock(), cat.view("centroid"), f, feature_scope)
 
 
 def _pairs(spark, sf):

@@ -179,3 +179,16 @@ def test_nullify_non_finite_nested(spark):
     assert r["c"] == [1.0, None]
     assert r["d"]["p"] is None and r["d"]["q"] == 2.0
     assert r["s"] == "x"
+
+
+def test_feature_scope_selection_vs_scope(spark):
+    cent = spark.createDataFrame([("A", 0.0, 0.0), ("B", 0.0, 1.0), ("C", 1.0, 0.0)],
+                                 "country_std string, lat double, lon double")
+    df = stock_rows(spark, [(1, "Refugees", 10.0, "A", "C"), (1, "Refugees", 5.0, "B", "C"),
+                            (2, "Refugees", 20.0, "A", "C"), (2, "Refugees", 7.0, "B", "C")])
+    f = Filters(year=None, origin="A")
+    sel_cy = {r["year"]: r for r in sp.corridor_year_for(df, cent, f, "selection").collect()}
+    scope_cy = {r["year"]: r for r in sp.corridor_year_for(df, cent, f, "scope").collect()}
+    assert sel_cy[2]["host_total_previous_year"] == 10.0      # only the selected corridor
+    assert scope_cy[2]["host_total_previous_year"] == 15.0    # every origin into C
+    assert {r["origin"] for r in scope_cy.values()} == {"A"}
