@@ -54,17 +54,22 @@ def filter_selection(df: DataFrame, f: Filters, types: list[str] | None = None,
     return d
 
 
+def clean_condition(role: str, map_only: bool = False):
+    """The predicate of ``clean_entities`` as a Column (null counts as false)."""
+    iso = F.col(f"{role}_iso3")
+    cond = (iso.isNotNull() & ne_keep_null(iso, UNMAPPED_ISO)
+            & not_in_keep_null(f"{role}_mapping_status", EXCLUDED_STATUSES))
+    if map_only:
+        cond = cond & F.coalesce(F.col(f"{role}_map_eligible_flag"), F.lit(False))
+    return cond
+
+
 def clean_entities(df: DataFrame, role: str, map_only: bool = False) -> DataFrame:
     """Keep rows whose ``role`` entity is rankable: ISO code present and not
     UNMAPPED, status not special/missing/unmapped (a null status is kept);
     ``map_only`` also needs the map-eligible flag. Historical and composite
     entities are kept."""
-    iso = F.col(f"{role}_iso3")
-    cond = (iso.isNotNull() & ne_keep_null(iso, UNMAPPED_ISO)
-            & not_in_keep_null(f"{role}_mapping_status", EXCLUDED_STATUSES))
-    if map_only:
-        cond = cond & F.col(f"{role}_map_eligible_flag")
-    return df.filter(cond)
+    return df.filter(clean_condition(role, map_only))
 
 
 def positive_only(df: DataFrame, value: str = "value_observed") -> DataFrame:

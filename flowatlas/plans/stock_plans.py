@@ -74,18 +74,18 @@ def _clean_counts_sql():
 
 @register("clean_entities", _clean_counts_sql())
 def q_clean_entities(spark, sf):
-    s = _stock(spark, sf)
-    parts = []
-    for role in ("origin", "host"):
-        for mo in (False, True):
-            c = sel.clean_entities(s, role, map_only=mo)
-            parts.append(c.agg(F.count(F.lit(1)).alias("rows"),
-                               F.coalesce(F.sum(V), F.lit(0.0)).alias(V))
-                         .select(F.lit(role).alias("role"), F.lit(mo).alias("map_only"), "rows", V))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Rows and value kept by each cleaning variant, from one scan."""
+    variants = [(role, mo) for role in ("origin", "host") for mo in (False, True)]
+    aggs = []
+    for role, mo in variants:
+        c = sel.clean_condition(role, map_only=mo)
+        aggs += [F.count_if(c).alias(f"{role}_{mo}_rows"),
+                 F.coalesce(F.sum(F.when(c, F.col(V))), F.lit(0.0)).alias(f"{role}_{mo}_v")]
+    a = _stock(spark, sf).agg(*aggs)
+    rows = F.array(*[F.struct(F.lit(role).alias("role"), F.lit(mo).alias("map_only"),
+                              F.col(f"{role}_{mo}_rows").alias("rows"), F.col(f"{role}_{mo}_v").alias(V))
+                     for role, mo in variants])
+    return a.select(F.inline(rows))
 
 
 @register("positive_only", f"""
@@ -221,20 +221,25 @@ def q_annual_population_yoy(spark, sf):
     return st.annual_population_yoy(_stock(spark, sf))
 
 
-def _rank_sql(role: str, n: int, extra_where: str = "") -> str:
+def _rank_cte(role: str, n: int, cte: str, extra_where: str = "") -> str:
+    """CTEs ending in ``cte``: the top ``n`` ranked entities with shares."""
     name, iso = f"{role}_country_std", f"{role}_iso3"
     return f"""
 , d AS (SELECT * FROM stock WHERE {SEL} AND {clean_sql(role)} {extra_where})
 , g AS (SELECT {name}, {iso}, coalesce(sum(value_observed), 0) AS value_observed FROM d
         WHERE {name} IS NOT NULL GROUP BY {name}, {iso} HAVING coalesce(sum(value_observed), 0) > 0)
-SELECT {name}, {iso}, value_observed,
+, {cte} AS (SELECT {name}, {iso}, value_observed,
        cast(row_number() OVER (ORDER BY value_observed DESC, {name}, {iso}) AS int) AS rank,
        CASE WHEN (SELECT sum(value_observed) FROM d) > 0
             THEN value_observed / (SELECT sum(value_observed) FROM d) END AS share
-FROM g ORDER BY value_observed DESC, {name}, {iso} LIMIT {n}
+FROM g ORDER BY value_observed DESC, {name}, {iso} LIMIT {n})
 """
 
 
+def _rank_sql(role: str, n: int, extra_where: str = "") -> str:
+    return _rank_cte(role, n, "ranked", extra_where) + "SELECT * FROM ranked"
+
+
 @register("rank_hosts", _rank_sql("host", 12))
 def q_rank_hosts(spark, sf):
     return st.rank_entities(sel.filter_selection(_stock(spark, sf), F0), "host", F0.top_n)
@@ -282,7 +287,7 @@ def q_rank_combined(spark, sf):
     return st.rank_combined(sel.filter_selection(_stock(spark, sf), F0), F0.top_n)
 
 
-@register("treemap_hosts", _rank_sql("host", 12).replace("SELECT host_country_std, host_iso3, value_observed,\n", ", top AS (SELECT host_country_std, host_iso3, value_observed,\n", 1).rstrip() + """)
+@register("treemap_hosts", _rank_cte("host", 12, "top") + """
 SELECT 'Selected host stock' AS parent, host_country_std AS label, value_observed FROM top
 UNION ALL SELECT '', 'Selected host stock', sum(value_observed) FROM top
 """)
