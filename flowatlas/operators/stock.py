@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowatlas.functions.columns import share, sum0
-from flowatlas.operators.select import clean_entities, filter_selection, filter_year
+from flowatlas.operators.select import clean_condition, clean_entities, filter_selection, filter_year
 from flowatlas.schemas import (
     ACTIVE_FORCED_TYPES, CRISIS_ORIGIN, CROSS_BORDER_TYPES, DEFAULT_CRISIS, LATEST, POP_ASYLUM, POP_IDPS, POP_REFUGEES,
     Filters, crisis_focus_origin,
@@ -132,15 +132,27 @@ def rank_entities_full(df: DataFrame, role: str, n: int) -> DataFrame:
 
 
 def rank_combined(df: DataFrame, n: int) -> DataFrame:
-    """Both rankings in one table with a role label."""
-    parts = []
-    for role, label in (("origin", "Top origin countries"), ("host", "Top host countries")):
-        r = rank_entities_full(df, role, n)
-        parts.append(r.select(
-            F.lit(label).alias("chart_role"), "rank",
-            F.col(f"{role}_country_std").alias("country"), F.col(f"{role}_iso3").alias("iso3"),
-            V, "share_of_selected_total"))
-    return parts[0].unionByName(parts[1])
+    """Both rankings in one table with a role label, from one scan: each
+    cell is exploded into its origin end and its host end, both aggregated
+    in the same shuffle; ranks and role totals are windows over the per-
+    country aggregates (at most a few hundred rows per role)."""
+    labels = {"origin": "Top origin countries", "host": "Top host countries"}
+
+    def side(role):
+        return F.struct(
+            F.lit(labels[role]).alias("chart_role"), F.col(f"{role}_country_std").alias("country"),
+            F.col(f"{role}_iso3").alias("iso3"), F.col(f"{role}_mapping_status").alias("status"),
+            F.col(f"{role}_map_eligible_flag").alias("flag"),
+            (clean_condition(role) & F.col(f"{role}_country_std").isNotNull()).alias("ok"))
+    e = (df.select(V, F.explode(F.array(side("origin"), side("host"))).alias("e"))
+         .filter(F.col("e.ok")).select(V, "e.chart_role", "e.country", "e.iso3", "e.status", "e.flag"))
+    g = e.groupBy("chart_role", "country", "iso3", "status", "flag").agg(sum0(V).alias(V))
+    g = g.withColumn("_total", F.sum(V).over(Window.partitionBy("chart_role")))
+    order = Window.partitionBy("chart_role").orderBy(F.col(V).desc(), F.col("country"), F.col("iso3"))
+    top = (g.filter(F.col(V) > 0).withColumn("rank", F.row_number().over(order).cast(T.IntegerType()))
+           .filter(F.col("rank") <= int(n)))
+    return top.select("chart_role", "rank", "country", "iso3", V,
+                      share(F.col(V), F.col("_total")).alias("share_of_selected_total"))
 
 
 def treemap_hosts(df: DataFrame, n: int, root: str = "Selected host stock") -> DataFrame:
