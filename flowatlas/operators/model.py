@@ -136,6 +136,16 @@ def fit_forest_cached(key, cy: DataFrame, **kw) -> ForestBundle:
         return _MODELS[key]
 
 
+def save_forest(bundle: ForestBundle, path: str) -> None:
+    """Persist the fitted pipeline (assembler + forest) with MLlib's writer."""
+    if bundle.model is not None:
+        bundle.model.write().overwrite().save(path)
+
+
+def load_forest(path: str, train_rows: int = 0, test_rows: int = 0) -> ForestBundle:
+    return ForestBundle(True, "OK", PipelineModel.load(path), train_rows, test_rows)
+
+
 def _predict(bundle: ForestBundle, cy: DataFrame) -> DataFrame:
     return bundle.model.transform(feature_matrix(cy))
 

@@ -67,6 +67,8 @@ def q_train_gates(spark, sf):
 def q_fit_forest(spark, sf):
     """In-sample fit of the forest: training rows with their prediction."""
     b = _bundle(spark, sf)
+    from flowatlas.plans.io_plans import scratch
+    ml.save_forest(b, scratch(spark, sf, "forest_model"))  # reusable with ml.load_forest
     train = ml.temporal_split(corridor_year_df(spark, sf)).filter(~F.col("is_test"))
     return ml._predict(b, train).select("year", "origin", "host", "target_log_flow", "prediction")
 

@@ -122,3 +122,14 @@ def test_forest_on_driver_data_runs(spark):
     cy = corridor_year_df(spark, SF_SMALL)
     g = ml.train_gates(cy).first()
     assert g["ok"], g["reason"]
+
+
+def test_forest_save_and_load_round_trip(spark, tmp_path):
+    cy = _panel(spark)
+    b = ml.fit_forest(cy, n_trees=5, seed=42)
+    path = str(tmp_path / "forest")
+    ml.save_forest(b, path)
+    b2 = ml.load_forest(path, b.train_rows, b.test_rows)
+    p1 = [r["prediction"] for r in ml._predict(b, cy).orderBy("year", "origin").collect()]
+    p2 = [r["prediction"] for r in ml._predict(b2, cy).orderBy("year", "origin").collect()]
+    assert p1 == p2
