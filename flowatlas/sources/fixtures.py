@@ -229,15 +229,18 @@ JOIN entity eo ON b.origin_k = eo.k
 JOIN entity eh ON b.host_k = eh.k
 """)
 
+# Resettlement flows at the reference's grain: one row per (year, origin,
+# host), summed over every line item of the corridor; the first line of an
+# order counts as a resettled person-group, the others as none.
 _view("resettlement", ("stock_base", "entity"), """
 SELECT b.year,
        eo.country_std AS origin_country_std, eo.iso3 AS origin_iso3,
        eh.country_std AS host_country_std, eh.iso3 AS host_iso3,
-       b.l_quantity AS resettlement_observed
+       sum(CASE WHEN b.l_linenumber = 1 THEN b.l_quantity ELSE 0 END) AS resettlement_observed
 FROM stock_base b
 JOIN entity eo ON b.origin_k = eo.k
 JOIN entity eh ON b.host_k = eh.k
-WHERE b.l_linenumber = 1
+GROUP BY b.year, eo.country_std, eo.iso3, eh.country_std, eh.iso3
 """)
 
 # Persons of concern, wide: the stock pivoted by population type.
