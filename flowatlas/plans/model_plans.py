@@ -115,7 +115,13 @@ def q_corridor_similarity(spark, sf):
     return ml.corridor_similarity(scope_fallback(sel, whole, 10), 700)
 
 
-@register("scope_fallback")
+@register("scope_fallback", CY_SQL + """
+, nr AS (SELECT * FROM cy WHERE origin = 'NATION_22')
+SELECT year, origin, host, value_observed FROM nr WHERE (SELECT count(*) FROM nr) >= 10
+UNION ALL
+SELECT year, origin, host, value_observed FROM cy
+WHERE (SELECT count(*) FROM nr) < 10 AND (SELECT count(*) FROM cy) >= 10
+""", views=CY_VIEWS)
 def q_scope_fallback(spark, sf):
     """An origin filter naming an entity without centroid leaves fewer than
     10 corridor-years, so the whole scope is used instead."""
