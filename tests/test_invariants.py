@@ -133,3 +133,52 @@ def test_forest_save_and_load_round_trip(spark, tmp_path):
     p1 = [r["prediction"] for r in ml._predict(b, cy).orderBy("year", "origin").collect()]
     p2 = [r["prediction"] for r in ml._predict(b2, cy).orderBy("year", "origin").collect()]
     assert p1 == p2
+
+
+def test_similarity_matches_brute_force(spark):
+    """z-scores (population std) and 2 principal components, against numpy
+    on the same top corridor-years; signs fixed by the largest loading."""
+    import numpy as np
+    from flowatlas.schemas import DISTANCE_BANDS, NUMERIC_FEATURES
+
+    cy = corridor_year_df(spark, SF_SMALL)
+    got = {(r["year"], r["origin"], r["host"]): (r["component_1"], r["component_2"])
+           for r in ml.corridor_similarity(cy, 300).collect()}
+    pdf = cy.toPandas().sort_values(["value_observed", "year", "origin", "host"],
+                                    ascending=[False, True, True, True]).head(300)
+    x = np.column_stack([pdf[c].astype(float).to_numpy() for c in NUMERIC_FEATURES]
+                        + [(pdf["distance_band"] == b).astype(float).to_numpy() for b in DISTANCE_BANDS])
+    sd = x.std(axis=0)
+    z = np.where(sd > 0, (x - x.mean(axis=0)) / np.where(sd > 0, sd, 1), 0.0)
+    vals, vecs = np.linalg.eigh(np.cov(z, rowvar=False))
+    pcs = vecs[:, np.argsort(vals)[::-1][:2]]
+    for j in range(2):
+        if pcs[np.abs(pcs[:, j]).argmax(), j] < 0:
+            pcs[:, j] = -pcs[:, j]
+    proj = z @ pcs
+    assert len(got) == 300
+    for (y, o, h), p in zip(pdf[["year", "origin", "host"]].itertuples(index=False), proj):
+        c1, c2 = got[(y, o, h)]
+        assert math.isclose(c1, p[0], abs_tol=1e-6) and math.isclose(c2, p[1], abs_tol=1e-6)
+
+
+def test_prediction_tables_match_brute_force(spark):
+    """Top destinations and the actual-vs-predicted band mix, recomputed in
+    pandas from the scored corridors."""
+    pred = Q["predict_corridors"](spark, SF_SMALL).toPandas()
+    by_host = pred.groupby("host")[["actual_value", "predicted_value"]].sum()
+    by_host["score"] = by_host.max(axis=1)
+    want = by_host.reset_index().sort_values(["score", "host"], ascending=[False, True]).head(10)
+    got = Q["top_destinations"](spark, SF_SMALL).toPandas()
+    assert set(got.host) == set(want.host)
+    for h, a, p in want[["host", "actual_value", "predicted_value"]].itertuples(index=False):
+        g = got[got.host == h].set_index("series").people
+        assert math.isclose(g["Actual observed"], a, rel_tol=1e-9)
+        assert math.isclose(g["ML predicted"], p, rel_tol=1e-9)
+    mix = Q["distance_mix_actual_vs_predicted"](spark, SF_SMALL).toPandas()
+    for series, col in (("Actual observed", "actual_value"), ("ML predicted", "predicted_value")):
+        tot = pred[col].sum()
+        for band, v in pred.groupby("distance_band")[col].sum().items():
+            row = mix[(mix.series == series) & (mix.distance_band == band)].iloc[0]
+            assert math.isclose(row["value"], v, rel_tol=1e-9)
+            assert math.isclose(row["share"], v / tot, rel_tol=1e-9)
