@@ -12,6 +12,7 @@ from flowatlas.operators import model as ml
 from flowatlas.operators import select as sel
 from flowatlas.operators import stock as st
 from flowatlas.operators.clean import melt_population_types
+from flowatlas.operators.spatial import feature_matrix
 from flowatlas.plans.spatial_plans import corridor_year_df
 from flowatlas.schemas import Filters
 from flowatlas.sources.catalog import catalog
@@ -182,3 +183,29 @@ def test_prediction_tables_match_brute_force(spark):
             row = mix[(mix.series == series) & (mix.distance_band == band)].iloc[0]
             assert math.isclose(row["value"], v, rel_tol=1e-9)
             assert math.isclose(row["share"], v / tot, rel_tol=1e-9)
+
+
+def test_uncertainty_matches_brute_force(spark):
+    """Per-tree band shares and their p10/p50/p90, recomputed on the driver
+    from each tree's own predictions (test-sized data only)."""
+    import numpy as np
+    from flowatlas.plans.model_plans import _pred
+    from flowatlas.schemas import DISTANCE_BANDS
+
+    b, pred = _pred(spark, SF_SMALL)
+    rows = (ml.assembler().transform(feature_matrix(pred.drop("prediction")))
+            .select("distance_band", "features").collect())
+    shares = {band: [] for band in DISTANCE_BANDS}
+    for t in b.forest.trees[:80]:
+        v = {band: 0.0 for band in DISTANCE_BANDS}
+        for r in rows:
+            v[r["distance_band"]] += max(math.expm1(t.predict(r["features"])), 0.0)
+        tot = sum(v.values())
+        for band in DISTANCE_BANDS:
+            shares[band].append(v[band] / tot if tot > 0 else 0.0)
+    got = {r["distance_band"]: r for r in ml.distance_uncertainty(b, pred, 80).collect()}
+    for band in DISTANCE_BANDS:
+        q = np.quantile(shares[band], [0.1, 0.5, 0.9])
+        assert math.isclose(got[band]["p10"], q[0], abs_tol=1e-9)
+        assert math.isclose(got[band]["p50"], q[1], abs_tol=1e-9)
+        assert math.isclose(got[band]["p90"], q[2], abs_tol=1e-9)
