@@ -19,7 +19,7 @@ from flowatlas.plans.stock_plans import F0, _rank_sql
 from flowatlas.schemas import DRIVER_SCHEMAS, RAW_STOCK_SCHEMA, STOCK_SCHEMA
 from flowatlas.session import checkpoint_dir, ensure_checkpoint_dir
 from flowatlas.sources import sinks
-from flowatlas.sources.catalog import load_catalog, scan_first_available, scan_table
+from flowatlas.sources.catalog import load_catalog, path_exists, scan_first_available, scan_table
 
 
 def scratch(spark, sf: str, key: str) -> str:
@@ -50,12 +50,17 @@ def q_scan_first_available(spark, sf):
 @register("scan_stock", f"SELECT {', '.join(_STOCK_COLS)} FROM stock")
 def q_scan_stock(spark, sf):
     """Stock candidates in order: stock.parquet, stock_timeseries.parquet,
-    then a gzip CSV export (written here from the stock view)."""
-    out = scratch(spark, sf, "scan_stock")
-    gz = f"{out}/time_series_clean.csv.gz"
-    sinks.write_csv(views(spark, sf).stock().select(*_STOCK_COLS), gz, compression="gzip")
-    cands = [f"{sf}/stock.parquet", f"{sf}/stock_timeseries.parquet", gz]
-    return scan_first_available(spark, cands, STOCK_SCHEMA, required=True)
+    the silver stock table, and last a gzip CSV export - written (once) only
+    when no earlier candidate exists."""
+    cat = views(spark, sf)
+    cat.stock()  # materialises the silver table when the session has a checkpoint folder
+    cands = [f"{sf}/stock.parquet", f"{sf}/stock_timeseries.parquet"]
+    if cat.silver_dir:
+        cands.append(f"{cat.silver_dir}/stock")
+    gz = scratch(spark, sf, "scan_stock") + "/time_series_clean.csv.gz"
+    if not any(path_exists(spark, c) for c in cands) and not path_exists(spark, f"{gz}/_SUCCESS"):
+        sinks.write_csv(cat.stock().select(*_STOCK_COLS), gz, compression="gzip")
+    return scan_first_available(spark, cands + [gz], STOCK_SCHEMA, required=True).select(*_STOCK_COLS)
 
 
 _CATALOG_VIEWS = ["stock", "decisions", "resettlement", "apps_monthly", "demographics_wide", "poc_wide",
@@ -81,10 +86,12 @@ _RAW_SQL = """SELECT nullif(year_raw, '') AS year_raw, nullif(origin_raw, '') AS
 
 
 def _raw_csv(spark, sf):
+    """The raw stock table as a header CSV (written once per run)."""
     path = scratch(spark, sf, "raw_csv") + "/raw_stock.csv"
-    raw = views(spark, sf).view("raw_stock").select(*[F.col(f.name).cast("string") for f in RAW_STOCK_SCHEMA])
-    (raw.write.mode("overwrite").option("header", True)
-     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        raw = views(spark, sf).view("raw_stock").select(*[F.col(f.name).cast("string") for f in RAW_STOCK_SCHEMA])
+        (raw.write.mode("overwrite").option("header", True)
+         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
     return path
 
 

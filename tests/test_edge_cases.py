@@ -192,3 +192,20 @@ def test_feature_scope_selection_vs_scope(spark):
     assert sel_cy[2]["host_total_previous_year"] == 10.0      # only the selected corridor
     assert scope_cy[2]["host_total_previous_year"] == 15.0    # every origin into C
     assert {r["origin"] for r in scope_cy.values()} == {"A"}
+
+
+def test_scan_first_available_gzip_csv_and_fallbacks(spark, tmp_path):
+    from flowatlas.schemas import STOCK_SCHEMA
+    from flowatlas.sources import sinks
+    from flowatlas.sources.catalog import scan_first_available
+    df = stock_rows(spark, [(2000, "Refugees", 5.0, "Aa", "Bb"), (2001, "IDPs", None, "Cc", "Bb")])
+    full = df.select(*[F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name)
+                       for f in STOCK_SCHEMA])
+    gz = str(tmp_path / "time_series_clean.csv.gz")
+    sinks.write_csv(full, gz, compression="gzip")
+    got = scan_first_available(spark, [str(tmp_path / "stock.parquet"), gz], STOCK_SCHEMA, required=True)
+    assert sorted(tuple(r) for r in got.collect()) == sorted(tuple(r) for r in full.collect())
+    empty = scan_first_available(spark, [str(tmp_path / "missing.parquet")], STOCK_SCHEMA)
+    assert empty.count() == 0 and empty.schema == STOCK_SCHEMA
+    with pytest.raises(FileNotFoundError):
+        scan_first_available(spark, [str(tmp_path / "missing.parquet")], STOCK_SCHEMA, required=True)
