@@ -134,7 +134,9 @@ def q_streaming_monthly_applications(spark, sf):
     base = scratch(spark, sf, "stream")
     src = f"{base}/source"
     apps = views(spark, sf).view("apps_monthly")
-    apps.write.mode("overwrite").partitionBy("year").parquet(src)
+    from flowatlas.sources.catalog import path_exists
+    if not path_exists(spark, f"{src}/_SUCCESS"):  # the landing folder is written once per run
+        apps.write.mode("overwrite").partitionBy("year").parquet(src)
     agg = monthly_applications_stream(spark, src, apps.schema)
     run = uuid.uuid4().hex[:12]  # a fresh stream (and state) per call
     return run_available(agg, f"monthly_stream_{run}", f"{base}/checkpoint_{run}")
