@@ -16,10 +16,13 @@ from flowatlas.schemas import LATEST
 
 OUTCOMES = ["recognized_observed", "rejected_observed", "other_decisions_observed",
             "otherwise_closed_observed"]
-# Decision-status labels of the Sankey, in outcome order.
+# Decision-status labels of the Sankey, in outcome order, its
+# node prefixes and its two link layers.
 STATUS_LABELS = {"recognized_observed": "Recognized", "rejected_observed": "Rejected",
                  "other_decisions_observed": "Other decision",
                  "otherwise_closed_observed": "Otherwise closed"}
+ORIGIN_PREFIX, HOST_PREFIX, STATUS_PREFIX = "Origin: ", "Host: ", "Status: "
+LAYER_ORIGIN_HOST, LAYER_HOST_STATUS = "origin_to_host", "host_to_status"
 
 
 def monthly_applications(apps: DataFrame) -> DataFrame:
@@ -78,16 +81,16 @@ def decision_sankey(decisions: DataFrame, n: int = 40, year=LATEST) -> DataFrame
     Layer 2: those same corridors summed per host and split into the four
     decision outcomes (host -> status), positive links only."""
     top = application_corridors(decisions, n, year)
-    l1 = top.select(F.concat(F.lit("Origin: "), "origin_country_std").alias("source"),
-                    F.concat(F.lit("Host: "), "host_country_std").alias("target"),
+    l1 = top.select(F.concat(F.lit(ORIGIN_PREFIX), "origin_country_std").alias("source"),
+                    F.concat(F.lit(HOST_PREFIX), "host_country_std").alias("target"),
                     F.col("applications_observed").alias("value_observed"),
-                    F.lit("origin_to_host").alias("link_layer"))
+                    F.lit(LAYER_ORIGIN_HOST).alias("link_layer"))
     per_host = top.groupBy("host_country_std").agg(*[F.sum(c).alias(STATUS_LABELS[c]) for c in OUTCOMES])
     l2 = (per_host.unpivot(["host_country_std"], list(STATUS_LABELS.values()), "status", "value_observed")
           .filter(F.col("value_observed") > 0)
-          .select(F.concat(F.lit("Host: "), "host_country_std").alias("source"),
-                  F.concat(F.lit("Status: "), "status").alias("target"), "value_observed",
-                  F.lit("host_to_status").alias("link_layer")))
+          .select(F.concat(F.lit(HOST_PREFIX), "host_country_std").alias("source"),
+                  F.concat(F.lit(STATUS_PREFIX), "status").alias("target"), "value_observed",
+                  F.lit(LAYER_HOST_STATUS).alias("link_layer")))
     return l1.unionByName(l2)
 
 

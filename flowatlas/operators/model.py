@@ -31,6 +31,8 @@ from flowatlas.functions.columns import share_or_zero, sum0
 from flowatlas.operators.spatial import feature_matrix
 from flowatlas.schemas import DISTANCE_BANDS, FEATURE_COLUMNS
 
+# Series labels, model gates (rows, years, train rows, test
+# rows) and the reasons given when a gate refuses.
 ACTUAL = "Actual observed"
 PREDICTED = "ML predicted"
 MIN_ROWS, MIN_YEARS, MIN_TRAIN, MIN_TEST = 80, 5, 50, 10

@@ -28,6 +28,15 @@ from flowatlas.schemas import (
 
 V = "value_observed"
 
+# Chart labels, node prefixes, role classes and the
+# missing-denominator status of the stock outputs.
+ROLE_LABELS = {"origin": "Top origin countries", "host": "Top host countries"}
+TREEMAP_ROOT = "Selected host stock"
+NODE_PREFIX = {"origin": "Origin: ", "host": "Host: "}
+ROLE_BOTH, ROLE_HOST, ROLE_ORIGIN, ROLE_NONE = (
+    "both_origin_and_host", "mostly_host", "mostly_origin", "no_observed_role")
+MISSING_DENOMINATOR = "missing_wdi_denominator"
+
 
 def _rank_numbers(df: DataFrame, order) -> DataFrame:
     """1..n in ``order``; only ever applied to a limited (top-n) frame."""
@@ -136,7 +145,7 @@ def rank_combined(df: DataFrame, n: int) -> DataFrame:
     cell is exploded into its origin end and its host end, both aggregated
     in the same shuffle; ranks and role totals are windows over the per-
     country aggregates (at most a few hundred rows per role)."""
-    labels = {"origin": "Top origin countries", "host": "Top host countries"}
+    labels = ROLE_LABELS
 
     def side(role):
         return F.struct(
@@ -155,7 +164,7 @@ def rank_combined(df: DataFrame, n: int) -> DataFrame:
                       share(F.col(V), F.col("_total")).alias("share_of_selected_total"))
 
 
-def treemap_hosts(df: DataFrame, n: int, root: str = "Selected host stock") -> DataFrame:
+def treemap_hosts(df: DataFrame, n: int, root: str = TREEMAP_ROOT) -> DataFrame:
     """Top min(n, 20) hosts as leaves plus their root node (rollup total)."""
     top = rank_entities(df, "host", min(int(n), 20))
     r = top.rollup("host_country_std").agg(F.sum(V).alias(V))
@@ -385,10 +394,10 @@ def role_scatter(stock: DataFrame, types=None) -> DataFrame:
     j = o.join(h, ["country", "iso3"], "full_outer")
     os_ = F.coalesce(F.col("origin_stock_observed"), F.lit(0.0))
     hs_ = F.coalesce(F.col("host_stock_observed"), F.lit(0.0))
-    cls = (F.when((os_ > 0) & (hs_ > 0), F.lit("both_origin_and_host"))
-           .when(hs_ > 0, F.lit("mostly_host"))
-           .when(os_ > 0, F.lit("mostly_origin"))
-           .otherwise(F.lit("no_observed_role")))
+    cls = (F.when((os_ > 0) & (hs_ > 0), F.lit(ROLE_BOTH))
+           .when(hs_ > 0, F.lit(ROLE_HOST))
+           .when(os_ > 0, F.lit(ROLE_ORIGIN))
+           .otherwise(F.lit(ROLE_NONE)))
     return j.select("country", "iso3", os_.alias("origin_stock_observed"),
                     hs_.alias("host_stock_observed"), (hs_ - os_).alias("net_host_minus_origin"),
                     cls.alias("role_class"))
@@ -411,7 +420,7 @@ def host_pressure(stock: DataFrame, population: DataFrame, types=None) -> DataFr
         F.try_divide(F.col("host_stock_observed") * F.lit(100000.0), F.col("population_total"))
         .alias("host_stock_per_100k_population"),
         "gdp_per_capita", "income_group",
-        F.when(F.col("population_total").isNull(), F.lit("missing_wdi_denominator"))
+        F.when(F.col("population_total").isNull(), F.lit(MISSING_DENOMINATOR))
         .otherwise(F.lit("ok")).alias("wdi_status"))
 
 
@@ -426,9 +435,9 @@ def network_metrics(edges_src: DataFrame, types=None) -> DataFrame:
          .groupBy("origin_country_std", "host_country_std").agg(sum0(V).alias("w"))
          .filter(F.col("w") > 0))
     ends = e.select("w", F.explode(F.array(
-        F.struct(F.concat(F.lit("Origin: "), F.col("origin_country_std")).alias("node"),
+        F.struct(F.concat(F.lit(NODE_PREFIX["origin"]), F.col("origin_country_std")).alias("node"),
                  F.lit("origin").alias("node_type")),
-        F.struct(F.concat(F.lit("Host: "), F.col("host_country_std")).alias("node"),
+        F.struct(F.concat(F.lit(NODE_PREFIX["host"]), F.col("host_country_std")).alias("node"),
                  F.lit("host").alias("node_type")))).alias("n"))
     return ends.groupBy(F.col("n.node").alias("node"), F.col("n.node_type").alias("node_type")).agg(
         F.count(F.lit(1)).alias("degree"),

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+# Series and model labels of the forecast tables.
 OBSERVED = "observed"
 FORECAST = "linear_trend_forecast_exploratory"
 NAIVE = "naive_last_observed"
