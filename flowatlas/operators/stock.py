@@ -110,7 +110,8 @@ def annual_population_yoy(stock: DataFrame) -> DataFrame:
     prev = F.sum(V).over(prev_w)
     return (a.withColumn("_prev", prev)
             .withColumn("yoy_absolute_change", F.col(V) - F.col("_prev"))
-            .withColumn("yoy_pct_change", share(F.col(V) - F.col("_prev"), F.col("_prev")))
+            # as a ratio minus one (the published fractions are computed so)
+            .withColumn("yoy_pct_change", share(F.col(V), F.col("_prev")) - F.lit(1.0))
             .drop("_prev"))
 
 

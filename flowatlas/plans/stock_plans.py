@@ -214,7 +214,7 @@ def q_trend_by_type(spark, sf):
                count(CASE WHEN value_is_zero THEN 1 END) AS zero_rows
         FROM stock GROUP BY year, population_type_std)
 SELECT a.*, a.value_observed - p.value_observed AS yoy_absolute_change,
-       CASE WHEN p.value_observed > 0 THEN (a.value_observed - p.value_observed) / p.value_observed END AS yoy_pct_change
+       CASE WHEN p.value_observed > 0 THEN a.value_observed / p.value_observed - 1 END AS yoy_pct_change
 FROM a LEFT JOIN a p ON p.population_type_std = a.population_type_std AND p.year = a.year - 1
 """)
 def q_annual_population_yoy(spark, sf):

@@ -85,3 +85,38 @@ def test_role_classes(spark):
     df2 = df.filter(F.col("origin_country_std") != "Bb")
     got2 = {r["country"]: r["role_class"] for r in st.role_scatter(df2).collect()}
     assert got2["Bb"] == "mostly_host" and got2["Aa"] == "mostly_origin"
+
+
+# Published annual asylum-seeker totals 2000-2016 and the
+# published year-on-year changes of that series (absolute, fraction).
+ASYLUM = [947926.0, 943980.0, 1093824.0, 996488.0, 885249.0, 802174.0, 741291.0, 741110.0, 825043.0,
+          989169.0, 837445.0, 897021.0, 942797.0, 1164450.0, 1804465.0, 3224966.0, 2716578.0]
+YOY_2001 = (-3946.0, -0.004162772199517661)
+YOY_2015 = (1420501.0, 0.7872144929383502)
+YOY_2016 = (-508388.0, -0.15764135187781825)
+
+# Published June application totals 1999-2016 (18 values; the
+# partial last year has no June) and the published June profile.
+JUNE = [47922.0, 41815.0, 47263.0, 44675.0, 36300.0, 30140.0, 25779.0, 20773.0, 23105.0, 27676.0,
+        30711.0, 28627.0, 36821.0, 37141.0, 48856.0, 65029.0, 123299.0, 144573.0]
+JUNE_PROFILE = (47805.833333333336, 36981.0, 144573.0)
+
+
+def test_yoy_matches_published(spark):
+    rows = [(2000 + i, "Asylum-seekers", v, False, False, False) for i, v in enumerate(ASYLUM)]
+    df = spark.createDataFrame(rows, "year int, population_type_std string, value_observed double, "
+                                     "value_is_redacted boolean, value_is_blank boolean, value_is_zero boolean")
+    got = {r["year"]: r for r in st.annual_population_yoy(df).collect()}
+    assert got[2000]["yoy_absolute_change"] is None and got[2000]["yoy_pct_change"] is None
+    for y, (a, p) in ((2001, YOY_2001), (2015, YOY_2015), (2016, YOY_2016)):
+        assert got[y]["yoy_absolute_change"] == a
+        assert math.isclose(got[y]["yoy_pct_change"], p, rel_tol=1e-15)
+
+
+def test_seasonality_matches_published(spark):
+    monthly = spark.createDataFrame([(1999 + i, 6, "June", v) for i, v in enumerate(JUNE)],
+                                    "year int, month_num int, month string, applications_observed double")
+    r = fl.seasonality_profile(monthly).first()
+    assert math.isclose(r["mean_applications"], JUNE_PROFILE[0], rel_tol=1e-15)
+    assert r["median_applications"] == JUNE_PROFILE[1]
+    assert r["max_applications"] == JUNE_PROFILE[2]
