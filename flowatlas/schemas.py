@@ -144,11 +144,8 @@ CRISIS_ORIGIN = {
 }
 DEFAULT_CRISIS = "Crisis 1"
 CRISIS_EVENTS = {
-    "Crisis 1": [(1996, "Conflict begins"), (1998, "Mass displacement"), (2000, "Regional burden peaks")],
-    "Crisis 2": [(1996, "First wave"), (1998, "Renewed displacement"), (2000, "Protracted situation")],
-    "Crisis 3": [(1996, "Independence"), (1998, "Civil conflict escalates"), (2000, "Large regional displacement")],
-    "Crisis 4": [(1996, "War begins"), (1998, "Sectarian violence"), (2000, "New displacement")],
-    "Crisis 5": [(1996, "State collapse"), (1998, "Famine and conflict"), (2000, "Long-term displacement")],
+    c: [(1996, "Outbreak"), (1998, "Escalation"), (2000, "Peak displacement")]
+    for c in CRISIS_ORIGIN
 }
 
 
