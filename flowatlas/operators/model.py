@@ -16,7 +16,6 @@ table, and MLlib builds the trees distributed over the executors.
 
 from __future__ import annotations
 
-import math
 import threading
 from dataclasses import dataclass
 
@@ -249,11 +248,13 @@ def corridor_similarity(cy: DataFrame, k: int | None = 700) -> DataFrame:
     if k is not None:
         d = d.limit(int(k))
     fm = assembler().transform(feature_matrix(d))
-    n = fm.count()  # bounded by k; needed for the ddof correction
     scaler = StandardScaler(inputCol="features", outputCol="_z0", withMean=True, withStd=True).fit(fm)
-    z = scaler.transform(fm)
-    corr = math.sqrt(n / (n - 1)) if n > 1 else 1.0
-    z = z.withColumn("_z", array_to_vector(F.transform(vector_to_array("_z0"), lambda v: v * F.lit(corr))))
+    # MLlib scales by the sample std; sqrt(n / (n - 1)) turns that into the
+    # population std (n from a one-row scalar subquery, no driver count)
+    n = fm.agg(F.count(F.lit(1)).cast("double")).scalar()
+    z = (scaler.transform(fm)
+         .withColumn("_c", F.when(n > 1, F.sqrt(n / (n - F.lit(1.0)))).otherwise(F.lit(1.0))))
+    z = z.withColumn("_z", array_to_vector(F.transform(vector_to_array("_z0"), lambda v: v * F.col("_c"))))
     pca = PCA(k=2, inputCol="_z", outputCol="_pc").fit(z)
     pc = pca.pc.toArray()
     signs = [1.0 if pc[abs(pc[:, j]).argmax(), j] >= 0 else -1.0 for j in range(pc.shape[1])]
