@@ -112,7 +112,7 @@ def q_convert_to_parquet(spark, sf):
 
 @register("export_chart_table", _rank_sql("host", 12))
 def q_export_chart_table(spark, sf):
-    r = st.rank_entities(filter_selection(views(spark, sf).stock(), F0), "host", F0.top_n)
+    r = st.rank_entities(filter_selection(views(spark, sf).cube(), F0), "host", F0.top_n)
     path = scratch(spark, sf, "export") + "/host_rankings.csv"
     return sinks.export_chart_table(r, path, aliases=["graph6_top_host_countries", "host_rankings"])
 
@@ -131,7 +131,7 @@ def q_nullify_non_finite(spark, sf):
     (+inf for that type) and acos of the total (NaN above 1): written as
     strict JSON, read back, non-finite values are nulls."""
     from pyspark.sql import Window
-    a = views(spark, sf).stock().groupBy("year", "population_type_std").agg(
+    a = views(spark, sf).cube().groupBy("year", "population_type_std").agg(
         F.coalesce(F.sum("value_observed"), F.lit(0.0)).alias("total"))
     s = F.try_divide(F.col("total"), F.max("total").over(Window.partitionBy("year")))
     raw = a.select("year", "population_type_std", "total", F.atanh(s).alias("spread"),

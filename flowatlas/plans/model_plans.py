@@ -132,7 +132,7 @@ def q_scope_fallback(spark, sf):
 
 # ------------------------------------------------------------------ trend
 def _annual(spark, sf):
-    s = views(spark, sf).stock().filter(F.col("population_type_std").isin(ACTIVE_FORCED_TYPES))
+    s = views(spark, sf).cube().filter(F.col("population_type_std").isin(ACTIVE_FORCED_TYPES))
     return s.groupBy("year").agg(F.coalesce(F.sum("value_observed"), F.lit(0.0)).alias("value_observed"))
 
 
@@ -182,7 +182,7 @@ def q_forecast_compare(spark, sf):
 
 # ------------------------------------------------------------------ per-group trend
 def _annual_by_type(spark, sf):
-    s = views(spark, sf).stock()
+    s = views(spark, sf).cube()
     return s.groupBy("population_type_std", "year").agg(
         F.coalesce(F.sum("value_observed"), F.lit(0.0)).alias("value_observed"))
 

@@ -51,12 +51,12 @@ CY_VIEWS = ("stock", "centroid")
 
 def corridor_year_df(spark, sf, f: Filters = F_ALL, feature_scope: str = "selection"):
     cat = views(spark, sf)
-    return sp.corridor_year_for(cat.stock(), cat.view("centroid"), f, feature_scope)
+    return sp.corridor_year_for(cat.cube(), cat.view("centroid"), f, feature_scope)
 
 
 def _pairs(spark, sf):
     cat = views(spark, sf)
-    d = filter_selection(cat.stock(), F_ALL).dropna(subset=["origin_country_std", "host_country_std"])
+    d = filter_selection(cat.cube(), F_ALL).dropna(subset=["origin_country_std", "host_country_std"])
     pairs = d.groupBy(F.col("origin_country_std").alias("origin"), F.col("host_country_std").alias("host")) \
         .agg(F.coalesce(F.sum("value_observed"), F.lit(0.0)).alias("value_observed"))
     return sp.centroid_join(pairs, cat.view("centroid"))

@@ -20,9 +20,16 @@ SEL = f"year = {LATEST_YEAR} AND population_type_std IN {CB}"
 
 
 def _stock(spark, sf):
+    """The cell table (for queries that count or return cells)."""
     return views(spark, sf).stock()
 
 
+def _cube(spark, sf):
+    """The stock cube (for queries that only sum): exact, and bounded by
+    countries^2 x years x types rows whatever the cell count."""
+    return views(spark, sf).cube()
+
+
 # ============================================================ §2.4 selection
 @register("scope_types", f"""
 SELECT s.scope, s.population_type_std, count(*) AS rows
@@ -56,7 +63,7 @@ FROM crisis c LEFT JOIN s ON s.origin_country_std = c.origin_country_std
 """, views=("stock", "crisis"))
 def q_crisis_origin(spark, sf):
     cat = views(spark, sf)
-    per_origin = (sel.filter_selection(cat.stock(), F0).groupBy("origin_country_std")
+    per_origin = (sel.filter_selection(cat.cube(), F0).groupBy("origin_country_std")
                   .agg(F.coalesce(F.sum(V), F.lit(0.0)).alias("_v")))
     return (F.broadcast(cat.view("crisis")).join(per_origin, "origin_country_std", "left")
             .select("crisis", "origin_country_std", F.coalesce("_v", F.lit(0.0)).alias(V)))
@@ -94,7 +101,7 @@ FROM stock WHERE {SEL} AND host_country_std IS NOT NULL
 GROUP BY host_country_std, population_type_std HAVING coalesce(sum(value_observed), 0) > 0
 """)
 def q_positive_only(spark, sf):
-    d = sel.filter_selection(_stock(spark, sf), F0).dropna(subset=["host_country_std"])
+    d = sel.filter_selection(_cube(spark, sf), F0).dropna(subset=["host_country_std"])
     return sel.positive_only(d.groupBy("host_country_std", "population_type_std")
                              .agg(F.coalesce(F.sum(V), F.lit(0.0)).alias(V)))
 
@@ -119,7 +126,7 @@ def q_last_n_years(spark, sf):
 
 @register("year_bounds", "SELECT min(year) AS year_min, max(year) AS year_max FROM stock")
 def q_year_bounds(spark, sf):
-    return sel.year_bounds(_stock(spark, sf))
+    return sel.year_bounds(_cube(spark, sf))
 
 
 @register("filter_choices", """
@@ -131,7 +138,7 @@ UNION ALL SELECT DISTINCT 'host', 1, host_country_std FROM stock
   WHERE host_country_std IS NOT NULL AND host_mapping_status IS DISTINCT FROM 'special_entity'
 """)
 def q_filter_choices(spark, sf):
-    s = _stock(spark, sf)
+    s = _cube(spark, sf)
     o = sel.filter_choices(s, "origin").select(F.lit("origin").alias("role"), "choice_order", "choice")
     h = sel.filter_choices(s, "host").select(F.lit("host").alias("role"), "choice_order", "choice")
     return o.unionByName(h)
@@ -147,7 +154,7 @@ SELECT string_agg(DISTINCT cast(year AS varchar), ',' ORDER BY cast(year AS varc
 FROM stock
 """)
 def q_filter_options(spark, sf):
-    o = sel.filter_options(_stock(spark, sf))
+    o = sel.filter_options(_cube(spark, sf))
     # the nested arrays are compared as comma-joined text
     return o.select(
         F.array_join(F.transform("years", lambda x: x.cast("string")), ",").alias("years"),
@@ -161,7 +168,7 @@ def q_filter_options(spark, sf):
 SELECT cast(coalesce(max(CASE WHEN year = 1990 THEN year END), max(year)) AS int) AS target_year FROM stock
 """)
 def q_year_fallback(spark, sf):
-    return sel.year_fallback(_stock(spark, sf), 1990)
+    return sel.year_fallback(_cube(spark, sf), 1990)
 
 
 # ============================================================ §2.5 stock
@@ -176,7 +183,7 @@ SELECT coalesce((SELECT sum(value_observed) FROM s), 0) AS total,
                                        UNION ALL SELECT host_country_std FROM s) u) AS countries
 """)
 def q_kpis(spark, sf):
-    return st.kpis(_stock(spark, sf), F0)
+    return st.kpis(_cube(spark, sf), F0)
 
 
 @register("kpi_table", f"""
@@ -195,7 +202,7 @@ UNION ALL SELECT 'Asylum applications during year', coalesce(sum(applications_ob
 """, views=("stock", "decisions"))
 def q_kpi_table(spark, sf):
     cat = views(spark, sf)
-    return st.kpi_table(cat.stock(), cat.view("decisions"))
+    return st.kpi_table(cat.cube(), cat.view("decisions"))
 
 
 @register("trend_by_type", f"""
@@ -203,7 +210,7 @@ SELECT year, population_type_std, coalesce(sum(value_observed), 0) AS value_obse
 FROM stock WHERE population_type_std IN {CB} GROUP BY year, population_type_std
 """)
 def q_trend_by_type(spark, sf):
-    return st.trend_by_type(_stock(spark, sf), F0)
+    return st.trend_by_type(_cube(spark, sf), F0)
 
 
 @register("annual_population_yoy", """
@@ -242,12 +249,12 @@ def _rank_sql(role: str, n: int, extra_where: str = "") -> str:
 
 @register("rank_hosts", _rank_sql("host", 12))
 def q_rank_hosts(spark, sf):
-    return st.rank_entities(sel.filter_selection(_stock(spark, sf), F0), "host", F0.top_n)
+    return st.rank_entities(sel.filter_selection(_cube(spark, sf), F0), "host", F0.top_n)
 
 
 @register("rank_origins", _rank_sql("origin", 12))
 def q_rank_origins(spark, sf):
-    return st.rank_entities(sel.filter_selection(_stock(spark, sf), F0), "origin", F0.top_n)
+    return st.rank_entities(sel.filter_selection(_cube(spark, sf), F0), "origin", F0.top_n)
 
 
 def _rank_full_cte(role: str, n: int, cte: str) -> str:
@@ -284,7 +291,7 @@ UNION ALL
 SELECT 'Top host countries', rank, host_country_std, host_iso3, value_observed, share_of_selected_total FROM rh
 """)
 def q_rank_combined(spark, sf):
-    return st.rank_combined(sel.filter_selection(_stock(spark, sf), F0), F0.top_n)
+    return st.rank_combined(sel.filter_selection(_cube(spark, sf), F0), F0.top_n)
 
 
 @register("treemap_hosts", _rank_cte("host", 12, "top") + """
@@ -292,7 +299,7 @@ SELECT 'Selected host stock' AS parent, host_country_std AS label, value_observe
 UNION ALL SELECT '', 'Selected host stock', sum(value_observed) FROM top
 """)
 def q_treemap_hosts(spark, sf):
-    return st.treemap_hosts(sel.filter_selection(_stock(spark, sf), F0), F0.top_n)
+    return st.treemap_hosts(sel.filter_selection(_cube(spark, sf), F0), F0.top_n)
 
 
 @register("host_geography", f"""
@@ -301,7 +308,7 @@ FROM stock WHERE {SEL} AND host_map_eligible_flag AND host_iso3 IS NOT NULL AND
 GROUP BY host_country_std, host_iso3 HAVING coalesce(sum(value_observed), 0) > 0
 """)
 def q_host_geography(spark, sf):
-    return st.host_geography(sel.filter_selection(_stock(spark, sf), F0))
+    return st.host_geography(sel.filter_selection(_cube(spark, sf), F0))
 
 
 @register("choropleth_latest", f"""
@@ -321,7 +328,7 @@ FROM stock WHERE population_type_std IN {CB} AND {clean_sql('host')} AND host_ma
 GROUP BY year, host_country_std, host_iso3 HAVING coalesce(sum(value_observed), 0) > 0
 """)
 def q_host_by_year(spark, sf):
-    return st.host_by_year(_stock(spark, sf))
+    return st.host_by_year(_cube(spark, sf))
 
 
 @register("leading_pair", f"""
@@ -332,7 +339,7 @@ SELECT coalesce((SELECT origin_country_std FROM d WHERE origin_country_std IS NO
                  ORDER BY coalesce(sum(value_observed), 0) DESC, host_country_std LIMIT 1), '-') AS host_name
 """)
 def q_leading_pair(spark, sf):
-    return st.leading_pair(sel.filter_selection(_stock(spark, sf), F0))
+    return st.leading_pair(sel.filter_selection(_cube(spark, sf), F0))
 
 
 def _corridors_cte(n: int, cte: str = "top") -> str:
@@ -349,7 +356,7 @@ def _corridors_cte(n: int, cte: str = "top") -> str:
 
 @register("corridors", _corridors_cte(12) + "SELECT * FROM top")
 def q_corridors(spark, sf):
-    return st.corridors(sel.filter_selection(_stock(spark, sf), F0), F0.top_n)
+    return st.corridors(sel.filter_selection(_cube(spark, sf), F0), F0.top_n)
 
 
 @register("corridors_full", f"""
@@ -375,7 +382,7 @@ FROM top t JOIN centroid co ON co.country_std = t.origin_country_std
 """, views=("stock", "centroid"))
 def q_route_weights(spark, sf):
     cat = views(spark, sf)
-    corr = st.corridors(sel.filter_selection(cat.stock(), F0), min(F0.top_n, 12))
+    corr = st.corridors(sel.filter_selection(cat.cube(), F0), min(F0.top_n, 12))
     return st.route_weights(corr, cat.view("centroid"), 12)
 
 
@@ -390,7 +397,7 @@ _SANKEY_LAYERS = _corridors_cte(12) + """
 
 
 def _sankey_layers_df(spark, sf):
-    corr = st.corridors(sel.filter_selection(_stock(spark, sf), F0), min(F0.top_n, 18))
+    corr = st.corridors(sel.filter_selection(_cube(spark, sf), F0), min(F0.top_n, 18))
     return st.sankey_layers(corr, 14)
 
 
@@ -411,7 +418,7 @@ def q_sankey_nodes(spark, sf):
 
 @register("crisis_hosts", _rank_sql("host", 12, f"AND origin_country_std = '{FOCUS}'"))
 def q_crisis_hosts(spark, sf):
-    return st.crisis_hosts(_stock(spark, sf), F0)
+    return st.crisis_hosts(_cube(spark, sf), F0)
 
 
 @register("crisis_routes", f"""
@@ -422,7 +429,7 @@ def q_crisis_hosts(spark, sf):
 SELECT * FROM r WHERE value_observed > 0
 """)
 def q_crisis_routes(spark, sf):
-    return st.crisis_routes(_stock(spark, sf), F0)
+    return st.crisis_routes(_cube(spark, sf), F0)
 
 
 @register("crisis_annotated_trend", f"""
@@ -433,7 +440,7 @@ LEFT JOIN (SELECT year, event FROM crisis_events WHERE crisis = 'Crisis 1') e ON
 """, views=("stock", "crisis_events"))
 def q_crisis_annotated_trend(spark, sf):
     cat = views(spark, sf)
-    return st.crisis_annotated_trend(cat.stock(), cat.view("crisis_events"), F0)
+    return st.crisis_annotated_trend(cat.cube(), cat.view("crisis_events"), F0)
 
 
 @register("crisis_trend", f"""
@@ -441,7 +448,7 @@ SELECT year, population_type_std, coalesce(sum(value_observed), 0) AS value_obse
 WHERE origin_country_std = '{FOCUS}' AND population_type_std IN {CB} GROUP BY year, population_type_std
 """)
 def q_crisis_trend(spark, sf):
-    return st.crisis_trend(_stock(spark, sf), FOCUS)
+    return st.crisis_trend(_cube(spark, sf), FOCUS)
 
 
 @register("crisis_summary", f"""
@@ -464,7 +471,7 @@ SELECT origin_country_std AS crisis_or_origin,
 FROM r GROUP BY origin_country_std
 """)
 def q_crisis_summary(spark, sf):
-    return st.crisis_summary(_stock(spark, sf), 5)
+    return st.crisis_summary(_cube(spark, sf), 5)
 
 
 @register("crisis_top_hosts", f"""
@@ -475,7 +482,7 @@ GROUP BY host_country_std, host_iso3 HAVING coalesce(sum(value_observed), 0) > 0
 ORDER BY value_observed DESC, host_country_std LIMIT 15
 """)
 def q_crisis_top_hosts(spark, sf):
-    return st.crisis_top_hosts(_stock(spark, sf), FOCUS, 15)
+    return st.crisis_top_hosts(_cube(spark, sf), FOCUS, 15)
 
 
 @register("concentration_by_year", f"""
@@ -495,7 +502,7 @@ SELECT year, dimension, count(*) AS countries, sum(v) AS total_observed,
 FROM r GROUP BY year, dimension
 """)
 def q_concentration_by_year(spark, sf):
-    return st.concentration_by_year(_stock(spark, sf))
+    return st.concentration_by_year(_cube(spark, sf))
 
 
 @register("role_scatter", f"""
@@ -513,7 +520,7 @@ SELECT country, iso3, os AS origin_stock_observed, hs AS host_stock_observed, hs
 FROM j
 """)
 def q_role_scatter(spark, sf):
-    return st.role_scatter(_stock(spark, sf))
+    return st.role_scatter(_cube(spark, sf))
 
 
 @register("host_pressure", f"""
@@ -547,4 +554,4 @@ SELECT node, node_type, count(*) AS degree,
 FROM n GROUP BY node, node_type
 """)
 def q_network_metrics(spark, sf):
-    return st.network_metrics(_stock(spark, sf))
+    return st.network_metrics(_cube(spark, sf))

@@ -131,6 +131,7 @@ class Catalog:
         self.view(SILVER_VIEWS[0])
         with ThreadPoolExecutor(max_workers=threads) as ex:
             list(ex.map(self.view, SILVER_VIEWS[1:]))
+        self.cube()
 
     def _materialize(self, name: str, df: DataFrame) -> DataFrame:
         path = f"{self.silver_dir}/{name}"
@@ -152,6 +153,26 @@ class Catalog:
     def stock(self) -> DataFrame:
         return self.view("stock")
 
+    def cube(self) -> DataFrame:
+        """The stock cube (``operators.cube``), written once as silver."""
+        key = "__final__stock_cube"
+        with _LOCK:
+            tables = self._tables()
+            if key in tables:
+                return tables[key]
+        from flowatlas.operators.cube import build_cube
+        stock = self.stock()
+        with self._lock_for("stock_cube"):
+            with _LOCK:
+                if key in tables:
+                    return tables[key]
+            df = build_cube(stock)
+            if self.silver_dir:
+                df = self._materialize("stock_cube", df)
+            with _LOCK:
+                tables[key] = df
+            return df
+
 
 def catalog(spark: SparkSession, sf_dir: str, materialize: bool | None = None) -> Catalog:
     """One catalog per (application, data folder), so silver tables are

@@ -34,7 +34,9 @@ def test_flagship_plan_shape(spark):
     assert "PartitionFilters: [isnotnull(year" in text and "Subquery" in text   # runtime year pruning
     assert "partial_sum" in text                                               # map-side combine
     assert "TakeOrderedAndProject" in text                                     # top-N, no global sort
-    assert "ReadSchema: struct<population_type_std:string,value_observed:double,host_country_std" in text
+    assert "flowatlas_silver" in text and "stock_cube" in text                    # reads the cube
+    assert ("ReadSchema: struct<population_type_std:string,host_country_std:string,host_iso3:string,"
+            "host_mapping_status:string,value_observed:double>") in text             # 5 columns only
 
 
 _PASS_THROUGH = ("Project", "Filter", "ColumnarToRow", "WholeStageCodegen", "InputAdapter", "Expand",
