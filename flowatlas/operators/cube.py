@@ -32,4 +32,24 @@ def build_cube(stock: DataFrame) -> DataFrame:
         F.sum("value_observed").alias("value_observed"),
         F.count(F.lit(1)).alias("source_rows"),
         F.count("value_observed").alias("observed_rows"),
+        F.count_if(F.col("value_is_redacted")).alias("redacted_rows"),
+        F.count_if(F.col("value_is_blank")).alias("blank_rows"),
+        F.count_if(F.col("value_is_zero")).alias("zero_rows"),
     )
+
+
+def row_count(df: DataFrame):
+    """Rows behind a group: ``count(*)`` over cells, ``sum(source_rows)``
+    over the cube."""
+    return F.sum("source_rows") if "source_rows" in df.columns else F.count(F.lit(1))
+
+
+def observed_count(df: DataFrame, value: str = "value_observed"):
+    return F.sum("observed_rows") if "observed_rows" in df.columns else F.count(value)
+
+
+def flag_count(df: DataFrame, flag: str):
+    """Cells with ``value_is_<flag>``: ``count_if`` over cells, the additive
+    ``<flag>_rows`` column over the cube."""
+    col = f"{flag}_rows"
+    return F.sum(col) if col in df.columns else F.count_if(F.col(f"value_is_{flag}"))

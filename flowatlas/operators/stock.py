@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowatlas.functions.columns import share, sum0
+from flowatlas.operators.cube import flag_count, observed_count, row_count
 from flowatlas.operators.select import clean_condition, clean_entities, filter_selection, filter_year
 from flowatlas.schemas import (
     ACTIVE_FORCED_TYPES, CRISIS_ORIGIN, CROSS_BORDER_TYPES, DEFAULT_CRISIS, LATEST, POP_ASYLUM, POP_IDPS, POP_REFUGEES,
@@ -100,11 +101,11 @@ def annual_population_yoy(stock: DataFrame) -> DataFrame:
     against the exact previous calendar year (null when that year is absent)."""
     a = stock.groupBy("year", "population_type_std").agg(
         sum0(V).alias(V),
-        F.count(F.lit(1)).alias("source_rows"),
-        F.count(V).alias("observed_rows"),
-        F.count_if(F.col("value_is_redacted")).alias("redacted_rows"),
-        F.count_if(F.col("value_is_blank")).alias("blank_rows"),
-        F.count_if(F.col("value_is_zero")).alias("zero_rows"),
+        row_count(stock).alias("source_rows"),
+        observed_count(stock).alias("observed_rows"),
+        flag_count(stock, "redacted").alias("redacted_rows"),
+        flag_count(stock, "blank").alias("blank_rows"),
+        flag_count(stock, "zero").alias("zero_rows"),
     )
     prev_w = Window.partitionBy("population_type_std").orderBy("year").rangeBetween(-1, -1)
     prev = F.sum(V).over(prev_w)
@@ -134,7 +135,7 @@ def rank_entities_full(df: DataFrame, role: str, n: int) -> DataFrame:
     name, iso = f"{role}_country_std", f"{role}_iso3"
     st, fl = f"{role}_mapping_status", f"{role}_map_eligible_flag"
     g = (clean_entities(df, role).dropna(subset=[name, iso]).groupBy(name, iso, st, fl)
-         .agg(sum0(V).alias(V), F.count(F.lit(1)).alias("source_rows"), F.count(V).alias("observed_rows")))
+         .agg(sum0(V).alias(V), row_count(df).alias("source_rows"), observed_count(df).alias("observed_rows")))
     total = g.agg(F.sum(V)).scalar()
     top = g.filter(F.col(V) > 0).orderBy(F.col(V).desc(), F.col(name), F.col(iso)).limit(int(n))
     return (_rank_numbers(top, [F.col(V).desc(), F.col(name), F.col(iso)])
@@ -190,7 +191,7 @@ def choropleth_latest(stock: DataFrame, types=None) -> DataFrame:
     d = d.filter(F.col("host_map_eligible_flag") & F.col("host_iso3").isNotNull()
                  & F.col("origin_map_eligible_flag") & F.col("origin_iso3").isNotNull())
     return (d.dropna(subset=["host_country_std"]).groupBy("year", "host_country_std", "host_iso3")
-            .agg(sum0(V).alias(V), F.count(F.lit(1)).alias("source_rows"))
+            .agg(sum0(V).alias(V), row_count(stock).alias("source_rows"))
             .filter(F.col(V) > 0))
 
 
@@ -231,7 +232,7 @@ def corridors_full(stock: DataFrame, n: int = 300, types=None) -> DataFrame:
     d = clean_entities(clean_entities(d, "origin"), "host")
     keys = ["year", "origin_country_std", "origin_iso3", "host_country_std", "host_iso3", "population_type_std"]
     return (d.dropna(subset=keys).groupBy(*keys)
-            .agg(sum0(V).alias(V), F.count(F.lit(1)).alias("source_rows"))
+            .agg(sum0(V).alias(V), row_count(stock).alias("source_rows"))
             .filter(F.col(V) > 0)
             .orderBy(F.col(V).desc(), F.col("origin_country_std"), F.col("host_country_std"),
                      F.col("population_type_std")).limit(int(n)))
@@ -410,7 +411,7 @@ def host_pressure(stock: DataFrame, population: DataFrame, types=None) -> DataFr
     d = filter_year(stock, LATEST).filter(F.col("population_type_std").isin(types or CROSS_BORDER_TYPES))
     d = clean_entities(d, "host")
     h = (d.dropna(subset=["host_country_std"]).groupBy("year", "host_country_std", "host_iso3")
-         .agg(sum0(V).alias("host_stock_observed"), F.count(F.lit(1)).alias("source_rows"))
+         .agg(sum0(V).alias("host_stock_observed"), row_count(stock).alias("source_rows"))
          .filter(F.col("host_stock_observed") > 0))
     p = population.select(F.col("iso3").alias("host_iso3"), "year", "population_total",
                           "gdp_per_capita", "income_group")

@@ -225,7 +225,7 @@ SELECT a.*, a.value_observed - p.value_observed AS yoy_absolute_change,
 FROM a LEFT JOIN a p ON p.population_type_std = a.population_type_std AND p.year = a.year - 1
 """)
 def q_annual_population_yoy(spark, sf):
-    return st.annual_population_yoy(_stock(spark, sf))
+    return st.annual_population_yoy(_cube(spark, sf))
 
 
 def _rank_cte(role: str, n: int, cte: str, extra_where: str = "") -> str:
@@ -276,12 +276,12 @@ FROM g_{role} ORDER BY value_observed DESC, {name}, {iso} LIMIT {n})
 
 @register("rank_hosts_full", _rank_full_cte("host", 12, "r") + "SELECT * FROM r")
 def q_rank_hosts_full(spark, sf):
-    return st.rank_entities_full(sel.filter_selection(_stock(spark, sf), F0), "host", F0.top_n)
+    return st.rank_entities_full(sel.filter_selection(_cube(spark, sf), F0), "host", F0.top_n)
 
 
 @register("rank_origins_full", _rank_full_cte("origin", 12, "r") + "SELECT * FROM r")
 def q_rank_origins_full(spark, sf):
-    return st.rank_entities_full(sel.filter_selection(_stock(spark, sf), F0), "origin", F0.top_n)
+    return st.rank_entities_full(sel.filter_selection(_cube(spark, sf), F0), "origin", F0.top_n)
 
 
 @register("rank_combined", _rank_full_cte("origin", 12, "ro") + _rank_full_cte("host", 12, "rh") + """
@@ -318,7 +318,7 @@ FROM stock WHERE {SEL} AND host_map_eligible_flag AND host_iso3 IS NOT NULL
 GROUP BY year, host_country_std, host_iso3 HAVING coalesce(sum(value_observed), 0) > 0
 """)
 def q_choropleth_latest(spark, sf):
-    return st.choropleth_latest(_stock(spark, sf))
+    return st.choropleth_latest(_cube(spark, sf))
 
 
 @register("host_by_year", f"""
@@ -369,7 +369,7 @@ HAVING coalesce(sum(value_observed), 0) > 0
 ORDER BY value_observed DESC, origin_country_std, host_country_std, population_type_std LIMIT 300
 """)
 def q_corridors_full(spark, sf):
-    return st.corridors_full(_stock(spark, sf), 300)
+    return st.corridors_full(_cube(spark, sf), 300)
 
 
 @register("route_weights", _corridors_cte(12) + """
@@ -537,7 +537,7 @@ FROM h LEFT JOIN population p ON p.iso3 = h.host_iso3 AND p.year = h.year
 """, views=("stock", "population"))
 def q_host_pressure(spark, sf):
     cat = views(spark, sf)
-    return st.host_pressure(cat.stock(), cat.view("population"))
+    return st.host_pressure(cat.cube(), cat.view("population"))
 
 
 @register("network_metrics", f"""
