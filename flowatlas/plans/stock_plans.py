@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from flowatlas.operators import select as sel
 from flowatlas.operators import stock as st
+from flowatlas.operators.cube import row_count
 from flowatlas.plans.common import ACTIVE, CB, LATEST_YEAR, clean_sql, register, views
 from flowatlas.schemas import Filters, crisis_focus_origin
 
@@ -38,7 +39,8 @@ GROUP BY s.scope, s.population_type_std
 """, views=("stock", "scope"))
 def q_scope_types(spark, sf):
     cat = views(spark, sf)
-    per_type = cat.stock().groupBy("population_type_std").agg(F.count(F.lit(1)).alias("rows"))
+    cube = cat.cube()
+    per_type = cube.groupBy("population_type_std").agg(row_count(cube).alias("rows"))
     return (cat.view("scope").join(per_type, "population_type_std")
             .select("scope", "population_type_std", "rows"))
 
@@ -81,14 +83,16 @@ def _clean_counts_sql():
 
 @register("clean_entities", _clean_counts_sql())
 def q_clean_entities(spark, sf):
-    """Rows and value kept by each cleaning variant, from one scan."""
+    """Cells and value kept by each cleaning variant, from one pass over the cube."""
     variants = [(role, mo) for role in ("origin", "host") for mo in (False, True)]
     aggs = []
     for role, mo in variants:
         c = sel.clean_condition(role, map_only=mo)
-        aggs += [F.count_if(c).alias(f"{role}_{mo}_rows"),
+        # cube rows carry their cell counts: a kept cube row keeps all its cells
+        aggs += [F.coalesce(F.sum(F.when(c, F.col("source_rows"))), F.lit(0)).cast("bigint")
+                 .alias(f"{role}_{mo}_rows"),
                  F.coalesce(F.sum(F.when(c, F.col(V))), F.lit(0.0)).alias(f"{role}_{mo}_v")]
-    a = _stock(spark, sf).agg(*aggs)
+    a = _cube(spark, sf).agg(*aggs)
     rows = F.array(*[F.struct(F.lit(role).alias("role"), F.lit(mo).alias("map_only"),
                               F.col(f"{role}_{mo}_rows").alias("rows"), F.col(f"{role}_{mo}_v").alias(V))
                      for role, mo in variants])
@@ -111,8 +115,9 @@ SELECT year, count(*) AS rows FROM stock
 WHERE origin_iso3 IS NOT NULL AND host_iso3 IS NOT NULL GROUP BY year
 """)
 def q_key_not_null(spark, sf):
-    return (sel.key_not_null(_stock(spark, sf), ["origin_iso3", "host_iso3"])
-            .groupBy("year").agg(F.count(F.lit(1)).alias("rows")))
+    cube = _cube(spark, sf)
+    return (sel.key_not_null(cube, ["origin_iso3", "host_iso3"])
+            .groupBy("year").agg(row_count(cube).alias("rows")))
 
 
 @register("last_n_years", """
@@ -121,7 +126,8 @@ WHERE year IN (SELECT DISTINCT year FROM stock WHERE year IS NOT NULL ORDER BY y
 GROUP BY year
 """)
 def q_last_n_years(spark, sf):
-    return sel.last_n_years(_stock(spark, sf), 12).groupBy("year").agg(F.count(F.lit(1)).alias("rows"))
+    cube = _cube(spark, sf)
+    return sel.last_n_years(cube, 12).groupBy("year").agg(row_count(cube).alias("rows"))
 
 
 @register("year_bounds", "SELECT min(year) AS year_min, max(year) AS year_max FROM stock")
