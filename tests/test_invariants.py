@@ -209,3 +209,13 @@ def test_uncertainty_matches_brute_force(spark):
         assert math.isclose(got[band]["p10"], q[0], abs_tol=1e-9)
         assert math.isclose(got[band]["p50"], q[1], abs_tol=1e-9)
         assert math.isclose(got[band]["p90"], q[2], abs_tol=1e-9)
+
+
+def test_cube_re_aggregates_the_cells_exactly(spark, stock):
+    cube = catalog(spark, SF_SMALL).cube()
+    c = cube.agg(F.sum("value_observed"), F.sum("source_rows"), F.sum("observed_rows"),
+                 F.sum("redacted_rows"), F.sum("zero_rows")).first()
+    s = stock.agg(F.sum("value_observed"), F.count(F.lit(1)), F.count("value_observed"),
+                  F.count_if("value_is_redacted"), F.count_if("value_is_zero")).first()
+    assert tuple(c) == tuple(s)
+    assert cube.count() < stock.count()
