@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -54,6 +55,18 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return None
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """Where tables are written between jobs: ``spark.checkpoint.dir``. A
+    local-mode session that names none (a test, a laptop) gets a fresh
+    temporary one; a cluster session must name a folder all nodes share."""
+    d = checkpoint_dir(spark)
+    if d:
+        return d
+    if not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="run-", dir="/tmp"))
+
+
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
     """Tests and the local bench only: use ``fallback`` when the session
     names no checkpoint folder. A cluster always names one."""
