@@ -1,6 +1,6 @@
 """All queries of this subpackage; importing the modules registers them."""
 
-from flowatlas.llm import decontaminate, quality, urls  # noqa: F401
+from flowatlas.llm import decontaminate, packing, quality, urls  # noqa: F401
 from flowatlas.llm.common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
