@@ -3,7 +3,10 @@ broadcasts and exact binned quantiles."""
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -36,6 +39,27 @@ def register(key: str, oracle: str | None = None):
     return deco
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Makes this package importable in Python workers, however the driver
+    found it: sent once per application with ``addPyFile``."""
+    app = spark.sparkContext.applicationId
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    if app in _shipped or not os.path.isdir(top):
+        return
+    path = os.path.join(tempfile.mkdtemp(prefix="ship-"), os.path.basename(top) + ".zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(top):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    file = os.path.join(folder, n)
+                    z.write(file, os.path.relpath(file, os.path.dirname(top)))
+    spark.sparkContext.addPyFile(path)
+    _shipped.add(app)
+
+
 def work_dir(spark: SparkSession, key: str) -> str:
     """A new folder of this call under the shared checkpoint folder (tables
     written there survive lost executors)."""

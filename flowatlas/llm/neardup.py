@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowatlas.llm.common import register, save, small, work_dir
+from flowatlas.llm.common import register, save, ship_package, small, work_dir
 from flowatlas.llm.graph import components
 from flowatlas.llm.textops import SPACE, WordHasher, groups, shingle_sets
 
@@ -280,6 +280,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     den: int = DENOMINATOR, miss: float = MISS, chunk: int = CHUNK) -> DataFrame:
     """One row per row of ``docs``: doc_id, _h (text hash), n_shingles,
     component_id (least id reachable), kept (doc_id = component_id)."""
+    ship_package(docs.sparkSession)
     path = work_dir(docs.sparkSession, "neardup")
     sigs = save(signatures(docs, id_col, text_col, shingle), f"{path}/signatures")
     cells = cells_of(sigs, path)

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from flowatlas.llm.common import register, save, work_dir
+from flowatlas.llm.common import register, save, ship_package, work_dir
 from flowatlas.llm.tokens import END_ID, encoder, tokenizer_path
 
 CAPACITY = 4096
@@ -117,6 +117,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, id_col
     """(doc_id, piece, start, length, ids, bucket, pos): every document's ids
     (little-endian unsigned 32-bit) with the end id, cut at the capacity;
     ``pos`` counts the pieces of one length in the task ``bucket``."""
+    ship_package(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -36,11 +36,12 @@ class WordHasher:
     """64-bit hashes of the words between separator bytes. A word's hash is
     the difference of two prefix sums of a polynomial over its bytes."""
 
-    def __init__(self, separators: np.ndarray, lower: bool = True):
-        self.separators, self.lower = separators, lower
+    def __init__(self, separators: np.ndarray, lower: bool = True, prefixes: tuple[int, ...] = ()):
+        """``prefixes``: also hash the words' first so many bytes (whole shorter words)."""
+        self.separators, self.lower, self.prefixes = separators, lower, prefixes
         self.up = self.down = np.zeros(0, np.uint64)
 
-    def _segment(self, a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _segment(self, a: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
         if len(a) > len(self.up):
             self.up, self.down = _powers(_BASE, len(a)), _powers(_INVERSE, len(a))
         sep = self.separators[a]
@@ -48,10 +49,21 @@ class WordHasher:
         edge = np.concatenate([[0] if not sep[0] else [], edge, [len(a)] if not sep[-1] else []]).astype(np.int64)
         start, end = edge[::2], edge[1::2]
         total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTES[a] * self.up[:len(a)], dtype=np.uint64)])
-        return start, mix((total[end] - total[start]) * self.down[start] + (end - start).astype(np.uint64))
+        out = []
+        for n in (None, *self.prefixes):
+            stop = end if n is None else np.minimum(end, start + n)
+            # the length tells a whole word from the same letters that begin a longer one
+            size = (end - start if n is None else np.minimum(end - start, n + 1)).astype(np.uint64)
+            out.append(mix((total[stop] - total[start]) * self.down[start] + size))
+        return start, out
 
     def __call__(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(hashes of all words in order, first word of each text and the total)."""
+        hashes, first = self.levels(texts)
+        return hashes[0], first
+
+    def levels(self, texts: list[bytes]) -> tuple[list[np.ndarray], np.ndarray]:
+        """As a call, with the hashes of whole words and of each prefix length."""
         joined = b"\n".join([*texts, b""])
         if self.lower:
             joined = joined.translate(_LOWER)
@@ -70,7 +82,7 @@ class WordHasher:
             at = end
         first = np.cumsum([0, *(len(t) + 1 for t in texts)])
         where = np.concatenate(starts) if starts else np.zeros(0, np.int64)
-        return (np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)), np.searchsorted(where, first)
+        return [np.concatenate(h) for h in zip(*hashes)] or [where.astype(np.uint64)] * (1 + len(self.prefixes)), np.searchsorted(where, first)
 
 
 def shingle_sets(words: np.ndarray, first: np.ndarray, k: int) -> Iterator[np.ndarray]:

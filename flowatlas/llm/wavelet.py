@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from flowatlas.llm.common import register, save, work_dir
+from flowatlas.llm.common import register, save, ship_package, work_dir
 from flowatlas.llm.files import read_bytes, unique, write_bytes
 from flowatlas.llm.tokens import END_ID, crc32_u32, encoder, tokenizer_path
 
@@ -219,6 +219,7 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, id_col: str = "do
         if counts:
             yield flush()
 
+    ship_package(docs.sparkSession)
     narrow = docs.select(F.col(id_col).alias("doc_id"),
                          F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("text"))
     ranged = narrow.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
@@ -252,6 +253,7 @@ def read_documents(manifest: DataFrame, id_type: str = "long") -> DataFrame:
                      pa.array(crc, pa.int64()), pa.array([path] * len(n), pa.string()), pa.array(place)],
                     names=["doc_id", "start", "n_tokens", "ids_crc32", "path", "place"])
 
+    ship_package(manifest.sparkSession)
     n = max(1, manifest.count())
     tasks = min(n, 4 * int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     return (shard_starts(manifest).select("path", "first").repartition(tasks)
@@ -268,6 +270,7 @@ def occurrences(manifest: DataFrame, token: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([path] * len(at), pa.string()), pa.array(at, pa.int64())],
                                                  names=["path", "place"])
 
+    ship_package(manifest.sparkSession)
     return manifest.select("path").mapInArrow(run, "path string, place long")
 
 
