@@ -1,6 +1,6 @@
 """All queries of this subpackage; importing the modules registers them."""
 
-from flowatlas.llm import decontaminate, neardup, packing, quality, secrets, toxicity, urls, wavelet  # noqa: F401
+from flowatlas.llm import decontaminate, neardup, packing, quality, secrets, toxicity, urls, warc, wavelet  # noqa: F401
 from flowatlas.llm.common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
