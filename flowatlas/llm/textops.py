@@ -26,8 +26,9 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _powers(base: np.uint64, n: int) -> np.ndarray:
-    p = np.full(n, base, np.uint64)
+def powers(n: int, inverse: bool = False) -> np.ndarray:
+    """The first ``n`` powers of the polynomial's base, or of its inverse."""
+    p = np.full(n, _INVERSE if inverse else _BASE, np.uint64)
     p[:1] = 1
     return np.multiply.accumulate(p)
 
@@ -41,9 +42,9 @@ class WordHasher:
         self.separators, self.lower, self.prefixes = separators, lower, prefixes
         self.up = self.down = np.zeros(0, np.uint64)
 
-    def _segment(self, a: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    def _segment(self, a: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
         if len(a) > len(self.up):
-            self.up, self.down = _powers(_BASE, len(a)), _powers(_INVERSE, len(a))
+            self.up, self.down = powers(len(a)), powers(len(a), inverse=True)
         sep = self.separators[a]
         edge = np.flatnonzero(sep[1:] != sep[:-1]) + 1
         edge = np.concatenate([[0] if not sep[0] else [], edge, [len(a)] if not sep[-1] else []]).astype(np.int64)
@@ -55,7 +56,7 @@ class WordHasher:
             # the length tells a whole word from the same letters that begin a longer one
             size = (end - start if n is None else np.minimum(end - start, n + 1)).astype(np.uint64)
             out.append(mix((total[stop] - total[start]) * self.down[start] + size))
-        return start, out
+        return start, end, out
 
     def __call__(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(hashes of all words in order, first word of each text and the total)."""
@@ -63,12 +64,13 @@ class WordHasher:
         return hashes[0], first
 
     def levels(self, texts: list[bytes]) -> tuple[list[np.ndarray], np.ndarray]:
-        """As a call, with the hashes of whole words and of each prefix length."""
+        """As a call, with the hashes of whole words and of each prefix length.
+        Leaves the joined ``text`` and where its words ``start`` and ``end``."""
         joined = b"\n".join([*texts, b""])
         if self.lower:
             joined = joined.translate(_LOWER)
         a = np.frombuffer(joined, np.uint8)
-        starts, hashes, at = [], [], 0
+        starts, ends, hashes, at = [], [], [], 0
         while at < len(a):
             end = min(at + SEGMENT, len(a))
             while end < len(a):  # cut between words
@@ -76,12 +78,14 @@ class WordHasher:
                 end = end + int(gap[0]) if len(gap) else min(end + SEGMENT, len(a))
                 if len(gap):
                     break
-            s, h = self._segment(a[at:end])
+            s, e, h = self._segment(a[at:end])
             starts.append(s + at)
+            ends.append(e + at)
             hashes.append(h)
             at = end
         first = np.cumsum([0, *(len(t) + 1 for t in texts)])
         where = np.concatenate(starts) if starts else np.zeros(0, np.int64)
+        self.text, self.start, self.end = a, where, np.concatenate(ends) if ends else where
         return [np.concatenate(h) for h in zip(*hashes)] or [where.astype(np.uint64)] * (1 + len(self.prefixes)), np.searchsorted(where, first)
 
 
