@@ -15,7 +15,7 @@ Calibration. The texts of each half of the labels are scored with the lexicon
 of the other half. The clean ones give the Karlin-Altschul parameters: lambda
 from the distribution of word scores, K from the mean best segment. A
 segment's E-value is ``K * words * exp(-lambda * score)``; a text's evidence
-is the sum of -ln E over its segments with E < 1 (or the best -ln E). A logistic curve from
+is the sum of -ln E over its segments with E < 1. A logistic curve from
 evidence to probability is fitted on counts per evidence bin and label.
 
 Sizes: counts are grouped by Spark; the lexicon is broadcast after its rows
@@ -209,9 +209,8 @@ class Calibration:
     share: float
 
     def evidence(self, scores: list[float], words: int) -> float:
-        """Sum of -ln E over the segments with E < 1; of the best if none is."""
-        e = [self.lam * s - math.log(self.k * max(words, 1)) for s in scores or [0.0]]
-        return max(max(e), sum(x for x in e if x > 0))
+        """Sum of -ln E over the segments with E < 1."""
+        return sum(max(0.0, self.lam * s - math.log(self.k * max(words, 1))) for s in scores)
 
     def probability(self, evidence: float) -> float:
         if not self.slope:
@@ -275,11 +274,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[Lexicon, Calibration]:
     mean = clean.agg(F.avg(lo * top - F.log(F.greatest("words", F.lit(1))))).first()[0] or 0.0
     k = math.exp(mean - _EULER)
     c = Calibration(lo, k, 1.0, 0.0, share)
-    each = F.transform(F.when(F.size("scores") > 0, F.col("scores")).otherwise(F.array(F.lit(0.0))),
-                       lambda x: lo * x - F.log(k * F.greatest("words", F.lit(1))))
-    ev = F.greatest(F.array_max(each), F.aggregate(each, F.lit(0.0), lambda a, x: a + F.greatest(x, F.lit(0.0))))
-    bins = held.groupBy(F.greatest(F.lit(-200), F.least(F.lit(400), F.round(ev * 4))).alias("b"), "toxic").agg(
-        F.count(F.lit(1)).alias("n")).collect()  # at most 1,202 rows
+    ev = F.aggregate(F.transform("scores", lambda x: lo * x - F.log(k * F.greatest("words", F.lit(1)))),
+                     F.lit(0.0), lambda a, x: a + F.greatest(x, F.lit(0.0)))
+    bins = held.groupBy(F.least(F.lit(400), F.round(ev * 4)).alias("b"), "toxic").agg(
+        F.count(F.lit(1)).alias("n")).collect()  # at most 802 rows
     x, y, m = (np.array([float(r[f]) for r in bins]) for f in ("b", "toxic", "n"))
     c.slope, c.intercept = _logistic(x / 4, y, m)
     return final, c
