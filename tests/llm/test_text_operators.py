@@ -1,0 +1,324 @@
+"""Near-duplicates, decontamination, sentence spans, quality, toxicity and
+secrets against brute force, over awkward small tables."""
+
+import collections
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from flowatlas.llm import decontaminate, graph, neardup, quality, repeats, secrets, toxicity
+from flowatlas.llm.common import work_dir
+from flowatlas.llm.textops import NON_ALNUM, SPACE, WordHasher, groups, shingle_sets
+
+from data import awkward_documents, clashing, frame, prose
+
+LOW = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+
+
+def lower(t):
+    return (t or "").encode().translate(LOW).decode()
+
+
+# ------------------------------------------------------------ shared pieces
+def test_word_hasher_equals_plain_words():
+    texts = [x[1] or "" for x in awkward_documents()] + ["", "a", " a ", prose(7, 40) * 3]
+    for sep, pattern in ((SPACE, r"[^\x20\x09-\x0D]+"), (NON_ALNUM, r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")):
+        h, first = WordHasher(sep)([t.encode() for t in texts])
+        words = [re.findall(pattern, lower(t)) for t in texts]
+        assert np.diff(first).tolist() == list(map(len, words))
+        flat = [w for ws in words for w in ws]
+        assert len(set(h.tolist())) == len(set(flat))
+        assert len(set(zip(h.tolist(), flat))) == len(set(flat))
+
+
+def test_word_hasher_cuts_long_buffers_between_words(monkeypatch):
+    texts = [prose(i, 30).encode() for i in range(40)] + [b"x" * 500 + b" y"]
+    whole, first = WordHasher(SPACE)(texts)
+    monkeypatch.setattr("flowatlas.llm.textops.SEGMENT", 64)
+    cut, again = WordHasher(SPACE)(texts)
+    assert np.array_equal(whole, cut) and np.array_equal(first, again)
+
+
+def test_components(spark):
+    r = random.Random(2)
+    pairs = [(r.randint(0, 300), r.randint(0, 300)) for _ in range(180)] + [(i, i + 1) for i in range(400, 470)] + [(5, 5)]
+    up = {x: x for p in pairs for x in p}
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a, b in pairs:
+        a, b = root(a), root(b)
+        up[max(a, b)] = min(a, b)
+    got = graph.components(spark.createDataFrame(pairs, "a long, b long"), work_dir(spark, "t"))
+    assert {(r.node, r.component) for r in got.collect()} == {(x, root(x)) for x in up if root(x) != x}
+    assert graph.components(spark.createDataFrame([], "a long, b long"), work_dir(spark, "t")).count() == 0
+
+
+# ---------------------------------------------------------- near-duplicates
+def brute_components(rows, k):
+    sets = []
+    for i, t in rows:
+        w = re.findall(r"[^\x20\x09-\x0D]+", lower(t))
+        sets.append(frozenset(tuple(w[j:j + k]) for j in range(len(w) - k + 1)) if len(w) >= k else frozenset([tuple(w)] if w else []))
+    up = list(range(len(rows)))
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a in range(len(rows)):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= 80 * len(sets[a] | sets[b]):
+                up[root(a)] = root(b)
+    least = collections.defaultdict(list)
+    for i, (d, _) in enumerate(rows):
+        if d is not None:
+            least[root(i)].append(d)
+    return [(d, len(s), min(least[root(i)], default=None)) for i, ((d, _), s) in enumerate(zip(rows, sets))]
+
+
+def mutated(seed, n_groups, size):
+    r, rows = random.Random(seed), []
+    for g in range(n_groups):
+        w = prose(g + 100 * seed, 90).split()
+        for _ in range(size):
+            x = list(w)
+            for _ in range(r.randint(0, 6)):
+                x[r.randrange(len(x))] = f"new{r.randint(0, 9999)}"
+            rows.append((len(rows), " ".join(x)))
+    return rows
+
+
+@pytest.mark.parametrize("chunk", [1000, 7])
+def test_near_duplicates(spark, chunk):
+    rows = mutated(1, 4, 25) + mutated(2, 15, 2)
+    rows = [(i, t) for i, (_, t) in enumerate(rows)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = neardup.near_duplicates(docs, shingle=4, chunk=chunk).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute_components(rows, 4)
+    assert all(r.kept == (r.doc_id == r.component_id) for r in got)
+
+
+def test_near_duplicates_awkward(spark):
+    rows = [(r[0], r[1]) for r in awkward_documents()]
+    got = neardup.near_duplicates(clashing(frame(spark)), shingle=4).collect()
+    key = lambda t: tuple(-1 if x is None else x for x in t)
+    want = [(d, n, c if n else d) for d, n, c in brute_components(rows, 4)]
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=key) == sorted(want, key=key)
+    assert neardup.near_duplicates(frame(spark, []), shingle=4).count() == 0
+
+
+def test_posterior_bound_prunes_at_the_miss_probability():
+    r = np.random.default_rng(3)
+    needs = neardup.least_matches(0.8, 1e-3)
+    hits = r.random((20000, neardup.HASHES)) < 0.8
+    lost = np.zeros(20000, bool)
+    for n, m in needs:
+        lost |= hits[:, :n].sum(axis=1) < m
+    assert lost.mean() < len(needs) * 1e-3 * 3
+
+
+# ----------------------------------------------------------- decontamination
+def brute_contamination(docs, items, window=13):
+    words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(t))
+    wins = collections.defaultdict(set)
+    for i, t in items:
+        w = words(t)
+        for s in range(max(len(w) - window + 1, 1) if w else 0):
+            wins[tuple(w[s:s + window])].add(i)
+    out = []
+    for d, t in docs:
+        w, hit, ids = words(t), set(), set()
+        for x, own in wins.items():
+            for s in range(len(w) - len(x) + 1):
+                if tuple(w[s:s + len(x)]) == x:
+                    hit.update(range(s, s + len(x)))
+                    ids |= own
+        out.append((d, len(w), len(hit), sorted(str(i) for i in ids if i is not None), bool(hit) and 20 * len(hit) >= len(w)))
+    return out
+
+
+def test_contamination(spark):
+    items = [(1, prose(50, 30)), (2, prose(51, 13)), (3, "Garden Bridge"), (4, None), (5, ""), (6, prose(50, 30)), (None, prose(52, 20)),
+             (10, "nowhere words appear")]
+    docs = [(r[0], r[1]) for r in awkward_documents()]
+    docs += [(100, prose(53, 200) + " " + prose(50, 30) + " " + prose(54, 10)), (101, prose(51, 13)), (102, prose(52, 20) * 2),
+             (103, "garden, BRIDGE garden bridge " * 40), (104, prose(55, 400) + " " + " ".join(prose(50, 30).split()[4:19]))]
+    d = clashing(spark.createDataFrame(docs, "doc_id long, text string"))
+    got = decontaminate.contamination(d, clashing(spark.createDataFrame(items, "item_id long, text string"))).collect()
+    have = sorted((r._id, r.n_words, r.n_hit, r.item_list, r.contaminated) for r in got)
+    assert have == sorted(("-" if x[0] is None else str(x[0]), *x[1:]) for x in brute_contamination(docs, items))
+    none = spark.createDataFrame([], "item_id long, text string")
+    assert {r.n_hit for r in decontaminate.contamination(d, none).collect()} == {0}
+    assert decontaminate.contamination(frame(spark, []), spark.createDataFrame(items, "item_id long, text string")).count() == 0
+
+
+def test_proximity(spark):
+    items = [(1, "silver captain thunder")]
+    docs = [(1, "silver one two captain three thunder"), (2, "thunder captain silver"), (3, "silver " + "x " * 40 + "captain thunder"), (4, "silver captain")]
+    index = decontaminate.PositionalIndex(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {r._id for r in index.proximity_matches(5).collect()} == {"1", "2"}
+    assert {r._id for r in index.phrases().collect()} == set()
+
+
+# ------------------------------------------------------------ sentence spans
+def test_repeats(spark):
+    passage = prose(60, 70)
+    docs = [(1, prose(61, 80) + " " + passage + " " + prose(62, 50)), (2, prose(63, 40)[:-1] + " " + passage + " lower " + prose(64, 60)),
+            (3, prose(65, 200)), (4, prose(65, 200)), (5, "\n".join([prose(66, 30)] * 3)), (6, None), (7, ""), (None, passage), (8, " x ")]
+    got = {r.doc_id: r for r in repeats.remove_repeats(clashing(spark.createDataFrame(docs, "doc_id long, text string"))).collect()}
+    for d, t in docs:
+        w, gone = (t or "").split(), set()
+        for s in got[d].spans:
+            gone.update(range(s["first"], s["end"]))
+        assert got[d].n_words == len(w) and got[d].n_removed == len(gone)
+        assert (got[d].text or "").split() == [x for i, x in enumerate(w) if i not in gone]
+    assert [got[i].n_removed for i in (1, 3, 6, 7, 8)] == [0] * 5 and got[6].text is None
+    assert got[2].n_removed == 70 and got[4].n_removed == 200 and got[None].n_removed == 70
+    assert got[5].n_removed >= 60
+    assert got[1].text == docs[0][1]
+    assert repeats.remove_repeats(frame(spark, [])).count() == 0
+
+
+# ------------------------------------------------------------------- quality
+def brute_stats(t):
+    t = t or ""
+    w = re.findall(r"[^\x20\x09-\x0D]+", t)
+    g = collections.Counter(tuple(w[i:i + 3]) for i in range(len(w) - 2))
+    cov = {j for i in range(len(w) - 2) if g[tuple(w[i:i + 3])] > 1 for j in (i, i + 1, i + 2)}
+    lines = [x for x in t.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), len(lines) - len(set(lines)), len(cov)
+
+
+def test_quality(spark):
+    junk = [(500 + i, " | ".join(f"##{x}$$" for x in prose(i, 80).split()), "en", "a", 0) for i in range(5)]
+    rows = awkward_documents() + [(20 + i, prose(200 + i, 60 + i % 40), "en", "a", 0) for i in range(120)] + junk
+    got = quality.judge_documents(clashing(frame(spark, rows))).collect()
+    key = lambda t: tuple(-1 if x is None else x for x in t)
+    want = [(r[0], *brute_stats(r[1])) for r in rows]
+    assert sorted(((r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) for r in got), key=key) == sorted(want, key=key)
+    by = {r.doc_id: r for r in got}
+    assert all(r.base_failed == (r.n_words < 50 or 100 * r.n_repeat_words > 50 * r.n_words) for r in got)
+    assert all(by[20 + i].kept for i in range(120)) and not any(by[500 + i].kept for i in range(5))
+    assert not by[4].kept and by[9].d2 is None and by[9].kept
+    assert quality.judge_documents(frame(spark, [])).count() == 0
+
+
+def test_chi_square():
+    assert abs(quality.chi2_quantile(0.95, 5) - 11.0705) < 1e-3 and abs(quality.chi2_cdf(2.0, 2) - (1 - np.exp(-1))) < 1e-12
+
+
+# ------------------------------------------------------------------ toxicity
+def test_segments_equal_brute_force():
+    r = random.Random(4)
+    for _ in range(300):
+        n = r.randint(1, 25)
+        s = [r.choice([-0.1, -0.1, -0.1, 1.0, 0.05]) for _ in range(n)]
+        place = np.array([i for i in range(n) if s[i] > 0])
+        got = toxicity.segments(place, np.array([s[i] for i in place]), 0.1)
+
+        def best(a, b):  # the definition: take the best segment, go on left and right of it
+            total = max(((round(sum(s[i:j]), 9), -(j - i), -i, j) for i in range(a, b) for j in range(i + 1, b + 1)), default=(0,))
+            if total[0] <= 0:
+                return []
+            i, j = -total[2], total[3]
+            return best(a, i) + [(i, j, total[0])] + best(j, b)
+
+        assert [(a, b, round(x, 6)) for a, b, x in got] == [(a, b, round(x, 6)) for a, b, x in best(0, n)]
+
+
+def test_toxicity_learns(spark):
+    r, rows, labels = random.Random(5), [], []
+    for i in range(600):
+        w = prose(1000 + i, r.randint(20, 120)).split()
+        y = i % 8 == 0
+        if y:
+            for _ in range(max(2, len(w) // 15)):
+                w[r.randrange(len(w))] = r.choice(["grobian", "grobling", "grobster", "scoundrel"])
+        rows.append((i, " ".join(w), "en", "a", 0))
+        labels.append((i, int(y)))
+    docs = clashing(frame(spark, rows + [(None, None, None, None, None), (700, "", "en", "a", 0)]))
+    lab = spark.createDataFrame(labels + [(None, 1), (1, None), (3, 0), (3, 1)], "doc_id long, toxic int")
+    out = toxicity.score_documents(docs, *toxicity.fit(docs, lab)).collect()
+    assert len(out) == 602 and all(0 <= x.score <= 1 for x in out)
+    held = [x for x in out if x.doc_id is not None and x.doc_id < 600 and zlib.crc32(str(x.doc_id).encode()) % 3 == 1]
+    right = sum((x.score >= 0.7) == (x.doc_id % 8 == 0) for x in held)
+    assert right >= 0.97 * len(held)
+    toxic = [x for x in held if x.doc_id % 8 == 0]
+    assert sum(bool(x.passages) for x in toxic) >= 0.9 * len(toxic)
+    words = rows[toxic[0].doc_id][1].split()
+    assert all(re.match("grob|scound", words[p["first"]]) for p in toxic[0].passages)
+
+
+def test_toxicity_without_labels(spark):
+    none = spark.createDataFrame([], "doc_id long, toxic int")
+    out = toxicity.score_documents(frame(spark), *toxicity.fit(frame(spark), none)).collect()
+    assert {r.score for r in out} == {0.0}
+    one = spark.createDataFrame([(1, 1), (3, 1), (5, 1), (9, 1), (11, 1), (12, 1)], "doc_id long, toxic int")
+    assert {r.score for r in toxicity.score_documents(frame(spark), *toxicity.fit(frame(spark), one)).collect()} == {1.0}
+    lex, cal = toxicity.fit(frame(spark, []), none)
+    assert toxicity.score_documents(frame(spark, []), lex, cal).count() == 0
+
+
+# ------------------------------------------------------------------- secrets
+def brute_spans(t):
+    t = t or ""
+    a = re.compile(r"""([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+    out = [(m.start(), 0, f"assign:{m.start()}:{m.end()}") for m in a.finditer(t) if len(m[2]) >= 8]
+    out += [(m.start(), 1, f"access:{m.start()}:{m.end()}") for m in re.finditer("AKIA[A-Z0-9]+", t) if len(m[0]) >= 16]
+    out += [(m.start(), 2, f"hex:{m.start()}:{m.end()}") for m in re.finditer("[0-9a-f]+", t) if len(m[0]) >= 32]
+    return [x[2] for x in sorted(out)]
+
+
+def test_spans_equal_brute_force():
+    r = random.Random(6)
+    bits = ["password", "PASSWD", "secret", "Token", "api_key", "ApiKey", '"', "'", " ", "=", ":", "abcd1234efgh", "AKIA", "ABCDEFGH1234", "é", "\U0001F600",
+            "0123456789abcdef", "\n", "ſecret", "x", "toKen"]
+    compiled = secrets.compile_rules(secrets.BASE_RULES)
+    for _ in range(4000):
+        t = "".join(r.choice(bits) for _ in range(r.randint(0, 14)))
+        assert [f"{k}:{a}:{b}" for k, a, b in secrets.find_spans(t, compiled)] == brute_spans(t)
+
+
+def test_ledger_is_incremental(spark):
+    ledger = work_dir(spark, "ledger")
+    v1 = spark.createDataFrame([("a", 1, "token = abcdefgh1"), ("b", 1, "nothing"), ("b", 1, "nothing"), (None, 1, None)], "path string, version int, text string")
+    v2 = v1.union(spark.createDataFrame([("a", 2, "token = zzzzzzzz2"), ("c", 2, "token = abcdefgh1")], v1.schema))
+    assert sum(len(r.spans) for r in secrets.scan(clashing(v1), ledger).collect()) == 1
+    first = secrets.read_ledger(spark, ledger).select("blob").distinct().count()
+    out = secrets.scan(clashing(v2), ledger).collect()
+    assert sorted((r.path, r.version) for r in out if r.spans) == [("a", 1), ("a", 2), ("c", 2)] and len(out) == 6
+    table = secrets.read_ledger(spark, ledger)
+    assert first == 3 and table.select("blob", "rules").distinct().count() == 4 == table.count() - 1 + (table.count() == 4)
+    newer = secrets.RULES + [("word", "nothing", 0, 1)]
+    out = secrets.scan(v2, ledger, rules=newer).collect()
+    assert sum(len(r.spans) for r in out) == 5
+    assert secrets.scan(v2.limit(0), ledger).count() == 0
+
+
+def test_redact(spark):
+    rows = [("a token = abcdefgh1 b " + "ab" * 20 + " c",), ("clean \U0001F600",), (None,), ('x password="' + "0f" * 20 + '" y',)]
+    docs = spark.createDataFrame([(str(i), r[0]) for i, r in enumerate(rows)], "path string, text string")
+    spans = secrets.scan(docs, work_dir(spark, "ledger"), version_col=None).select("path", "spans")
+    got = {r.path: r.x for r in docs.join(spans, "path").select("path", secrets.redact(F.col("text"), F.col("spans")).alias("x")).collect()}
+    assert got == {"0": "a [assign] b [hex] c", "1": "clean \U0001F600", "2": None, "3": 'x [assign]" y'}
+    assert all(not brute_spans(x) for x in got.values())
+
+
+def test_groups_cross_batches():
+    import pyarrow as pa
+    b = [pa.RecordBatch.from_pydict({"a": [1, 1], "b": [1, 2]}), pa.RecordBatch.from_pydict({"a": [1, 2], "b": [2, 2]}),
+         pa.RecordBatch.from_pydict({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})]
+    assert [t.num_rows for t in groups(iter(b), 2)] == [1, 2, 1]
+    assert list(shingle_sets(np.zeros(0, np.uint64), np.array([0, 0]), 4))[0].size == 0
+    assert hashlib.blake2b(b"").digest()
