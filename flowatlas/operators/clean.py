@@ -84,10 +84,21 @@ def label_key(c) -> F.Column:
     return F.upper(F.trim(col(c)))
 
 
+def unique_key(table: DataFrame, key: str) -> DataFrame:
+    """``table``, one row per ``key``; fails when a key has two different rows
+    (a join would multiply the other side's rows)."""
+    rest = [c for c in table.columns if c != key]
+    g = table.filter(F.col(key).isNotNull()).groupBy(key).agg(
+        F.count_distinct(F.struct(*[F.struct(F.col(c)) for c in rest])).alias("_n"), *[F.first(c).alias(c) for c in rest])
+    bad = F.raise_error(F.concat(F.lit(f"two rows for one {key.strip('_')}: "), F.col(key).cast("string")))
+    return g.select(F.when(F.col("_n") > 1, bad.cast(table.schema[key].dataType)).otherwise(F.col(key)).alias(key), *rest)
+
+
 def standardise_country(df: DataFrame, role: str, country_map: DataFrame,
                         raw_col: str | None = None) -> DataFrame:
     """Raw label -> ``{role}_country_std, _iso3, _mapping_status,
-    _map_eligible_flag`` by a broadcast left join on the normalised label.
+    _map_eligible_flag`` by a left join on the normalised label (a
+    label that the map has twice is refused).
     Unmatched labels keep their trimmed text and become ``unmapped``."""
     raw_col = raw_col or f"{role}_raw"
     m = country_map.select(
@@ -95,7 +106,7 @@ def standardise_country(df: DataFrame, role: str, country_map: DataFrame,
         F.col("country_std").alias(f"_{role}_std"), F.col("iso3").alias(f"_{role}_iso"),
         F.col("mapping_status").alias(f"_{role}_st"), F.col("map_eligible_flag").alias(f"_{role}_fl"),
         F.lit(True).alias(f"_{role}_hit"))
-    j = df.join(F.broadcast(m), label_key(raw_col) == F.col(f"_{role}_key"), "left")
+    j = df.join(unique_key(m, f"_{role}_key"), label_key(raw_col) == F.col(f"_{role}_key"), "left")
     hit = F.col(f"_{role}_hit").isNotNull()
     out = j.select(
         *[F.col(c) for c in df.columns],
@@ -134,11 +145,11 @@ def melt_age_sex(df: DataFrame, id_cols: list[str] | None = None,
 
 def normalise_population_type(df: DataFrame, type_map: DataFrame,
                               raw_col: str = "population_type_raw") -> DataFrame:
-    """Raw population-type label -> standard label (broadcast map join);
-    unknown labels are kept as they are."""
+    """Raw population-type label -> standard label (map join; a label that
+    the map has twice is refused); unknown labels are kept as they are."""
     m = type_map.select(F.col("population_type_raw").alias("_raw"),
                         F.col("population_type_std").alias("_std"))
-    j = df.join(F.broadcast(m), F.trim(col(raw_col)) == F.col("_raw"), "left")
+    j = df.join(unique_key(m, "_raw"), F.trim(col(raw_col)) == F.col("_raw"), "left")
     return j.select(*[F.col(c) for c in df.columns],
                     F.coalesce(F.col("_std"), F.trim(col(raw_col))).alias("population_type_std"))
 

@@ -35,9 +35,9 @@ from flowatlas.schemas import DISTANCE_BANDS, FEATURE_COLUMNS
 ACTUAL = "Actual observed"
 PREDICTED = "ML predicted"
 MIN_ROWS, MIN_YEARS, MIN_TRAIN, MIN_TEST = 80, 5, 50, 10
-REASON_ROWS = "Not enough corridor-year rows for a stable model."
-REASON_YEARS = "Not enough years for train/test validation."
-REASON_SPLIT = "Train/test split is too small."
+REASON_ROWS = "too_few_rows"
+REASON_YEARS = "too_few_years"
+REASON_SPLIT = "split_too_small"
 
 
 # ------------------------------------------------------------------ split
@@ -102,26 +102,28 @@ def _split_memory_mb(spark) -> int:
 
 
 def fit_forest(cy: DataFrame, n_trees: int = 140, seed: int = 42, max_depth: int = 30,
-               max_bins: int = 256) -> ForestBundle:
+               max_bins: int = 256, partitions: int = 16) -> ForestBundle:
     """Train on the non-test years (checked by the gates first: one
-    one-row action)."""
+    one-row action). Bagging is seeded per partition, so the rows are dealt
+    to a fixed number of ``partitions`` by their key and sorted: one seed gives
+    one model on any cluster."""
     g = train_gates(cy).first()
     if not g["ok"]:
         return ForestBundle(False, g["reason"], None, g["train_rows"], g["test_rows"])
-    # the corridor-year table arrives as a few coalesced partitions; spread
-    # it over the cluster's task slots so each tree level's statistics are
-    # computed in parallel, and keep it cached for the level-by-level passes
-    spark = cy.sparkSession
-    train = (feature_matrix(temporal_split(cy).filter(~F.col("is_test")))
-             .repartition(spark.sparkContext.defaultParallelism).persist())
+    # cached for the level-by-level passes
+    key = ["year", "origin", "host"]
+    train = feature_matrix(temporal_split(cy).filter(~F.col("is_test"))).repartition(
+        int(partitions), *key).sortWithinPartitions(*key).persist()
     rf = RandomForestRegressor(featuresCol="features", labelCol="target_log_flow", numTrees=int(n_trees),
                                minInstancesPerNode=2, featureSubsetStrategy="all", maxDepth=int(max_depth),
                                maxBins=int(max_bins), seed=int(seed), subsamplingRate=1.0, bootstrap=True,
                                # fewer, larger passes over the data for deep trees,
                                # within an eighth of the executor heap
                                maxMemoryInMB=_split_memory_mb(cy.sparkSession), cacheNodeIds=True)
-    model = Pipeline(stages=[assembler(), rf]).fit(train)
-    train.unpersist()
+    try:
+        model = Pipeline(stages=[assembler(), rf]).fit(train)
+    finally:
+        train.unpersist()
     return ForestBundle(True, "OK", model, g["train_rows"], g["test_rows"])
 
 
@@ -148,6 +150,9 @@ def load_forest(path: str, train_rows: int = 0, test_rows: int = 0) -> ForestBun
 
 
 def _predict(bundle: ForestBundle, cy: DataFrame) -> DataFrame:
+    """``cy`` with ``prediction``; without rows if the model was refused."""
+    if bundle.model is None:
+        return feature_matrix(cy).limit(0).withColumn("prediction", F.lit(None).cast("double"))
     return bundle.model.transform(feature_matrix(cy))
 
 
@@ -158,28 +163,30 @@ def model_metrics(bundle: ForestBundle, cy: DataFrame) -> DataFrame:
     y = F.col("target_log_flow")
     e = y - F.col("prediction")
     a = p.agg(F.avg(F.abs(e)).alias("mae_log"), F.sum(e * e).alias("_sse"),
-              F.sum(y).alias("_sy"), F.sum(y * y).alias("_syy"), F.count(F.lit(1)).alias("_n"))
-    sst = F.col("_syy") - F.col("_sy") * F.col("_sy") / F.col("_n")
+              (F.var_pop(y) * F.count(y)).alias("_sst"))
     return a.select(F.lit(bundle.train_rows).cast("long").alias("train_rows"),
                     F.lit(bundle.test_rows).cast("long").alias("test_rows"), "mae_log",
-                    (F.lit(1.0) - F.col("_sse") / sst).alias("r2"))
+                    (F.lit(1.0) - F.try_divide("_sse", "_sst")).alias("r2"), F.lit(bundle.reason).alias("reason"))
 
 
-def feature_importance(bundle: ForestBundle, spark, top: int = 6) -> DataFrame:
-    """Importances sorted, top ``top`` with percent of the largest. The
-    vector has one entry per feature (8 values) - driver-sized by design."""
-    imp = bundle.forest.featureImportances.toArray().tolist()
+def feature_importance(bundle: ForestBundle, spark) -> DataFrame:
+    """Importances of all features, ranked, with percent of the largest; empty
+    if the model was refused. The vector has one entry per feature (8 values)
+    - driver-sized by design."""
+    imp = bundle.forest.featureImportances.toArray().tolist() if bundle.model is not None else []
     df = spark.createDataFrame(list(zip(FEATURE_COLUMNS, [float(x) for x in imp])),
                                "feature string, importance double")
     mx = F.greatest(df.agg(F.max("importance")).scalar(), F.lit(1e-9))
-    return (df.orderBy(F.col("importance").desc(), F.col("feature")).limit(int(top))
+    order = Window.orderBy(F.col("importance").desc(), F.col("feature"))  # 8 rows
+    return (df.withColumn("rank", F.row_number().over(order))
             .withColumn("pct_of_max", F.lit(100.0) * F.col("importance") / mx))
 
 
-def predict_corridors(bundle: ForestBundle, cy: DataFrame, year: int) -> DataFrame:
-    """Score the corridors of ``year`` (or of the latest year when ``year``
-    has none): predicted = max(expm1(prediction), 0)."""
-    target = cy.agg(F.coalesce(F.max(F.when(F.col("year") == F.lit(int(year)), F.col("year"))),
+def predict_corridors(bundle: ForestBundle, cy: DataFrame, year: int | None = None) -> DataFrame:
+    """Score the corridors of ``year`` (of the latest year when ``year`` is
+    None or has none): predicted = max(expm1(prediction), 0)."""
+    asked = F.lit(year).cast("int")
+    target = cy.agg(F.coalesce(F.max(F.when(F.col("year") == asked, F.col("year"))),
                                F.max("year")).alias("prediction_year"))
     base = cy.join(F.broadcast(target), cy["year"] == target["prediction_year"], "inner")
     p = _predict(bundle, base)
@@ -209,11 +216,13 @@ def distance_mix_actual_vs_predicted(pred: DataFrame) -> DataFrame:
         "distance_band", "value", "share", "series", "year")
 
 
-def distance_uncertainty(bundle: ForestBundle, pred: DataFrame, n_trees: int = 80) -> DataFrame:
-    """Per-tree band shares of the first ``n_trees`` trees -> p10/p50/p90
-    per band. Each tree scores the rows (one column per tree), the columns
+def distance_uncertainty(bundle: ForestBundle, pred: DataFrame, n_trees: int | None = None) -> DataFrame:
+    """Per-tree band shares of all (or the first ``n_trees``) trees -> p10/p50/p90
+    per band; empty if the model was refused. Each tree scores the rows (one column per tree), the columns
     are exploded to (tree_id, value), then grouped."""
-    trees = bundle.forest.trees[:int(n_trees)]
+    if bundle.model is None:
+        return pred.select("distance_band", *[F.lit(None).cast("double").alias(p) for p in ("p10", "p50", "p90")]).limit(0)
+    trees = bundle.forest.trees[:n_trees]
     x = bundle.model.stages[0].transform(feature_matrix(
         pred.drop(*[c for c in pred.columns if c in ("features", "prediction")])))
     cols = []
@@ -239,14 +248,14 @@ def top_destinations(pred: DataFrame, n: int = 10) -> DataFrame:
         .select("host", "e.series", "e.people")
 
 
-def corridor_similarity(cy: DataFrame, k: int | None = 700) -> DataFrame:
-    """Top ``k`` corridor-years by value (all with ``k=None``) on two
+def corridor_similarity(cy: DataFrame, k: int | None = None) -> DataFrame:
+    """All corridor-years (or only the ``k`` largest) on two
     principal components of the z-scored features. z uses the population
     standard deviation; each component's sign is fixed so that its largest
     loading is positive."""
-    d = cy.orderBy(F.col("value_observed").desc(), "year", "origin", "host")
+    d = cy
     if k is not None:
-        d = d.limit(int(k))
+        d = d.orderBy(F.col("value_observed").desc(), "year", "origin", "host").limit(int(k))
     fm = assembler().transform(feature_matrix(d))
     scaler = StandardScaler(inputCol="features", outputCol="_z0", withMean=True, withStd=True).fit(fm)
     # MLlib scales by the sample std; sqrt(n / (n - 1)) turns that into the

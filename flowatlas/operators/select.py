@@ -124,13 +124,13 @@ def year_fallback(df: DataFrame, year: int) -> DataFrame:
 
 def scope_fallback(selected: DataFrame, whole_scope: DataFrame, min_rows: int = 10) -> DataFrame:
     """The selected table if it has at least ``min_rows`` rows, else the
-    whole-scope table, else an empty table. Decided with a bounded count
+    whole-scope table, else an empty table; ``input_used`` says which
+    (``selection`` or ``scope``). Decided with a bounded count
     (``limit(min_rows).count()``), the only action in this module."""
     if selected.limit(min_rows).count() >= min_rows:
-        return selected
-    if whole_scope.limit(min_rows).count() >= min_rows:
-        return whole_scope
-    return whole_scope.limit(0)
+        return selected.withColumn("input_used", F.lit("selection"))
+    whole = whole_scope.withColumn("input_used", F.lit("scope"))
+    return whole if whole_scope.limit(min_rows).count() >= min_rows else whole.limit(0)
 
 
 __all__ = [

@@ -27,12 +27,12 @@ V = "value_observed"
 def centroid_join(df: DataFrame, centroid: DataFrame, origin: str = "origin",
                   host: str = "host") -> DataFrame:
     """Attach both ends' coordinates; rows with an end lacking a centroid
-    are dropped (inner joins against the broadcast centroid dimension)."""
+    are dropped (inner joins)."""
     o = centroid.select(F.col("country_std").alias(origin), F.col("lat").alias("origin_lat"),
                         F.col("lon").alias("origin_lon"))
     h = centroid.select(F.col("country_std").alias(host), F.col("lat").alias("host_lat"),
                         F.col("lon").alias("host_lon"))
-    return df.join(F.broadcast(o), origin).join(F.broadcast(h), host)
+    return df.join(o, origin).join(h, host)
 
 
 def with_distance(df: DataFrame) -> DataFrame:
@@ -57,11 +57,9 @@ def corridor_year(df: DataFrame, centroid: DataFrame) -> DataFrame:
     out = out.withColumn("previous_year_flow", F.sum(V).over(pair_w))
 
     def end_prev(end: str, name: str) -> DataFrame:
-        # one row per (year, country): bounded by the country dimension
-        # times the years, whatever the data size - safe to broadcast
         tot = out.groupBy("year", end).agg(F.sum(V).alias("_t"))
         w = Window.partitionBy(end).orderBy("year").rangeBetween(-1, -1)
-        return F.broadcast(tot.select("year", end, F.sum("_t").over(w).alias(name)))
+        return tot.select("year", end, F.sum("_t").over(w).alias(name))
 
     out = (out.join(end_prev("origin", "origin_total_previous_year"), ["year", "origin"], "left")
            .join(end_prev("host", "host_total_previous_year"), ["year", "host"], "left"))

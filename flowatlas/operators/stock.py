@@ -167,8 +167,8 @@ def rank_combined(df: DataFrame, n: int) -> DataFrame:
 
 
 def treemap_hosts(df: DataFrame, n: int, root: str = TREEMAP_ROOT) -> DataFrame:
-    """Top min(n, 20) hosts as leaves plus their root node (rollup total)."""
-    top = rank_entities(df, "host", min(int(n), 20))
+    """Top ``n`` hosts as leaves plus their root node (rollup total)."""
+    top = rank_entities(df, "host", int(n))
     r = top.rollup("host_country_std").agg(F.sum(V).alias(V))
     leaf = F.col("host_country_std").isNotNull()
     return r.select(
@@ -238,29 +238,26 @@ def corridors_full(stock: DataFrame, n: int = 300, types=None) -> DataFrame:
                      F.col("population_type_std")).limit(int(n)))
 
 
-def route_weights(routes: DataFrame, centroid: DataFrame, n: int = 12) -> DataFrame:
-    """Top ``n`` route rows, weight relative to the largest of them (at
-    least 1.0); ends without a centroid are dropped after the cut."""
+def route_weights(routes: DataFrame, centroid: DataFrame) -> DataFrame:
+    """The given routes, weight relative to the largest of them (at least
+    1.0); ends without a centroid are dropped."""
     keys = [c for c in ("origin_country_std", "host_country_std", "population_type_std")
             if c in routes.columns]
-    top = (routes.filter(F.col(V) > 0)
-           .orderBy(F.col(V).desc(), *[F.col(k) for k in keys]).limit(int(n)))
+    top = routes.filter(F.col(V) > 0)
     maxv = F.greatest(top.agg(F.max(V)).scalar(), F.lit(1.0))
-    o = F.broadcast(centroid.select(F.col("country_std").alias("origin_country_std"),
-                                    F.col("lat").alias("origin_lat"), F.col("lon").alias("origin_lon")))
-    h = F.broadcast(centroid.select(F.col("country_std").alias("host_country_std"),
-                                    F.col("lat").alias("host_lat"), F.col("lon").alias("host_lon")))
+    o = centroid.select(F.col("country_std").alias("origin_country_std"),
+                        F.col("lat").alias("origin_lat"), F.col("lon").alias("origin_lon"))
+    h = centroid.select(F.col("country_std").alias("host_country_std"),
+                        F.col("lat").alias("host_lat"), F.col("lon").alias("host_lon"))
     return (top.join(o, "origin_country_std").join(h, "host_country_std")
             .select(*keys, V, (F.col(V) / maxv).alias("rel"),
                     "origin_lat", "origin_lon", "host_lat", "host_lon"))
 
 
-def sankey_layers(corr: DataFrame, n: int = 14) -> DataFrame:
-    """Top ``n`` corridor rows, re-summed into an origin->host layer and a
+def sankey_layers(corr: DataFrame) -> DataFrame:
+    """The given corridor rows, re-summed into an origin->host layer and a
     host->population-type layer."""
-    d = (corr.filter(F.col(V) > 0)
-         .orderBy(F.col(V).desc(), F.col("origin_country_std"), F.col("host_country_std"),
-                  F.col("population_type_std")).limit(int(n)))
+    d = corr.filter(F.col(V) > 0)
     l1 = d.groupBy(F.col("origin_country_std").alias("source"),
                    F.col("host_country_std").alias("target")).agg(F.sum(V).alias(V))
     l2 = d.groupBy(F.col("host_country_std").alias("source"),
@@ -285,7 +282,7 @@ def crisis_hosts(stock: DataFrame, f: Filters) -> DataFrame:
     """Host ranking of the crisis origin within the selection."""
     origin = crisis_focus_origin(f.crisis)
     d = filter_selection(stock, f).filter(F.col("origin_country_std") == F.lit(origin))
-    return rank_entities(d, "host", min(f.top_n, 12))
+    return rank_entities(d, "host", f.top_n)
 
 
 def crisis_routes(stock: DataFrame, f: Filters) -> DataFrame:
@@ -294,18 +291,18 @@ def crisis_routes(stock: DataFrame, f: Filters) -> DataFrame:
     d = filter_selection(stock, f).filter(F.col("origin_country_std") == F.lit(origin))
     keys = ["origin_country_std", "host_country_std"]
     return (d.dropna(subset=keys).groupBy(*keys).agg(sum0(V).alias(V))
-            .orderBy(F.col(V).desc(), F.col("host_country_std")).limit(min(f.top_n, 10))
+            .orderBy(F.col(V).desc(), F.col("host_country_std")).limit(f.top_n)
             .filter(F.col(V) > 0))
 
 
 def crisis_annotated_trend(stock: DataFrame, events: DataFrame, f: Filters) -> DataFrame:
     """The crisis origin's annual totals with that crisis's events joined on
-    the year (events are a small fixed dimension, broadcast)."""
+    the year."""
     crisis = f.crisis if f.crisis in CRISIS_ORIGIN else DEFAULT_CRISIS
     origin = crisis_focus_origin(crisis)
     d = filter_selection(stock, f.with_(year=None, crisis="All Crises", origin=origin))
     annual = d.groupBy("year").agg(sum0(V).alias(V))
-    ev = F.broadcast(events.filter(F.col("crisis") == F.lit(crisis)).select("year", "event"))
+    ev = events.filter(F.col("crisis") == F.lit(crisis)).select("year", "event")
     return annual.join(ev, "year", "left")
 
 
@@ -319,8 +316,9 @@ def crisis_trend(stock: DataFrame, origin: str, types=None) -> DataFrame:
 def crisis_summary(stock: DataFrame, n: int = 5, types=None) -> DataFrame:
     """For the top ``n`` origins of the latest year: first year with a
     positive total, latest year and value, peak year and value."""
-    d = stock.filter(F.col("population_type_std").isin(types or CROSS_BORDER_TYPES))
-    top = rank_entities(filter_year(d, LATEST), "origin", n).select("origin_country_std")
+    scope = F.col("population_type_std").isin(types or CROSS_BORDER_TYPES)
+    d = stock.filter(scope)
+    top = rank_entities(filter_year(stock, LATEST).filter(scope), "origin", n).select("origin_country_std")
     annual = (clean_entities(d, "origin").join(F.broadcast(top), "origin_country_std", "left_semi")
               .groupBy("origin_country_std", "year").agg(sum0(V).alias(V)))
     w_peak = Window.partitionBy("origin_country_std").orderBy(F.col(V).desc(), F.col("year").desc())

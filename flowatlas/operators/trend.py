@@ -34,6 +34,14 @@ def _ranked(annual: DataFrame, g: list[str], holdout: int) -> DataFrame:
     return annual.withColumn("_is_holdout", F.row_number().over(w) <= F.lit(int(holdout)))
 
 
+def _line(sums: DataFrame) -> DataFrame:
+    """Slope and intercept from the sums; null for fewer than two training years."""
+    slope = F.try_divide(F.col("n") * F.col("sxy") - F.col("sx") * F.col("sy"),
+                         F.col("n") * F.col("sxx") - F.col("sx") * F.col("sx"))
+    return sums.withColumn("slope", slope).withColumn(
+        "intercept", F.try_divide(F.col("sy") - F.col("slope") * F.col("sx"), F.col("n")))
+
+
 def ols_fit(annual: DataFrame, group_cols: list[str] | None = None, holdout: int = 3) -> DataFrame:
     """Per group: x0 (first year), slope, intercept (in x = year - x0),
     the last training year and its value, and the last observed year."""
@@ -54,10 +62,7 @@ def ols_fit(annual: DataFrame, group_cols: list[str] | None = None, holdout: int
         F.max_by(F.when(tr, y), F.when(tr, F.col("year"))).alias("last_train_value"),
         F.max("year").alias("last_year"),
     )
-    slope = ((F.col("n") * F.col("sxy") - F.col("sx") * F.col("sy"))
-             / (F.col("n") * F.col("sxx") - F.col("sx") * F.col("sx")))
-    return (agg.withColumn("slope", slope)
-            .withColumn("intercept", (F.col("sy") - F.col("slope") * F.col("sx")) / F.col("n")))
+    return _line(agg)
 
 
 def _predict(year_col) -> F.Column:
@@ -99,11 +104,11 @@ def forecast_compare(annual: DataFrame, holdout: int = 3,
         F.sum(F.when(tr, F.col("_x") * y)).over(w).alias("sxy"),
         F.sum(F.when(tr, F.col("_x") * F.col("_x"))).over(w).alias("sxx"),
         F.max_by(F.when(tr, y), F.when(tr, F.col("year"))).over(w).alias("last_train_value"))
-    slope = ((F.col("n") * F.col("sxy") - F.col("sx") * F.col("sy"))
-             / (F.col("n") * F.col("sxx") - F.col("sx") * F.col("sx")))
-    t = t.filter(F.col("_is_holdout")).withColumn("slope", slope) \
-        .withColumn("intercept", (F.col("sy") - F.col("slope") * F.col("sx")) / F.col("n"))
+    t = _line(t.filter(F.col("_is_holdout")))
     err = t.select(*g, F.abs(y - F.col("last_train_value")).alias(NAIVE),
                    F.abs(y - (F.col("intercept") + F.col("slope") * F.col("_x"))).alias(LINEAR))
     mae = err.groupBy(*g).agg(F.avg(NAIVE).alias(NAIVE), F.avg(LINEAR).alias(LINEAR))
-    return mae.unpivot(g, [NAIVE, LINEAR], "model", "holdout_mae").select(*keep, "model", "holdout_mae")
+    # the smaller error wins, the naive forecast on a tie or without a trend
+    winner = (F.when(F.col(LINEAR) < F.col(NAIVE), F.lit(LINEAR)).when(F.col(NAIVE).isNotNull(), F.lit(NAIVE)))
+    mae = mae.withColumn("winner", winner)
+    return mae.unpivot([*g, "winner"], [NAIVE, LINEAR], "model", "holdout_mae").select(*keep, "model", "holdout_mae", "winner")

@@ -357,7 +357,7 @@ SELECT 'country_mapping_unmapped_rows',
 UNION ALL
 SELECT 'asylum_decision_total_mismatch_documented', 'DOCUMENTED',
        'rows=' || cast(count(CASE WHEN decision_total_mismatch_flag THEN 1 END) AS varchar)
-       || '; reported totals are retained, missing totals are recomputed from components' FROM rec
+       || '; reported total differs from its parts' FROM rec
 UNION ALL
 SELECT 'literal_NA_rsd_stage_protected',
        CASE WHEN count(CASE WHEN procedure_raw LIKE '%/ NA' THEN 1 END)

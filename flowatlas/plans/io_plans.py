@@ -7,8 +7,7 @@ what is checked is the round trip.
 
 from __future__ import annotations
 
-import os
-import tempfile
+import re
 
 from pyspark.sql import functions as F
 
@@ -17,16 +16,15 @@ from flowatlas.operators.select import filter_selection
 from flowatlas.plans.common import register, views
 from flowatlas.plans.stock_plans import F0, _rank_sql
 from flowatlas.schemas import DRIVER_SCHEMAS, RAW_STOCK_SCHEMA, STOCK_SCHEMA
-from flowatlas.session import checkpoint_dir, ensure_checkpoint_dir
+from flowatlas.session import shared_dir
 from flowatlas.sources import sinks
-from flowatlas.sources.catalog import load_catalog, path_exists, scan_first_available, scan_table
+from flowatlas.sources.catalog import load_catalog, path_exists, scan_first_available, scan_table, source_key
 
 
 def scratch(spark, sf: str, key: str) -> str:
-    """Output folder of a writing query under the session's checkpoint
-    folder; a session without one (a local test run) gets a fresh one."""
-    base = checkpoint_dir(spark) or ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="run-", dir="/tmp"))
-    return f"{base}/flowatlas_out/{os.path.basename(sf.rstrip('/'))}/{key}"
+    """Output folder of a writing query under the shared folder, per state of
+    the data folder."""
+    return f"{shared_dir(spark)}/flowatlas_out/{source_key(spark, sf)}/{key}"
 
 
 _STOCK_COLS = [f.name for f in STOCK_SCHEMA.fields]
@@ -72,7 +70,7 @@ _CATALOG_VIEWS = ["stock", "decisions", "resettlement", "apps_monthly", "demogra
     f"SELECT '{v}' AS view_name, count(*) AS rows FROM {v}" for v in _CATALOG_VIEWS),
     views=tuple(_CATALOG_VIEWS))
 def q_load_catalog(spark, sf):
-    prefix = "fa_" + os.path.basename(sf.rstrip("/")).replace(".", "_") + "_"
+    prefix = "fa_" + re.sub(r"\W", "_", source_key(spark, sf)) + "_"
     load_catalog(spark, sf, prefix)
     return spark.sql("\nUNION ALL\n".join(
         f"SELECT '{v}' AS view_name, count(*) AS rows FROM {prefix}{v}" for v in _CATALOG_VIEWS))

@@ -30,8 +30,7 @@ def _bundle(spark, sf, f: Filters = F_ALL):
 def _pred(spark, sf, f: Filters = F_ALL, year="latest"):
     b = _bundle(spark, sf, f)
     cy = corridor_year_df(spark, sf, f.with_(year=None))
-    yr = 9999 if year == "latest" else int(year)  # absent year -> latest-year fallback
-    return b, ml.predict_corridors(b, cy, yr)
+    return b, ml.predict_corridors(b, cy, None if year == "latest" else int(year))
 
 
 _SPLIT_SQL = CY_SQL + """
@@ -99,7 +98,7 @@ def q_distance_mix_actual_vs_predicted(spark, sf):
 @register("distance_uncertainty")
 def q_distance_uncertainty(spark, sf):
     b, p = _pred(spark, sf)
-    return ml.distance_uncertainty(b, p, 80)
+    return ml.distance_uncertainty(b, p)
 
 
 @register("top_destinations")
@@ -110,16 +109,14 @@ def q_top_destinations(spark, sf):
 
 @register("corridor_similarity")
 def q_corridor_similarity(spark, sf):
-    sel = corridor_year_df(spark, sf)
-    whole = corridor_year_df(spark, sf, Filters(year=None))
-    return ml.corridor_similarity(scope_fallback(sel, whole, 10), 700)
+    return ml.corridor_similarity(corridor_year_df(spark, sf))
 
 
 @register("scope_fallback", CY_SQL + """
 , nr AS (SELECT * FROM cy WHERE origin = 'NATION_22')
-SELECT year, origin, host, value_observed FROM nr WHERE (SELECT count(*) FROM nr) >= 10
+SELECT year, origin, host, value_observed, 'selection' AS input_used FROM nr WHERE (SELECT count(*) FROM nr) >= 10
 UNION ALL
-SELECT year, origin, host, value_observed FROM cy
+SELECT year, origin, host, value_observed, 'scope' FROM cy
 WHERE (SELECT count(*) FROM nr) < 10 AND (SELECT count(*) FROM cy) >= 10
 """, views=CY_VIEWS)
 def q_scope_fallback(spark, sf):
@@ -127,7 +124,7 @@ def q_scope_fallback(spark, sf):
     10 corridor-years, so the whole scope is used instead."""
     narrow = corridor_year_df(spark, sf, F_ALL.with_(origin="NATION_22"))
     whole = corridor_year_df(spark, sf, Filters(year=None))
-    return scope_fallback(narrow, whole, 10).select("year", "origin", "host", "value_observed")
+    return scope_fallback(narrow, whole, 10).select("year", "origin", "host", "value_observed", "input_used")
 
 
 # ------------------------------------------------------------------ trend
@@ -168,13 +165,14 @@ def q_trend_forecast(spark, sf):
 
 @register("forecast_compare", _OLS_SQL + """
 , ev AS (SELECT rk.year, rk.value_observed, f3.* EXCLUDE (last_year) FROM rk, f3 WHERE rk.h)
-SELECT 'naive_last_observed' AS model, round(avg(abs(value_observed - last_train_value)), 6) AS holdout_mae FROM ev
-UNION ALL
-SELECT 'linear_trend', round(avg(abs(value_observed - (intercept + slope * cast(year - x0 AS double)))), 6) FROM ev
+SELECT model, round(m, 6) AS holdout_mae, CASE WHEN l < nv THEN 'linear_trend' WHEN nv IS NOT NULL THEN 'naive_last_observed' END AS winner
+FROM (SELECT avg(abs(value_observed - last_train_value)) AS nv,
+             avg(abs(value_observed - (intercept + slope * cast(year - x0 AS double)))) AS l FROM ev) q,
+     LATERAL (SELECT 'naive_last_observed' AS model, nv AS m UNION ALL SELECT 'linear_trend', l) u
 """)
 def q_forecast_compare(spark, sf):
     c = tr.forecast_compare(_annual(spark, sf), holdout=3)
-    return c.select("model", F.round("holdout_mae", 6).alias("holdout_mae"))
+    return c.select("model", F.round("holdout_mae", 6).alias("holdout_mae"), "winner")
 
 
 
@@ -224,13 +222,13 @@ def q_trend_forecast_by_type(spark, sf):
 , ev AS (SELECT rk.population_type_std, rk.year, rk.value_observed, f3.x0, f3.slope, f3.intercept,
                 f3.last_train_value
          FROM rk JOIN f3 ON f3.population_type_std = rk.population_type_std WHERE rk.h)
-SELECT population_type_std, 'naive_last_observed' AS model,
-       round(avg(abs(value_observed - last_train_value)), 6) AS holdout_mae FROM ev GROUP BY population_type_std
-UNION ALL
-SELECT population_type_std, 'linear_trend',
-       round(avg(abs(value_observed - (intercept + slope * cast(year - x0 AS double)))), 6)
-FROM ev GROUP BY population_type_std
+SELECT population_type_std, model, round(m, 6) AS holdout_mae,
+       CASE WHEN l < nv THEN 'linear_trend' WHEN nv IS NOT NULL THEN 'naive_last_observed' END AS winner
+FROM (SELECT population_type_std, avg(abs(value_observed - last_train_value)) AS nv,
+             avg(abs(value_observed - (intercept + slope * cast(year - x0 AS double)))) AS l
+      FROM ev GROUP BY population_type_std) q,
+     LATERAL (SELECT 'naive_last_observed' AS model, nv AS m UNION ALL SELECT 'linear_trend', l) u
 """)
 def q_forecast_compare_by_type(spark, sf):
     c = tr.forecast_compare(_annual_by_type(spark, sf), holdout=3, group_cols=["population_type_std"])
-    return c.select("population_type_std", "model", F.round("holdout_mae", 6).alias("holdout_mae"))
+    return c.select("population_type_std", "model", F.round("holdout_mae", 6).alias("holdout_mae"), "winner")

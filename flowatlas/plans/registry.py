@@ -2,14 +2,8 @@
 
 from __future__ import annotations
 
-from flowatlas.plans import stock_plans  # noqa: F401
+from flowatlas.plans import (flow_plans, ingest_plans, io_plans, model_plans, spatial_plans,  # noqa: F401
+                             stock_plans)
 from flowatlas.plans.common import ORACLES, QUERIES
 
-for _mod in ("ingest_plans", "flow_plans", "spatial_plans", "model_plans", "io_plans"):
-    try:
-        __import__(f"flowatlas.plans.{_mod}")
-    except ModuleNotFoundError as e:  # plan module not written yet
-        if e.name != f"flowatlas.plans.{_mod}":
-            raise
-
 __all__ = ["QUERIES", "ORACLES"]

@@ -388,12 +388,12 @@ FROM top t JOIN centroid co ON co.country_std = t.origin_country_std
 """, views=("stock", "centroid"))
 def q_route_weights(spark, sf):
     cat = views(spark, sf)
-    corr = st.corridors(sel.filter_selection(cat.cube(), F0), min(F0.top_n, 12))
-    return st.route_weights(corr, cat.view("centroid"), 12)
+    corr = st.corridors(sel.filter_selection(cat.cube(), F0), F0.top_n)
+    return st.route_weights(corr, cat.view("centroid"))
 
 
 _SANKEY_LAYERS = _corridors_cte(12) + """
-, c AS (SELECT * FROM top ORDER BY value_observed DESC, origin_country_std, host_country_std, population_type_std LIMIT 14)
+, c AS (SELECT * FROM top)
 , l AS (SELECT 1 AS layer, origin_country_std AS source, host_country_std AS target, sum(value_observed) AS value_observed
         FROM c GROUP BY origin_country_std, host_country_std
         UNION ALL
@@ -403,8 +403,8 @@ _SANKEY_LAYERS = _corridors_cte(12) + """
 
 
 def _sankey_layers_df(spark, sf):
-    corr = st.corridors(sel.filter_selection(_cube(spark, sf), F0), min(F0.top_n, 18))
-    return st.sankey_layers(corr, 14)
+    corr = st.corridors(sel.filter_selection(_cube(spark, sf), F0), F0.top_n)
+    return st.sankey_layers(corr)
 
 
 @register("sankey_layers", _SANKEY_LAYERS + "SELECT * FROM l")
@@ -431,7 +431,7 @@ def q_crisis_hosts(spark, sf):
 , d AS (SELECT * FROM stock WHERE {SEL} AND origin_country_std = '{FOCUS}')
 , r AS (SELECT origin_country_std, host_country_std, coalesce(sum(value_observed), 0) AS value_observed FROM d
         WHERE origin_country_std IS NOT NULL AND host_country_std IS NOT NULL
-        GROUP BY origin_country_std, host_country_std ORDER BY value_observed DESC, host_country_std LIMIT 10)
+        GROUP BY origin_country_std, host_country_std ORDER BY value_observed DESC, host_country_std LIMIT 12)
 SELECT * FROM r WHERE value_observed > 0
 """)
 def q_crisis_routes(spark, sf):
@@ -460,7 +460,7 @@ def q_crisis_trend(spark, sf):
 @register("crisis_summary", f"""
 , d AS (SELECT * FROM stock WHERE population_type_std IN {CB})
 , top AS (SELECT origin_country_std FROM d
-          WHERE year = (SELECT max(year) FROM d) AND {clean_sql('origin')} AND origin_country_std IS NOT NULL
+          WHERE year = (SELECT max(year) FROM stock) AND {clean_sql('origin')} AND origin_country_std IS NOT NULL
           GROUP BY origin_country_std, origin_iso3 HAVING coalesce(sum(value_observed), 0) > 0
           ORDER BY coalesce(sum(value_observed), 0) DESC, origin_country_std, origin_iso3 LIMIT 5)
 , a AS (SELECT origin_country_std, year, coalesce(sum(value_observed), 0) AS v FROM d

@@ -67,6 +67,12 @@ def shared_dir(spark: SparkSession) -> str:
     return ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="run-", dir="/tmp"))
 
 
+def stable_dir(spark: SparkSession) -> str | None:
+    """The folder that ``spark.checkpoint.dir`` names itself, which outlives
+    the application; a folder set on the context only is per application."""
+    return spark.conf.get("spark.checkpoint.dir", None) or checkpoint_dir(spark)
+
+
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
     """Tests and the local bench only: use ``fallback`` when the session
     names no checkpoint folder. A cluster always names one."""

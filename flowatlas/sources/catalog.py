@@ -12,13 +12,17 @@ re-running a four-way join. Without a checkpoint folder the views stay lazy.
 
 from __future__ import annotations
 
+import hashlib
+import inspect
 import os
 import threading
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from flowatlas.schemas import DRIVER_SCHEMAS
-from flowatlas.session import checkpoint_dir
+from flowatlas.session import stable_dir
 from flowatlas.sources import fixtures
 
 # Views worth materialising: the line-item join (once), then the tables
@@ -30,11 +34,12 @@ _LOCK = threading.RLock()
 _CATALOGS: dict[tuple[str, str, bool], "Catalog"] = {}
 
 
-def scan_table(spark: SparkSession, path: str, schema=None, fmt: str | None = None) -> DataFrame:
+def scan_table(spark: SparkSession, path: str, schema=None, fmt: str | None = None, spread: int | None = None) -> DataFrame:
     """Read one table by suffix: parquet, or CSV with a header (``.csv``,
-    ``.csv.gz``). CSV is read with an explicit schema when one is given,
-    otherwise all columns are strings; gzip CSV is not splittable, so it is
-    repartitioned after the read."""
+    ``.csv.gz``). CSV columns are bound to ``schema`` by their names in the
+    header, in any order; a missing column or a malformed typed value is an
+    error. Without a schema all columns are strings. Blanks around values are
+    kept. A single large gzip file is one task: ``spread`` deals its rows out."""
     p = path.rstrip("/")
     kind = fmt or ("csv" if p.endswith(".csv") or p.endswith(".csv.gz") else "parquet")
     if kind == "parquet":
@@ -42,15 +47,17 @@ def scan_table(spark: SparkSession, path: str, schema=None, fmt: str | None = No
         if schema is not None:
             r = r.schema(schema)
         return r.parquet(path)
-    r = spark.read.option("header", True).option("mode", "PERMISSIVE")
+    r = (spark.read.option("header", True).option("inferSchema", False)
+         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
+    df = r.csv(path)  # reads the header only
     if schema is not None:
-        r = r.schema(schema)
-    else:
-        r = r.option("inferSchema", False)
-    df = r.csv(path)
-    if p.endswith(".gz"):
-        df = df.repartition(spark.sparkContext.defaultParallelism)
-    return df
+        known = {f.name: f for f in schema.fields}
+        missing = [n for n in known if n not in df.columns]
+        if missing:
+            raise ValueError(f"{path} has no column {', '.join(missing)}")
+        bound = T.StructType([known.get(c, T.StructField(c, T.StringType())) for c in df.columns])
+        df = r.schema(bound).option("enforceSchema", False).option("mode", "FAILFAST").csv(path).select(*known)
+    return df.repartition(spread) if spread else df
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -76,14 +83,34 @@ def scan_first_available(spark: SparkSession, candidates: list[str], schema=None
     return spark.createDataFrame([], schema)
 
 
+def source_key(spark: SparkSession, sf_dir: str) -> str:
+    """Names a data folder's state: its base name and a hash of the qualified
+    path, of every source file's name, size and time, and of the view
+    definitions. Another folder, changed files or changed views get another
+    name."""
+    from flowatlas.operators import cube
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    h = hashlib.sha256()
+    for module in (fixtures, cube):
+        h.update(inspect.getsource(module).encode())
+    for t in fixtures.DRIVER_TABLES:
+        path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{t}.parquet")
+        fs = path.getFileSystem(conf)
+        h.update(f"\n{fs.makeQualified(path)}".encode())
+        if fs.exists(path):
+            for s in sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in fs.listStatus(path)):
+                h.update(repr(s).encode())
+    return f"{os.path.basename(sf_dir.rstrip('/')) or 'root'}-{h.hexdigest()[:16]}"
+
+
 class Catalog:
-    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool | None = None):
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool | None = None, key: str | None = None):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
-        base = checkpoint_dir(spark) if materialize is not False else None
-        self.silver_dir = (os.path.join(base, "flowatlas_silver",
-                                        os.path.basename(self.sf_dir) or "root")
-                           if base else None)
+        self.key = key or source_key(spark, sf_dir)
+        base = stable_dir(spark) if materialize is not False else None
+        self.silver_dir = f"{base}/flowatlas_silver/{self.key}" if base else None
         self._views: dict[str, DataFrame] = {}
         self._locks: dict[str, threading.Lock] = {}
 
@@ -136,6 +163,8 @@ class Catalog:
     def _materialize(self, name: str, df: DataFrame) -> DataFrame:
         path = f"{self.silver_dir}/{name}"
         if not path_exists(self.spark, f"{path}/_SUCCESS"):
+            # written aside and renamed: other applications see all of it or nothing
+            aside = f"{self.silver_dir}/.{name}-{uuid.uuid4().hex}"
             if "year" in df.columns:
                 # REBALANCE by year: AQE sizes the output partitions to the
                 # advisory size and splits a hot year over several tasks, so
@@ -143,9 +172,10 @@ class Catalog:
                 # file per input task (or one huge task for a big year)
                 w = df.hint("rebalance", "year").sortWithinPartitions("year")
                 (w.write.mode("overwrite").option("maxRecordsPerFile", 5_000_000)
-                 .partitionBy("year").parquet(path))
+                 .partitionBy("year").parquet(aside))
             else:
-                df.hint("rebalance").write.mode("overwrite").parquet(path)
+                df.hint("rebalance").write.mode("overwrite").parquet(aside)
+            _publish(self.spark, aside, path)
         out = self.spark.read.parquet(path)
         # keep the fixture's column order (partition column comes back last)
         return out.select(*df.columns)
@@ -174,14 +204,27 @@ class Catalog:
             return df
 
 
+def _publish(spark: SparkSession, aside: str, path: str) -> None:
+    """Gives a written table its name, unless another application was first
+    (its table holds the same rows)."""
+    jvm = spark.sparkContext._jvm
+    src, dst = jvm.org.apache.hadoop.fs.Path(aside), jvm.org.apache.hadoop.fs.Path(path)
+    fs = dst.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(dst):
+        fs.rename(src, dst)
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        raise RuntimeError(f"{path} could not be written")
+
+
 def catalog(spark: SparkSession, sf_dir: str, materialize: bool | None = None) -> Catalog:
     """One catalog per (application, data folder), so silver tables are
     built once per run."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), materialize is not False)
+    state = source_key(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, state, materialize is not False)
     with _LOCK:
         c = _CATALOGS.get(key)
         if c is None or c.spark is not spark:
-            c = Catalog(spark, sf_dir, materialize)
+            c = Catalog(spark, sf_dir, materialize, state)
             _CATALOGS[key] = c
         return c
 

@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from flowatlas.sources.catalog import scan_table
+
 
 def _clean_value(c: Column, dtype: T.DataType) -> Column:
     """NaN and +/-inf -> null in a value of ``dtype``, recursing into arrays,
@@ -54,14 +56,33 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     nullify_non_finite(df).write.mode(mode).option("ignoreNullFields", False).json(path)
 
 
+def _verbatim(w):
+    """CSV with a header; blanks around values are part of them."""
+    return w.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+
+
+def assert_json_safe(df: DataFrame) -> DataFrame:
+    """``df`` itself; reading it fails on any NaN or infinity, nested or not."""
+    keys = [f.name for f in df.schema.fields if _has_float(f.dataType)]
+    checks = {f"`{k}`": _clean_value(F.col(f"`{k}`"), df.schema[k].dataType) for k in keys}
+    cols = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if f.name in keys:
+            changed = ~F.to_json(F.struct(c.alias("v"))).eqNullSafe(F.to_json(F.struct(checks[f"`{f.name}`"].alias("v"))))
+            c = F.when(changed, F.raise_error(f"{f.name} holds a non-finite number").cast(f.dataType)).otherwise(c)
+        cols.append(c.alias(f.name))
+    return df.select(*cols)
+
+
 def export_chart_table(df: DataFrame, path: str, aliases: list[str] | None = None,
                        fmt: str = "csv") -> DataFrame:
     """Write a result once (CSV with header, or parquet) and expose it under
     every alias as a temp view - one file, several names."""
     w = nullify_non_finite(df).write.mode("overwrite")
     if fmt == "csv":
-        w.option("header", True).csv(path)
-        out = df.sparkSession.read.option("header", True).schema(df.schema).csv(path)
+        _verbatim(w).csv(path)
+        out = scan_table(df.sparkSession, path, df.schema, fmt="csv")
     else:
         w.parquet(path)
         out = df.sparkSession.read.parquet(path)
@@ -71,7 +92,7 @@ def export_chart_table(df: DataFrame, path: str, aliases: list[str] | None = Non
 
 
 def write_csv(df: DataFrame, path: str, compression: str | None = None) -> None:
-    w = df.write.mode("overwrite").option("header", True)
+    w = _verbatim(df.write.mode("overwrite"))
     if compression:
         w = w.option("compression", compression)
     w.csv(path)
@@ -81,7 +102,6 @@ def convert_to_parquet(spark, tables: dict[str, str], out_dir: str, schemas: dic
                        partition_by: dict[str, str] | None = None) -> dict[str, str]:
     """CSV tables (name -> path) to parquet under ``out_dir``; large tables
     may be partitioned (name -> column). Returns name -> parquet path."""
-    from flowatlas.sources.catalog import scan_table
     out = {}
     for name, src in tables.items():
         df = scan_table(spark, src, (schemas or {}).get(name), fmt="csv")

@@ -2,8 +2,8 @@
 
 The batch operator ``flows.monthly_applications`` applied unchanged to a
 streaming source: new monthly files land in a folder, each micro-batch
-updates the (year, month) state. State and progress live in the shared
-checkpoint folder, so a restarted query resumes where it stopped.
+updates the (year, month) state. State and progress live in the given
+checkpoint folder: a query started again with the same folder resumes there.
 """
 
 from __future__ import annotations
@@ -21,10 +21,18 @@ def monthly_applications_stream(spark: SparkSession, source_dir: str, schema) ->
 
 
 def run_available(agg: DataFrame, name: str, checkpoint: str) -> DataFrame:
-    """Process everything available now (``availableNow`` trigger) into an
-    in-memory table ``name`` and return it. ``complete`` output mode: the
-    result table is small (years x 12 rows) whatever the input size."""
-    q = (agg.writeStream.outputMode("complete").format("memory").queryName(name)
+    """Process everything available now (``availableNow`` trigger); each batch
+    writes the result so far to a folder of its own beside ``checkpoint``, and
+    the last one is returned. Nothing is held on the driver."""
+    spark, out, last = agg.sparkSession, f"{checkpoint}-result", []
+
+    def write(df: DataFrame, batch: int) -> None:
+        df.write.mode("overwrite").parquet(f"{out}/batch={batch}")
+        last.append(batch)
+
+    q = (agg.writeStream.outputMode("complete").foreachBatch(write).queryName(name)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
-    return agg.sparkSession.table(name)
+    if not last:
+        return spark.createDataFrame([], agg.schema)
+    return spark.read.schema(agg.schema).parquet(f"{out}/batch={max(last)}")
