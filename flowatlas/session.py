@@ -62,7 +62,7 @@ def shared_dir(spark: SparkSession) -> str:
     d = checkpoint_dir(spark)
     if d:
         return d
-    if not spark.sparkContext.master.startswith("local["):
+    if not (spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")):
         raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="run-", dir="/tmp"))
 

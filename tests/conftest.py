@@ -13,7 +13,8 @@ SF_SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     from flowatlas.session import ensure_checkpoint_dir, get_spark
-    s = get_spark("local[4]", 4)
-    ensure_checkpoint_dir(s, tempfile.mkdtemp(prefix="run-", dir="/tmp"))
+    fresh = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    s = get_spark("local[4]", 4, extra={"spark.checkpoint.dir": fresh})
+    ensure_checkpoint_dir(s, fresh)
     yield s
     s.stop()
