@@ -300,7 +300,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.union(none).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-@register("op6_near_duplicates")
+ORACLE = r"""
+WITH RECURSIVE
+w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, g FROM (SELECT doc_id, unnest(
+        CASE WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))
+             WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM w)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+e AS (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * i >= 80 * (na.n + nb.n - i)),
+u AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+r(doc_id, c) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, u.b FROM r JOIN u ON u.a = r.c)
+SELECT r.doc_id, coalesce(max(n.n), 0) AS n_shingles, min(c) AS component_id, r.doc_id = min(c) AS kept
+FROM r LEFT JOIN n USING (doc_id) GROUP BY r.doc_id
+"""
+
+
+@register("op6_near_duplicates", ORACLE)
 def q_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
     return near_duplicates(docs, shingle=SHINGLE).select("doc_id", "n_shingles", "component_id", "kept")

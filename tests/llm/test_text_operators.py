@@ -223,7 +223,7 @@ def test_segments_equal_brute_force():
     r = random.Random(4)
     for _ in range(300):
         n = r.randint(1, 25)
-        s = [r.choice([-0.1, -0.1, -0.1, 1.0, 0.05]) for _ in range(n)]
+        s = [r.choice([-0.1, -0.1, -0.1, r.uniform(0.5, 1.5), r.uniform(0, 0.1)]) for _ in range(n)]  # no ties
         place = np.array([i for i in range(n) if s[i] > 0])
         got = toxicity.segments(place, np.array([s[i] for i in place]), 0.1)
 
