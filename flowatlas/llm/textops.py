@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+LOWER_TABLE = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 SPACE = np.zeros(256, bool)
 SPACE[[32, *range(9, 14)]] = True
 #: bytes outside [0-9a-z] and outside multi-byte characters (after lower-casing)
@@ -16,7 +16,7 @@ SEGMENT = 1 << 22
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
-_BYTES = np.random.Generator(np.random.PCG64(7)).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+BYTE_VALUES = np.random.Generator(np.random.PCG64(7)).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -49,7 +49,7 @@ class WordHasher:
         edge = np.flatnonzero(sep[1:] != sep[:-1]) + 1
         edge = np.concatenate([[0] if not sep[0] else [], edge, [len(a)] if not sep[-1] else []]).astype(np.int64)
         start, end = edge[::2], edge[1::2]
-        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTES[a] * self.up[:len(a)], dtype=np.uint64)])
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(BYTE_VALUES[a] * self.up[:len(a)], dtype=np.uint64)])
         out = []
         for n in (None, *self.prefixes):
             stop = end if n is None else np.minimum(end, start + n)
@@ -68,7 +68,7 @@ class WordHasher:
         Leaves the joined ``text`` and where its words ``start`` and ``end``."""
         joined = b"\n".join([*texts, b""])
         if self.lower:
-            joined = joined.translate(_LOWER)
+            joined = joined.translate(LOWER_TABLE)
         a = np.frombuffer(joined, np.uint8)
         starts, ends, hashes, at = [], [], [], 0
         while at < len(a):

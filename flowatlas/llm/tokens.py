@@ -5,9 +5,11 @@ add_special_tokens=False)``. A tokenizer that first cuts a text into words and
 encodes each by itself needs the library only once per distinct word: the ids
 of words are kept (up to a documented number per worker process), and the
 words not kept are encoded by the library, many in one call. Texts of plain
-letters, digits and punctuation are cut with the pattern of the tokenizer
-file; in other texts, white-space-delimited chunks with any other character
-go to the library as they are. At start-up, probe texts check that the
+letters, digits and punctuation are cut as the tokenizer file's pattern does,
+whole batches at a time on their bytes, and words are looked up by a 64-bit
+hash. Texts with an apostrophe are cut with the pattern itself; in texts with
+any other character, white-space-delimited chunks that have one go to the
+library as they are. At start-up, probe texts check that the
 tokenizer works like this; one that does not is run on whole texts.
 """
 
@@ -19,14 +21,19 @@ from collections.abc import Iterator
 
 import numpy as np
 
+from flowatlas.llm.textops import BYTE_VALUES, LOWER_TABLE, mix, powers
+
 END_ID = 1
 #: words kept per worker process (about 150 bytes each)
-MAX_WORDS = 400_000
+MAX_WORDS = 600_000
 
 #: characters that need no Unicode normalisation and lower-case one by one
 _PLAIN_TEXT = re.compile(r"[\t-\r -~À-ÖØ-öø-ÿ]*\Z")
 #: fixed value: the word pattern of the tokenizer file, for those characters in lower case
 _WORD = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|'s|'t|'re|'ve|'m|'ll|'d|[^\sa-zß-öø-ÿ0-9]+")
+#: byte classes: 0 space, 1 letter (ASCII, or either byte of a Latin-1 letter), 2 digit, 3 other
+_CLASS = np.array([0 if b == 32 or 9 <= b <= 13 else 1 if 65 <= b <= 90 or 97 <= b <= 122 or b >= 128 else 2 if 48 <= b <= 57 else 3
+                   for b in range(256)], np.uint8)
 _PROBES = ["It's Émile's 42nd re'vealed --token=\"x9\" d'été.", "AKIA12 foo||bar ÀÉ1½ don't", "a\tb\nc  d\x0be ʻokina ﬁ Σας",
            " ".join(f"a{chr(c)}b" for c in range(0x21, 0x100) if not 0x7F <= c <= 0xA0)]
 
@@ -50,33 +57,73 @@ class TextEncoder:
             self.last[i] = token.endswith("</w>")
         self.words: dict[str | bytes, bytes] = {}
         self.max_words = max_words
+        # the same by hash: sorted hashes, and where their ids are in ``flat``
+        self.keys, self.at, self.n = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat = np.zeros(0, self.dtype)
         self.by_word = True
         whole = [p.tobytes() for p in self._library(_PROBES)]
         self.by_word = list(self.encode([t.encode() for t in _PROBES])) == whole
         self.words.clear()
+        self.keys, self.at, self.n, self.flat = self.keys[:0], self.at[:0], self.n[:0], self.flat[:0]
 
     def _library(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, self.dtype) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, new: set) -> None:
-        """Encodes the words (str) and other chunks (bytes) of ``new``."""
-        words = [w for w in new if isinstance(w, str)]
+    def _encode_words(self, words: list[str]) -> list[np.ndarray]:
+        """The library's ids of words, many in one call, cut at the word ends."""
+        out: list[np.ndarray] = []
         for at in range(0, len(words), 4000):
             part = words[at:at + 4000]
             ids = self._library([" ".join(part)])[0]
-            ends = np.flatnonzero(self.last[ids]) + 1
-            if len(ends) == len(part):  # cut at the word ends
-                raw, size, start = ids.tobytes(), self.dtype.itemsize, 0
-                for w, end in zip(part, (ends * size).tolist()):
-                    self.words[w] = raw[start:end]
-                    start = end
-            else:  # some token breaks the rule: one by one
-                self.words.update(zip(part, (p.tobytes() for p in self._library(part))))
+            ends = (np.flatnonzero(self.last[ids]) + 1).tolist()
+            # if some token breaks the rule: one by one
+            out += [ids[a:b] for a, b in zip([0, *ends], ends)] if len(ends) == len(part) else self._library(part)
+        return out
+
+    def _learn(self, new: set) -> None:
+        """Ids of words (str) and of chunks that the library takes as they are (bytes)."""
+        words = [w for w in new if isinstance(w, str)]
         chunks = [c for c in new if isinstance(c, bytes)]
+        self.words.update(zip(words, (p.tobytes() for p in self._encode_words(words))))
         if chunks:
             found = self._library([c.decode("utf-8", "replace") for c in chunks])
             self.words.update(zip(chunks, (p.tobytes() for p in found)))
 
+    def _plain(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of texts of plain characters without apostrophes."""
+        a = np.frombuffer(b" ".join([*texts, b""]).translate(LOWER_TABLE), np.uint8).copy()
+        if not len(a):
+            return []
+        capital = np.flatnonzero((a[1:] >= 0x80) & (a[1:] <= 0x9E) & (a[:-1] == 0xC3)) + 1
+        a[capital] += 0x20
+        kind = _CLASS[a]
+        edge = (kind[1:] != kind[:-1]) | (kind[1:] == 2)
+        start = np.flatnonzero(np.concatenate([[True], edge]) & (kind != 0))
+        end = np.flatnonzero(np.concatenate([edge, [True]]) & (kind != 0)) + 1
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(BYTE_VALUES[a] * powers(len(a)), dtype=np.uint64)])
+        h = mix((total[end] - total[start]) * powers(len(a), inverse=True)[start] + (end - start).astype(np.uint64))
+        u, where, back = np.unique(h, return_index=True, return_inverse=True)
+        before = self.keys, self.at, self.n, self.flat
+        at = np.searchsorted(self.keys, u)
+        new = np.flatnonzero(np.append(self.keys, np.uint64(0))[at] != u if len(self.keys) else np.ones(len(u), bool))
+        if len(new):
+            raw = a.tobytes()
+            ids = self._encode_words([raw[i:j].decode() for i, j in zip(start[where[new]].tolist(), end[where[new]].tolist())])
+            n = np.fromiter(map(len, ids), np.int64, len(ids))
+            self.at = np.insert(self.at, at[new], len(self.flat) + np.cumsum(n) - n)
+            self.n = np.insert(self.n, at[new], n)
+            self.keys = np.insert(self.keys, at[new], u[new])
+            self.flat = np.concatenate([self.flat, *ids])
+            at = np.searchsorted(self.keys, u)
+        n = self.n[at][back]
+        stop = np.cumsum(n)
+        ids = self.flat[np.repeat(self.at[at][back] - (stop - n), n) + np.arange(stop[-1] if len(stop) else 0)]
+        if len(self.keys) > self.max_words:  # the early words are the frequent ones
+            self.keys, self.at, self.n, self.flat = before
+        first = np.searchsorted(start, np.cumsum([0, *(len(t) + 1 for t in texts)]))
+        cut = np.concatenate([[0], stop])[first].tolist()
+        return [ids[i:j].tobytes() for i, j in zip(cut, cut[1:])]
+
     @staticmethod
     def _cut(text: bytes) -> list:
         t = text.decode("utf-8", "replace")
@@ -97,17 +144,22 @@ class TextEncoder:
             for p in self._library([t.decode("utf-8", "replace") for t in texts]):
                 yield p.tobytes()
             return
-        known = self.words
         for at in range(0, len(texts), 128):
-            cut = [self._cut(t) for t in texts[at:at + 128]]
-            new = set().union(*cut).difference(known)
+            part = texts[at:at + 128]
+            done: list[bytes | None] = [None] * len(part)
+            easy = [i for i, t in enumerate(part) if b"'" not in t and b"<|" not in t and len(t) < 1 << 22 and _PLAIN_TEXT.match(t.decode("utf-8", "replace"))]
+            for i, ids in zip(easy, self._plain([part[i] for i in easy])):
+                done[i] = ids
+            cut = {i: self._cut(t) for i, t in enumerate(part) if done[i] is None}
+            known = self.words
+            new = set().union(*cut.values()).difference(known)
             self._learn(new)
-            get = known.__getitem__
-            for c in cut:
-                yield b"".join(map(get, c))
-            if len(known) > self.max_words:  # the early words are the frequent ones
+            for i, c in cut.items():
+                done[i] = b"".join(map(known.__getitem__, c))
+            if len(known) > self.max_words:
                 for w in new:
                     del known[w]
+            yield from done
 
 
 def encoder(path: str) -> TextEncoder:
