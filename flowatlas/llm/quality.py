@@ -28,7 +28,7 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowatlas.llm.common import SPACE_CLASS, binned_cut, register, save, words_of, work_dir
+from flowatlas.llm.common import SPACE_CLASS, binned_cut, register, save, small, words_of, work_dir
 
 #: transformed statistics, and the least standard deviation that each is given
 FLOORS = {"x_len": 0.5, "x_word": 0.25, "x_sym": 0.5, "x_lines": 0.5, "x_rep": 0.1}
@@ -129,9 +129,10 @@ def _estimate(core: DataFrame, factor: float) -> DataFrame:
                     *[f"l_{i}{j}" for i in range(len(DIMS)) for j in range(i + 1)])
 
 
-def _distance(rows: DataFrame, est: DataFrame) -> DataFrame:
-    """``rows`` with ``d2``, null where the group has no estimate."""
-    r = rows.join(est, "_g", "left")
+def _distance(rows: DataFrame, est: DataFrame, groups: int) -> DataFrame:
+    """``rows`` with ``d2``, null where the group has no estimate. The rows stay
+    where they are if the estimates of all ``groups`` may be broadcast."""
+    r = rows.join(small(est, groups), "_g", "left")
     for i, a in enumerate(DIMS):  # forward substitution: L z = x - m
         s = F.col(a) - F.col(f"m_{i}")
         for k in range(i):
@@ -160,12 +161,14 @@ def robust_outliers(stats: DataFrame, usable: str, lang: str = "lang", source: s
     rows = save(rows, f"{path}/rows")
     used = rows.filter(usable).select("_g", *DIMS)
     size = used.groupBy("_g").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_group)
+    size = save(size, f"{path}/size")
+    n = size.count()
 
     # start: a diagonal estimate from medians and median absolute deviations
     start = size.select("_g")
     for i, a in enumerate(DIMS):
         med = binned_cut(used, ["_g"], a, 0.5, f"m_{i}")
-        mad = binned_cut(used.join(med, "_g").withColumn("_d", F.abs(F.col(a) - F.col(f"m_{i}"))),
+        mad = binned_cut(used.join(small(med, n), "_g").withColumn("_d", F.abs(F.col(a) - F.col(f"m_{i}"))),
                          ["_g"], "_d", 0.5, f"_mad_{i}")
         start = start.join(med, "_g").join(mad, "_g")
     start = start.select("_g", *[f"m_{i}" for i in range(len(DIMS))], *[
@@ -175,11 +178,11 @@ def robust_outliers(stats: DataFrame, usable: str, lang: str = "lang", source: s
     # the covariance of the closest share is too small by this factor
     factor = core / chi2_cdf(chi2_quantile(core, len(DIMS)), len(DIMS) + 2)
     for k in range(steps):
-        near = _distance(used, est).filter(F.col("d2").isNotNull())
+        near = _distance(used, est, n).filter(F.col("d2").isNotNull())
         cut = binned_cut(near, ["_g"], "d2", core, "_cut")
-        est = save(_estimate(near.join(cut, "_g").filter(F.col("d2") <= F.col("_cut")), factor), f"{path}/step{k}")
+        est = save(_estimate(near.join(small(cut, n), "_g").filter(F.col("d2") <= F.col("_cut")), factor), f"{path}/step{k}")
     limit = chi2_quantile(1 - alpha, len(DIMS))
-    return (_distance(rows, est).withColumn("outlier", F.coalesce(F.col("d2") > limit, F.lit(False)))
+    return (_distance(rows, est, n).withColumn("outlier", F.coalesce(F.col("d2") > limit, F.lit(False)))
             .drop("_g", *DIMS))
 
 
