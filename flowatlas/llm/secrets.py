@@ -95,7 +95,7 @@ def scan(versions: DataFrame, ledger: str, path_col: str = "path", text_col: str
     # one place of each unseen blob: a path and version that hold it
     key = F.struct(F.coalesce(F.col("path").cast("string"), F.lit("-")).alias("p"),
                    F.coalesce(F.col("version").cast("string"), F.lit("-")).alias("v"))
-    todo = save(named.join(have, "blob", "left_anti").groupBy("blob").agg(F.min(key).alias("_at"))
+    todo = save(named.groupBy("blob").agg(F.min(key).alias("_at")).join(have, "blob", "left_anti")
                 .select(F.col("_at.p").alias("_p"), F.col("_at.v").alias("_v"), "blob"), f"{work}/todo")
     t = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     texts = versions.select(F.coalesce(F.col(path_col).cast("string"), F.lit("-")).alias("_p"),
