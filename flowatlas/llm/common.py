@@ -23,8 +23,9 @@ SPACE_CLASS = r"[\x20\x09-\x0D]+"
 #: separators of the alphanumeric words (everything ASCII but 0-9 and a-z)
 NON_ALNUM_CLASS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
-#: a table of at most so many rows of ids may be broadcast; beyond it joins shuffle
-BROADCAST_ROWS = 1_000_000
+#: a table of ids and hashes (up to some 250 bytes a row) of at most so many
+#: rows may be broadcast, about 50 MB; beyond it joins shuffle
+BROADCAST_ROWS = 200_000
 
 
 def register(key: str, oracle: str | None = None):
