@@ -1,13 +1,19 @@
 """Substring dedup by sliding sentence spans.
 
 A text is cut into sentences: after an end mark or a line, and before a
-capitalised word, so that a passage pasted into a sentence starts one. A
-sentence longer than ``LONG`` words is cut further, after words that a hash
-selects (the same wherever the words stand). From every sentence the run of
-consecutive sentences with at least ``MIN_SENTENCES`` and ``MIN_WORDS`` is
-hashed, and likewise backwards from every sentence end. A run that an earlier
-document has, or that stands earlier in the same document, is a repeat; every
-sentence of a repeat is removed. Earlier is by document id.
+capitalised word, so that a passage pasted into a sentence starts one. Where
+``WINDOW`` places in a row have no such cut, the text is also cut after the
+word of the least hash among them (all of them, if a word repeats). From every
+sentence the run of consecutive sentences with at least ``MIN_SENTENCES`` and
+``MIN_WORDS`` is hashed, and likewise backwards from every sentence end. A run
+that an earlier document has, or that stands earlier in the same document, is a
+repeat; every sentence of a repeat is removed. Earlier is by document id.
+
+Whether a place is cut depends on the words around it only, not on the length
+of its sentence, and no sentence has more than ``WINDOW`` words. Any 51 equal
+words therefore share a run, wherever they stand: a cut in the first window
+(at word 13 at the latest), and the first cut 25 words on (at word 50 at the
+latest), before which a window that reaches beyond the passage adds none.
 
 The hashes are grouped globally with the least and greatest document of each,
 added up map-side, so a passage in a third of all documents is one row per
@@ -35,7 +41,7 @@ from flowatlas.llm.textops import SPACE, WordHasher, mix, powers
 
 MIN_SENTENCES = 2
 MIN_WORDS = 25
-LONG = 40
+WINDOW = 13  # 2 * WINDOW + MIN_WORDS = 51
 
 
 def order_key(docs: DataFrame, id_col: str, text: Column) -> Column:
@@ -45,6 +51,22 @@ def order_key(docs: DataFrame, id_col: str, text: Column) -> Column:
     return F.when(F.col(id_col).isNull(), F.lit(1 << 62) + F.shiftrightunsigned(F.xxhash64(text), 2)).otherwise(own)
 
 
+def least_in_windows(rank: np.ndarray, size: int) -> np.ndarray:
+    """Marks what is the least of some ``size`` consecutive values."""
+    if len(rank) < size:
+        return np.zeros(len(rank), bool)
+
+    def slide(a: np.ndarray, pick) -> np.ndarray:
+        n = 1
+        while 2 * n <= size:
+            a, n = pick(a[:-n], a[n:]), 2 * n
+        return pick(a[:len(a) - (size - n)], a[size - n:])
+
+    least = slide(rank, np.minimum)
+    edge = np.zeros(size - 1, np.uint64)
+    return slide(np.concatenate([edge, least, edge]), np.maximum) == rank
+
+
 class Sentences:
     """Sentence starts and runs of a batch of texts."""
 
@@ -67,9 +89,10 @@ class Sentences:
             line = lines[s[1:]] != lines[e[:-1]]
             starts[:-1] |= upper
             starts[1:-1] |= after[:-1] | line
-            at = np.flatnonzero(starts)
-            long = np.repeat(np.diff(at) > LONG, np.diff(at))
-            starts[1:-1] |= (long & (words & np.uint64(15) == 0))[:-1] & long[1:]
+            starts[-1] = True
+            rank = np.maximum(words, np.uint64(1))
+            rank = np.where(starts, np.uint64(0), np.concatenate([rank[:1], rank]))
+            starts |= least_in_windows(rank, WINDOW)
         return words, first, np.flatnonzero(starts)
 
     def runs(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:

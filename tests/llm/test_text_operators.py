@@ -190,6 +190,57 @@ def test_repeats(spark):
     assert repeats.remove_repeats(frame(spark, [])).count() == 0
 
 
+def test_least_in_windows():
+    r = np.random.default_rng(1)
+    for n in (0, 5, 12, 13, 14, 60, 300):
+        rank, want = r.integers(0, 9, n).astype(np.uint64), np.zeros(n, bool)
+        for i in range(n - 12):
+            want[i:i + 13] |= rank[i:i + 13] == rank[i:i + 13].min()
+        assert np.array_equal(repeats.least_in_windows(rank, 13), want)
+
+
+def test_repeats_hold_every_51_equal_words(spark):
+    def low(seed, n):  # one sentence
+        return prose(seed, n).lower().replace(".", "").split()
+
+    r, docs = random.Random(8), []
+    for i in range(60):
+        passage = low(900 + i, r.randint(51, 70))
+        if i % 3 == 1:  # a sentence begins within the passage
+            k = r.randint(0, len(passage) - 1)
+            passage[k] = passage[k].capitalize()
+        if i % 10 == 9:
+            passage = ["and"] * 60
+        for own in (2 * i, 2 * i + 1):
+            docs.append((own, low(1000 + own, r.randint(0, 60)) + passage + low(3000 + own, r.randint(0, 60))))
+    got = {x.doc_id: x for x in repeats.remove_repeats(spark.createDataFrame([(i, " ".join(w)) for i, w in docs], "doc_id long, text string")).collect()}
+    earlier, short, n_stretches = set(), set(), 0
+    for i, w in docs:
+        gone, repeated, again, at, own = set(), set(), set(), 0, set()
+        for s in got[i].spans:
+            gone.update(range(s["first"], s["end"]))
+        for k in range(len(w) - 24):
+            if tuple(w[k:k + 25]) in short or tuple(w[k:k + 25]) in own:
+                again.update(range(k, k + 25))
+            own.add(tuple(w[k:k + 25]))
+        for k in range(len(w) - 50):
+            if tuple(w[k:k + 51]) in earlier:
+                repeated.update(range(k, k + 51))
+        assert gone <= again
+        while at < len(w):
+            end = at
+            while end in repeated:
+                end += 1
+            if end > at:
+                n_stretches += 1
+                assert set(range(at + 13, end - 13)) <= gone, (i, at, end, got[i].spans)
+            at = end + 1
+        earlier.update(tuple(w[k:k + 51]) for k in range(len(w) - 50))
+        short |= own
+    assert n_stretches >= 60
+
+
+
 # ------------------------------------------------------------------- quality
 def brute_stats(t):
     t = t or ""
