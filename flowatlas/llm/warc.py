@@ -13,9 +13,11 @@ jumps are then doubled (pointer jumping) from the start of each file until no
 new offset is reached: log2 of the splits per file rounds. The offsets that
 are reached enter a split, and the chain from there marks its true records. A
 record's head therefore counts only if the chain of lengths from the file's
-start leads to it; magic inside a payload is never reached. The chain must end
-at the file's length, else the file is reported as broken after its last
-reachable record.
+start leads to it; magic inside a payload is never reached. A head may be of
+any length (a URL is written whole): a task reads on beyond its split until the
+last head has ended. The chain must end at the file's length and hold as many
+records as the manifest says, else the file is broken: ``strict`` reading
+raises, otherwise the records up to the break are returned.
 
 Defined results: a null payload is empty. Null ids are written as such and
 never stand for others while an id is there. Rows that repeat an id are
@@ -41,7 +43,7 @@ from flowatlas.llm.files import open_fs, read_range, unique, write_bytes
 MIN_REVISIT = 100
 FILE_BYTES = 32 << 20     # a file is closed once it holds so much
 SPLIT_BYTES = 8 << 20     # a reading task's share of a file
-MAX_HEAD = 1 << 16        # longest header block of a record
+AHEAD = 1 << 16           # read beyond a split at first; more if a header block is longer
 MAGIC = b"WARC/1.0\r\n"
 _DATE = "2024-01-01T00:00:00Z"
 _LENGTH = re.compile(rb"\r\nContent-Length:[ \t]*([0-9]{1,18})[ \t]*(?=\r\n)", re.I)
@@ -112,27 +114,43 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", paylo
 
 
 # ----------------------------------------------------------------- reading
+def read_split(path: str, start: int, end: int, size: int) -> bytes:
+    """Bytes from ``start`` to ``end`` and as far on as the last head in there goes."""
+    data, ahead = read_range(path, start, end - start + AHEAD), AHEAD
+    last = data.rfind(MAGIC, 0, end - start + len(MAGIC) - 1)
+    while last >= 0 and start + len(data) < size and data.find(b"\r\n\r\n", last) < 0:
+        more = read_range(path, start + len(data), ahead)
+        if not more:
+            break
+        data, ahead = data + more, 2 * ahead
+    return data
+
+
 def candidates_in(data: bytes, start: int, end: int) -> list[tuple[int, int]]:
     """(offset, successor) of every parsable head at an offset in [start, end);
     ``data`` begins at ``start`` and reaches far enough beyond ``end``."""
-    out, at = [], data.find(MAGIC)
+    out, at, stop, lengths = [], data.find(MAGIC), -1, []
     while 0 <= at < end - start:
-        stop = data.find(b"\r\n\r\n", at, at + MAX_HEAD)
-        if stop >= 0:
-            lengths = _LENGTH.findall(data, at, stop + 2)
-            if len(lengths) == 1:
-                out.append((start + at, start + stop + 4 + int(lengths[0]) + 4))
+        if stop < at:  # heads up to the same blank line share its lengths
+            stop = data.find(b"\r\n\r\n", at)
+            if stop < 0:
+                break
+            lengths = list(_LENGTH.finditer(data, at, stop + 2))
+        # exactly one length from here on
+        if lengths and lengths[-1].start() >= at and (len(lengths) == 1 or lengths[-2].start() < at):
+            out.append((start + at, start + stop + 4 + int(lengths[-1][1]) + 4))
         at = data.find(MAGIC, at + 1)
     return out
 
 
-def exits(pairs: list[tuple[int, int]], end: int) -> list[int]:
+def exits(pairs: list[tuple[int, int]], end: int) -> list[tuple[int, int]]:
     """Where the chain from each candidate first leaves the split (offset >= end),
-    or the offset at which it breaks off. Successors lie behind, so one pass
-    from the last candidate suffices."""
-    leave: dict[int, int] = {}
+    or the offset at which it breaks off, and its records up to there.
+    Successors lie behind, so one pass from the last candidate suffices."""
+    leave: dict[int, tuple[int, int]] = {}
     for at, nxt in reversed(pairs):
-        leave[at] = nxt if nxt >= end else leave.get(nxt, nxt)
+        to, n = leave.get(nxt, (nxt, 0)) if nxt < end else (nxt, 0)
+        leave[at] = to, n + 1
     return [leave[at] for at, _ in pairs]
 
 
@@ -163,31 +181,39 @@ def reachable(found: DataFrame, folder: str, split_bytes: int) -> DataFrame:
     return seen.select("path", split_of(F.col("at")).alias("start"), F.col("at").alias("entry"))
 
 
-def read_archives(manifest: DataFrame, folder: str, split_bytes: int = SPLIT_BYTES, payloads: bool = False) -> DataFrame:
+def read_archives(manifest: DataFrame, folder: str, split_bytes: int = SPLIT_BYTES, payloads: bool = False,
+                  strict: bool = False) -> DataFrame:
     """The records of all archives, verified: path, offset, type, id, url,
     payload_bytes, payload_digest (both of the full payload, taken from the
-    record itself where it has one), refers_to, and payload if asked for."""
+    record itself where it has one), refers_to, and payload if asked for.
+    ``strict``: raises if a file is broken."""
     ship_package(manifest.sparkSession)
     shares = splits(manifest, split_bytes)
     tasks = max(1, min(shares.count(), 4 * int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
 
     def load(path: str, size: int, start: int) -> tuple[bytes, int]:
         end = min(start + split_bytes, size)
-        return read_range(path, start, end - start + MAX_HEAD), end
+        return read_split(path, start, end, size), end
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, size, start in zip(*(batch.column(c).to_pylist() for c in range(3))):
                 data, end = load(path, size, start)
                 pairs = candidates_in(data, start, end)
+                left = exits(pairs, end)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([path] * len(pairs), pa.string()), pa.array([start] * len(pairs), pa.int64()),
                      pa.array([a for a, _ in pairs], pa.int64()), pa.array([b for _, b in pairs], pa.int64()),
-                     pa.array(exits(pairs, end), pa.int64())], names=["path", "start", "at", "next", "exit"])
+                     pa.array([to for to, _ in left], pa.int64()), pa.array([n for _, n in left], pa.int64())],
+                    names=["path", "start", "at", "next", "exit", "hops"])
 
-    found = save(shares.repartition(tasks).mapInArrow(scan, "path string, start long, at long, next long, exit long"),
+    found = save(shares.repartition(tasks).mapInArrow(scan, "path string, start long, at long, next long, exit long, hops long"),
                  f"{folder}/candidates")
     entries = reachable(found, f"{folder}/chains", split_bytes)
+    if strict:
+        broken = broken_files(manifest, entries, found).limit(5).collect()
+        if broken:
+            raise ValueError(f"broken archives: {[r.asDict() for r in broken]}")
     chosen = entries.join(manifest, "path").filter(F.col("entry") < F.col("n_bytes")).select("path", "n_bytes", "start", "entry")
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,10 +242,14 @@ def read_archives(manifest: DataFrame, folder: str, split_bytes: int = SPLIT_BYT
                  "payload_digest string, refers_to string, payload binary")
 
 
-def broken_files(manifest: DataFrame, entries: DataFrame) -> DataFrame:
-    """Paths whose chain does not end at the file's length."""
-    ends = entries.groupBy("path").agg(F.max("entry").alias("end"))
-    return manifest.join(ends, "path", "left").filter(~F.col("end").eqNullSafe(F.col("n_bytes"))).select("path", "n_bytes", "end")
+def broken_files(manifest: DataFrame, entries: DataFrame, found: DataFrame) -> DataFrame:
+    """Paths whose chain does not end at the file's length, or has not the
+    manifest's number of records."""
+    hops = found.select("path", F.col("at").alias("entry"), "hops")
+    ends = entries.join(hops, ["path", "entry"], "left").groupBy("path").agg(
+        F.max("entry").alias("end"), F.coalesce(F.sum("hops"), F.lit(0)).alias("n_read"))
+    whole = F.col("end").eqNullSafe(F.col("n_bytes")) & F.col("n_read").eqNullSafe(F.col("n_records"))
+    return manifest.join(ends, "path", "left").filter(~whole).select("path", "n_bytes", "end", "n_records", "n_read")
 
 
 def _parse(head: bytes, body: bytes) -> tuple:
@@ -251,6 +281,6 @@ FROM d LEFT JOIN o USING (x)
 def q_warc(spark: SparkSession, sf: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "url", "html")
     folder = work_dir(spark, "warc")
-    records = read_archives(write_archives(pages, folder), folder)
+    records = read_archives(write_archives(pages, folder), folder, strict=True)
     return records.select(F.col("id").cast("long").alias("page_id"), "payload_bytes", "payload_digest",
                           F.col("type").alias("record_type"), F.col("refers_to").cast("long").alias("refers_to"))

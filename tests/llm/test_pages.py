@@ -71,6 +71,33 @@ def test_cut_off_file_yields_its_whole_records(spark):
     assert sorted(int(r.id) for r in got) == list(range(7))
 
 
+@pytest.mark.parametrize("split_bytes", [1000, 70_000, 1 << 23])
+def test_long_heads(spark, split_bytes):
+    folder = work_dir(spark, "t")
+    rows = [(1, "http://a.com/", "first " * 40), (2, "data:," + "x" * 200_000, "second " * 40), (3, "http://b.com/" + " " * 22_000, "third"),
+            (4, "u", "WARC/1.0\r\n" * 9_000), (5, "u", "WARC/1.0\r\nContent-Length: 3\r\n" + "y" * 150_000), (6, "u", "last " * 40)]
+    manifest = warc.write_archives(spark.createDataFrame(rows, SCHEMA).coalesce(1), folder)
+    got = {int(r.id): r for r in warc.read_archives(manifest, folder, split_bytes, payloads=True, strict=True).collect()}
+    assert {i: (r.url, bytes(r.payload).decode()) for i, r in got.items()} == {i: (u.replace(" ", "%20"), h) for i, u, h in rows}
+
+
+def test_strict_reading_raises_on_broken_files(spark):
+    folder = work_dir(spark, "t")
+    manifest = warc.write_archives(spark.createDataFrame([(i, "u", f"page {i} " * 50) for i in range(8)], SCHEMA).coalesce(1), folder)
+    m = manifest.collect()[0]
+    assert warc.read_archives(manifest, work_dir(spark, "t"), 700, strict=True).count() == 8
+    data = read_bytes(m.path)
+    more = spark.createDataFrame([(m.path, m.n_bytes, m.n_records + 1)], manifest.schema)
+    with pytest.raises(ValueError, match="broken"):
+        warc.read_archives(more, work_dir(spark, "t"), 700, strict=True)
+    at = data.index(b"WARC/1.0", len(data) // 2)
+    for bad, n in ((data[:-100], len(data) - 100), (data[:at] + b"X" + data[at + 1:], len(data)), (b"", len(data))):
+        write_bytes(m.path, bad)
+        short = spark.createDataFrame([(m.path, n, m.n_records)], manifest.schema)
+        with pytest.raises(ValueError, match="broken"):
+            warc.read_archives(short, work_dir(spark, "t"), 700, strict=True)
+
+
 # ---------------------------------------------------------------------- URLs
 def judged(url, rules, default="allow"):
     url = url or ""
