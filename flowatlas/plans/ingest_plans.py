@@ -35,6 +35,15 @@ REQUIRED = {
     "resettlement": ["year", "resettlement_observed", "host_country_std", "origin_country_std"],
 }
 NUMERIC_AUDIT = {"year_raw": "Year", "value_raw": "Value"}
+# Every dataset's year and measures (column -> audit label).
+NUMERIC_AUDIT_ALL = {"raw_stock": NUMERIC_AUDIT} | {t: {"year": "Year"} | {c: c for c in cols} for t, cols in {
+    "stock": ["value_observed"],
+    "decisions": ["applications_observed", "recognized_observed", "rejected_observed", "other_decisions_observed",
+                  "otherwise_closed_observed", "total_decisions_reported"],
+    "apps_monthly": ["applications_monthly_observed"],
+    "resettlement": ["resettlement_observed"],
+    "poc_wide": list(cl.POC_TYPE_COLUMNS),
+    "demographics_wide": [*cl.AGE_SEX_COLUMNS, "female_total", "male_total"]}.items()}
 FAMILIES = {"stock": "population_stock", "decisions": "asylum_application_and_decision_flow",
             "apps_monthly": "asylum_application_flow_monthly", "resettlement": "durable_solution_flow",
             "demographics_wide": "demographics_stock"}
@@ -210,7 +219,7 @@ def q_audit_dataset_inventory(spark, sf):
     return au.audit_dataset_inventory({n: cat.view(n) for n in DATASET_COLUMNS})
 
 
-def _numeric_cte(dataset: str, table: str, columns: dict) -> str:
+def _numeric_sql(dataset: str, table: str, columns: dict) -> str:
     parts = []
     for raw, label in columns.items():
         m = measure_sql(f"cast({raw} AS varchar)")
@@ -224,7 +233,11 @@ def _numeric_cte(dataset: str, table: str, columns: dict) -> str:
        sum({m['observed']}) AS observed_sum, min({m['observed']}) AS observed_min,
        max({m['observed']}) AS observed_max
 FROM {table}""")
-    return ", nq AS (" + "\nUNION ALL\n".join(parts) + ")"
+    return "\nUNION ALL\n".join(parts)
+
+
+def _numeric_cte(dataset: str, table: str, columns: dict) -> str:
+    return ", nq AS (" + _numeric_sql(dataset, table, columns) + ")"
 
 
 _NQ = _numeric_cte("raw_stock", "raw_stock", NUMERIC_AUDIT)
@@ -239,17 +252,42 @@ def q_audit_numeric_quality(spark, sf):
     return _numeric_quality_df(spark, sf)
 
 
-@register("audit_quality_rollup", _NQ + """
+_ROLLUP_SQL = """
 SELECT dataset, count(*) AS numeric_columns, cast(sum(observed_nonmissing_rows) AS bigint) AS observed_cells,
        cast(sum(zero_rows) AS bigint) AS zero_cells, cast(sum(blank_rows) AS bigint) AS blank_cells,
        cast(sum(redacted_star_rows) AS bigint) AS redacted_star_cells,
        cast(sum(negative_raw_rows) AS bigint) AS negative_raw_cells, coalesce(sum(observed_sum), 0) AS observed_sum_all_numeric
 FROM nq GROUP BY dataset
-""", views=("raw_stock",))
+"""
+
+
+@register("audit_quality_rollup", _NQ + _ROLLUP_SQL, views=("raw_stock",))
 def q_audit_quality_rollup(spark, sf):
     return au.audit_quality_rollup(_numeric_quality_df(spark, sf))
 
 
+_NQ_ALL = ", nq AS (" + "\nUNION ALL\n".join(_numeric_sql(t, t, cols) for t, cols in NUMERIC_AUDIT_ALL.items()) + ")"
+
+
+def _numeric_quality_all_df(spark, sf):
+    cat = views(spark, sf)
+    out = None
+    for t, cols in NUMERIC_AUDIT_ALL.items():
+        d = au.audit_numeric_quality(cat.view(t), t, cols)
+        out = d if out is None else out.unionByName(d)
+    return out
+
+
+@register("audit_numeric_quality_all", _NQ_ALL + "\nSELECT * FROM nq", views=tuple(NUMERIC_AUDIT_ALL))
+def q_audit_numeric_quality_all(spark, sf):
+    return _numeric_quality_all_df(spark, sf)
+
+
+@register("audit_quality_rollup_all", _NQ_ALL + _ROLLUP_SQL, views=tuple(NUMERIC_AUDIT_ALL))
+def q_audit_quality_rollup_all(spark, sf):
+    return au.audit_quality_rollup(_numeric_quality_all_df(spark, sf))
+
+
 @register("audit_country_mapping", """
 SELECT 'stock' AS dataset, 'host' AS country_role, host_mapping_status AS mapping_status,
        host_map_eligible_flag AS map_eligible_flag, count(*) AS rows
@@ -297,9 +335,12 @@ NEGATIVE_COLUMNS = {"stock": ["value_observed"],
                     "apps_monthly": ["applications_monthly_observed"]}
 
 
-def _negative_sql():
+NEGATIVE_COLUMNS_WIDE = {t: [c for c in NUMERIC_AUDIT_ALL[t] if c != "year"] for t in ("poc_wide", "demographics_wide")}
+
+
+def _negative_sql(columns=NEGATIVE_COLUMNS):
     parts = []
-    for t, cols in NEGATIVE_COLUMNS.items():
+    for t, cols in columns.items():
         n = " + ".join(f"count(CASE WHEN {c} < 0 THEN 1 END)" for c in cols)
         parts.append(f"SELECT 'no_negative_observed_values__{t}' AS \"check\", "
                      f"CASE WHEN {n} = 0 THEN 'PASS' ELSE 'FAIL' END AS status, "
@@ -307,8 +348,8 @@ def _negative_sql():
     return "\nUNION ALL\n".join(parts)
 
 
-def _negative_dfs(cat):
-    return [au.check_no_negative(cat.view(t), t, cols) for t, cols in NEGATIVE_COLUMNS.items()]
+def _negative_dfs(cat, columns=NEGATIVE_COLUMNS):
+    return [au.check_no_negative(cat.view(t), t, cols) for t, cols in columns.items()]
 
 
 @register("check_no_negative", _negative_sql(), views=tuple(NEGATIVE_COLUMNS))
@@ -340,7 +381,7 @@ def q_validate_required_columns(spark, sf):
     return au.required_columns_checklist({t: cat.view(t) for t in REQUIRED}, REQUIRED)
 
 
-@register("quality_gate", RECONCILED_SQL + f"""
+_GATE_CHECKS_SQL = RECONCILED_SQL + f"""
 , checks AS (
 SELECT 'no_row_loss__stock' AS "check",
        CASE WHEN (SELECT count(*) FROM raw_stock) = (SELECT count(*) FROM stock) THEN 'PASS' ELSE 'FAIL' END AS status,
@@ -364,11 +405,14 @@ SELECT 'literal_NA_rsd_stage_protected',
                = count(CASE WHEN trim(split_part(procedure_raw, ' / ', 2)) = 'NA' THEN 1 END) THEN 'PASS' ELSE 'FAIL' END,
        'raw ''/ NA'' rows=' || cast(count(CASE WHEN procedure_raw LIKE '%/ NA' THEN 1 END) AS varchar)
        || ', parsed NEW rows=' || cast(count(CASE WHEN trim(split_part(procedure_raw, ' / ', 2)) = 'NA' THEN 1 END) AS varchar)
-FROM decisions)
+FROM decisions"""
+_GATE_SQL = """)
 SELECT "check", status, detail, status = 'FAIL' AS blocks_pipeline FROM checks
-""", views=("raw_stock", "stock", "decisions", "resettlement", "apps_monthly", "country_map"))
-def q_quality_gate(spark, sf):
-    cat = views(spark, sf)
+"""
+_GATE_VIEWS = ("raw_stock", "stock", "decisions", "resettlement", "apps_monthly", "country_map")
+
+
+def _gate_dfs(cat):
     checks = [au.check_no_row_loss(cat.view("raw_stock"), cat.stock(), "stock")]
     checks += _negative_dfs(cat)
     checks += [au.validate_required_columns(cat.view(t), t, req) for t, req in REQUIRED.items()]
@@ -376,7 +420,19 @@ def q_quality_gate(spark, sf):
     checks.append(au.check_decision_mismatch(cl.reconcile_decision_total(cat.view("decisions"))))
     checks.append(au.check_literal_na(cl.protect_literal_na(cat.view("decisions"), "procedure_raw"),
                                       "procedure_raw"))
-    return au.quality_gate(checks)
+    return checks
+
+
+@register("quality_gate", _GATE_CHECKS_SQL + _GATE_SQL, views=_GATE_VIEWS)
+def q_quality_gate(spark, sf):
+    return au.quality_gate(_gate_dfs(views(spark, sf)))
+
+
+@register("quality_gate_all", _GATE_CHECKS_SQL + "\nUNION ALL\n" + _negative_sql(NEGATIVE_COLUMNS_WIDE) + _GATE_SQL,
+          views=(*_GATE_VIEWS, *NEGATIVE_COLUMNS_WIDE))
+def q_quality_gate_all(spark, sf):
+    cat = views(spark, sf)
+    return au.quality_gate(_gate_dfs(cat) + _negative_dfs(cat, NEGATIVE_COLUMNS_WIDE))
 
 
 @register("crosscheck_sources", """

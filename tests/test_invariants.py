@@ -63,6 +63,19 @@ def test_no_row_loss_and_gate(spark):
     assert not any(r["blocks_pipeline"] for r in gate)
 
 
+def test_audits_cover_every_dataset(spark):
+    audited = {(r["dataset"], r["column"]): r for r in Q["audit_numeric_quality_all"](spark, SF_SMALL).collect()}
+    for t in ("raw_stock", "stock", "decisions", "apps_monthly", "resettlement", "poc_wide", "demographics_wide"):
+        df = catalog(spark, SF_SMALL).view(t)
+        measures = ["Value"] if t == "raw_stock" else [c for c, k in df.dtypes if k == "double"]
+        assert measures and {c for d, c in audited if d == t} == {"Year", *measures}
+        assert {audited[t, c]["rows"] for c in measures} == {df.count()}
+    assert audited["decisions", "total_decisions_reported"]["blank_rows"] > 0
+    checks = {r["check"] for r in Q["quality_gate_all"](spark, SF_SMALL).collect()}
+    assert {r["check"] for r in Q["quality_gate"](spark, SF_SMALL).collect()} < checks
+    assert "no_negative_observed_values__demographics_wide" in checks
+
+
 def test_long_equals_wide(spark):
     cat = catalog(spark, SF_SMALL)
     wide = cat.view("poc_wide")
