@@ -2,7 +2,7 @@
 of ``flowatlas.llm`` on all rows that the stage before kept.
 
 Toxicity rejects documents, near-duplicates keep the document of the least id
-of each group, decontamination rejects documents that hold benchmark text,
+(of several, or without ids, of the least text hash) of each group, decontamination rejects documents that hold benchmark text,
 secret scans put a mark in place of every secret, packing cuts the texts into
 token pieces and places them in sequences. All but the last stage return the
 columns of their input. ``run`` writes every stage's result as Parquet under
@@ -58,14 +58,20 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the least id of each group of near-duplicates (five words, 0.8)."""
+    """The document of the least (id, text hash) of each group of near-duplicates
+    (five words, 0.8); documents without an id come last."""
     path = work_dir(spark, "groups")
     found = neardup.near_duplicates(docs.select(docs["doc_id"], docs["text"].cast("string").alias("text")))
-    rows = save(found.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")).alias("_id"), "_h", "kept"), f"{path}/rows")
-    out = _without(docs, rows.filter(~F.col("kept")), "duplicates")
+    rows = save(found.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")).alias("_id"), "_h", "component",
+                             F.struct(F.col("doc_id").isNull(), "doc_id", "_h").alias("_at")), f"{path}/rows")
+    least = rows.filter("component is not null").groupBy("component").agg(F.min("_at").alias("_at"))
+    least = least.select(F.coalesce(F.col("_at.doc_id").cast("string"), F.lit("-")).alias("_id"), F.col("_at._h").alias("_h"))
+    bad = save(rows.filter("component is not null").select("_id", "_h").distinct().join(least, ["_id", "_h"], "left_anti"),
+               f"{path}/rejected")
+    out = _without(docs, bad, "duplicates")
     # rows that repeat both id and text are one document: only they are regrouped
-    again = save(rows.filter("kept").groupBy("_id", "_h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-                 .select("_id", "_h"), f"{path}/again")
+    again = save(rows.groupBy("_id", "_h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("_id", "_h")
+                 .join(bad, ["_id", "_h"], "left_anti"), f"{path}/again")
     n = again.count()
     if not n:
         return out

@@ -279,7 +279,8 @@ def verified_links(cells: DataFrame, sets: DataFrame, path: str, num: int, den:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, num: int = NUMERATOR,
                     den: int = DENOMINATOR, miss: float = MISS, chunk: int = CHUNK) -> DataFrame:
     """One row per row of ``docs``: doc_id, _h (text hash), n_shingles,
-    component_id (least id reachable), kept (doc_id = component_id)."""
+    component_id (least id reachable), component (its own name, null without
+    shingles), kept (doc_id = component_id)."""
     ship_package(docs.sparkSession)
     path = work_dir(docs.sparkSession, "neardup")
     sigs = save(signatures(docs, id_col, text_col, shingle), f"{path}/signatures")
@@ -292,11 +293,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "fp", "least", F.coalesce("component", "fp").alias("component"))
     named = save(named, f"{path}/named")
     names = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    by_fp = named.join(names, "component").select("fp", "component_id")
+    by_fp = named.join(names, "component").select("fp", "component_id", "component")
     # rows without shingles match nothing: their join key is null
     out = sigs.filter("fp is not null").select("doc_id", "_h", "n_shingles", "fp").join(by_fp, "fp").select(
-        "doc_id", "_h", "n_shingles", "component_id")
-    none = sigs.filter("fp is null").select("doc_id", "_h", "n_shingles", F.col("doc_id").alias("component_id"))
+        "doc_id", "_h", "n_shingles", "component_id", "component")
+    none = sigs.filter("fp is null").select("doc_id", "_h", "n_shingles", F.col("doc_id").alias("component_id"),
+                                            F.lit(None).cast("binary").alias("component"))
     return out.union(none).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 

@@ -99,6 +99,20 @@ def mutated(seed, n_groups, size):
     return rows
 
 
+def test_pipeline_keeps_one_document_of_each_group(spark):
+    import corpus_pipeline
+
+    groups = [[t for _, t in mutated(70 + g, 1, 4)] for g in range(3)]
+    rows = [(None, t) for t in groups[0]] + [(5, t) for t in groups[1]] + [(i, t) for i, t in zip((None, 8, 7, 9), groups[2])]
+    rows += [(None, None), (3, ""), (4, "alone"), (4, "alone")]
+    brute = brute_components([(i, t) for i, (_, t) in enumerate(rows)], 5)
+    got = corpus_pipeline.drop_near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()
+    kept = [(r.doc_id, r.text) for r in got]
+    name = {t: c for (_, t), (_, n, c) in zip(rows, brute) if n}
+    assert sorted(name[t] for _, t in kept if t in name) == sorted(set(name.values()))
+    assert 5 in dict(kept) and 7 in dict(kept) and {(None, None), (3, "")} <= set(kept)
+
+
 @pytest.mark.parametrize("chunk", [1000, 7])
 def test_near_duplicates(spark, chunk):
     rows = mutated(1, 4, 25) + mutated(2, 15, 2)
