@@ -15,6 +15,9 @@ version scans every blob again; the findings of older ones stay.
 
 Spans are half-open code-point ranges, per rule leftmost and not overlapping;
 matches that fail a rule's length are dropped after matching.
+A private key reaches from its BEGIN line to the next END line, headers and
+all, unless another key begins before it; without an END line only the BEGIN
+line is a match.
 
 Defined results: null text is the empty blob, without findings. Repeated rows
 each get the blob's findings. Null paths or versions are ordinary values. An
@@ -42,8 +45,8 @@ BASE_RULES = [
 #: rules of our own: (kind, pattern, group whose length counts, least length)
 MORE_RULES = [
     ("jwt", r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 0, 40),
-    ("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:[A-Za-z0-9+/=\s]*-----END [A-Z ]*PRIVATE KEY-----)?", 0, 27),
-    ("url_password", r"[a-z][a-z0-9+.-]{1,30}://[^\s:/@]{1,200}:([^\s:/@]{1,200})@", 1, 4),
+    ("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:(?:(?!-----BEGIN [A-Z ]*PRIVATE KEY-----)[\s\S])*?-----END [A-Z ]*PRIVATE KEY-----)?", 0, 27),
+    ("url_password", r"[a-z][a-z0-9+.-]{1,30}://[^\s:/@]+:([^\s:/@]+)@", 1, 4),
     ("vendor", r"\b(?:gh[pousr]_[A-Za-z0-9]{36,}|xox[abpr]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{35})", 0, 10),
 ]
 RULES = BASE_RULES + MORE_RULES

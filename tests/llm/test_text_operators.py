@@ -387,3 +387,14 @@ def test_groups_cross_batches():
     assert [t.num_rows for t in groups(iter(b), 2)] == [1, 2, 1]
     assert list(shingle_sets(np.zeros(0, np.uint64), np.array([0, 0]), 4))[0].size == 0
     assert hashlib.blake2b(b"").digest()
+
+
+def test_keys_with_headers_and_long_url_passwords():
+    compiled = secrets.compile_rules()
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    key = begin + "\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0011-22\n\nMIIBOgIBAAJBAK==\n" + end
+    text = f"a {begin} alone, then {key} and {key} b"
+    assert [text[a:b] for k, a, b in secrets.find_spans(text, compiled) if k == "pem"] == [begin, key, key]
+    for n in (4, 200, 201, 5000):
+        url = f"postgres://{'u' * n}:{'p' * n}@host/db"
+        assert [("x " + url)[a:b] for k, a, b in secrets.find_spans("x " + url, compiled) if k == "url_password"] == [url[:url.index("@") + 1]]
