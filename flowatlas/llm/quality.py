@@ -16,8 +16,10 @@ covariance is a chain of column expressions.
 Defined results: null or empty text has no words and fails the base rule.
 Groups of fewer than ``min_group`` rows are pooled per language, then over
 all; a pool still smaller judges nothing (kept by the method). Null language
-or source is a group of its own. A statistic without spread is given the
-floor of ``FLOORS``. Repeated rows are each judged; other columns of the
+or source is a group of its own. The square of ``FLOORS`` is added
+to every variance (the first estimate has it as a least deviation), so a
+statistic without spread has a distance too; by ``x_rep``'s floor repetition
+alone hardly rejects. Repeated rows are each judged; other columns of the
 table are not read.
 """
 
