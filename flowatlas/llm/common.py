@@ -8,6 +8,7 @@ import tempfile
 import uuid
 import zipfile
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -26,6 +27,8 @@ NON_ALNUM_CLASS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: a table of ids and hashes (up to some 250 bytes a row) of at most so many
 #: rows may be broadcast, about 50 MB; beyond it joins shuffle
 BROADCAST_ROWS = 200_000
+#: a group of more than one in so many rows is hot; there are fewer such groups
+HOT_GROUPS = 10_000
 
 
 def register(key: str, oracle: str | None = None):
@@ -92,6 +95,34 @@ def small(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if rows <= limit else df
 
 
+def add_group_totals(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
+    """``df`` (a written table) with the exact sum of a long column over the rows of
+    equal ``keys``, nulls together; null where a value is null or the sum does
+    not fit a long. Sums are made map-side first. Totals come back by broadcast
+    while they are few; beyond, those of the largest groups still
+    do, at most ``HOT_GROUPS`` groups, so no hot key meets in one task."""
+    totals = df.groupBy(*keys).agg(
+        F.sum(F.col(value).cast("decimal(38,0)")).alias("_s"), F.count(F.lit(1)).alias("_n"), F.count(value).alias("_v"))
+    fits = F.when((F.col("_v") == F.col("_n")) & (F.abs("_s") <= F.lit((1 << 63) - 1)), F.col("_s")).cast("long")
+    totals = save(totals.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], fits.alias(out), "_n"),
+                  f"{work_dir(df.sparkSession, 'totals')}/all")
+
+    def joined(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+        on = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+        return left.join(right, reduce(Column.__and__, on), how).select(*df.columns, out)
+
+    n = totals.count()
+    if n <= BROADCAST_ROWS:
+        return joined(df, F.broadcast(totals), "inner")
+    rows = totals.agg(F.sum("_n")).first()[0]
+    hot = totals.filter(F.col("_n") * HOT_GROUPS > rows).withColumn("_hot", F.lit(True))
+    marked = df.join(F.broadcast(hot),
+                     reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]), "left")
+    found = marked.filter("_hot").select(*df.columns, out)
+    rest = marked.filter("_hot is null").select(*df.columns)
+    return found.unionByName(joined(rest, totals, "inner"))
+
+
 def binned_cut(df: DataFrame, keys: Sequence[str], value: str, share: float, out: str) -> DataFrame:
     """Per group the upper edge of the first bin of ``value`` (>= 0) up to which
     at least ``share`` of the group's rows lie. Bins are 1/64 of a power of two
