@@ -1,8 +1,7 @@
 """Data-quality audits and the quality gate.
 
-Each audit is one aggregate pass over its table (unpivot first, then one
-``groupBy`` of conditional counts), so the cost is one scan however many
-columns are audited. Checks are rows ``(check, status, detail)``; the gate
+Each audit is one aggregate pass over its table, so the cost is one scan
+however many columns are audited. Checks are rows ``(check, status, detail)``; the gate
 is their union plus a ``blocks_pipeline`` flag.
 """
 
@@ -14,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowatlas.operators.clean import label_key, measure_columns
+from flowatlas.operators.clean import label_key
 
 
 def _union(dfs: list[DataFrame]) -> DataFrame:
@@ -44,28 +43,33 @@ def audit_dataset_inventory(tables: dict[str, DataFrame]) -> DataFrame:
     return _union(parts)
 
 
+#: the audit's accumulators for one column, over its trimmed text and its number (SQL
+#: text: a wide table has hundreds of them, too many to build call by call)
+_COUNTERS = """named_struct(
+  'rows', count(1), 'observed_nonmissing_rows', count(CASE WHEN {v} >= 0 THEN {v} END),
+  'blank_rows', count_if({t} IS NULL OR {t} = ''), 'redacted_star_rows', count_if({t} = '*'),
+  'zero_rows', count_if({v} = 0), 'negative_raw_rows', count_if({v} < 0),
+  'non_numeric_raw_rows', count_if({t} NOT IN ('', '*') AND {v} IS NULL),
+  'observed_sum', sum(CASE WHEN {v} >= 0 THEN {v} END), 'observed_min', min(CASE WHEN {v} >= 0 THEN {v} END),
+  'observed_max', max(CASE WHEN {v} >= 0 THEN {v} END))"""
+
+
 def audit_numeric_quality(df: DataFrame, dataset: str, columns: dict[str, str]) -> DataFrame:
-    """Per raw string column (``columns``: raw column -> audit label): rows,
-    observed, blank, redacted, zero, negative and non-numeric counts, and
-    sum / min / max of the observed values. One unpivot, one group-by."""
-    # parse each raw column into a struct of measures, then unpivot the
-    # structs (parsing before the Expand keeps the generated code small)
-    measured = df.select(*[
-        F.struct(*[e.alias(k) for k, e in measure_columns(F.col(c).cast(T.StringType()), "m").items()])
-        .alias(lbl) for c, lbl in columns.items()])
-    x = measured.unpivot([], list(columns.values()), "column", "m").select("column", "m.*")
-    return x.groupBy("column").agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count("m_observed").alias("observed_nonmissing_rows"),
-        F.count_if("m_is_blank").alias("blank_rows"),
-        F.count_if("m_is_redacted").alias("redacted_star_rows"),
-        F.count_if("m_is_zero").alias("zero_rows"),
-        F.count_if("m_is_negative_raw").alias("negative_raw_rows"),
-        F.count_if("m_is_non_numeric").alias("non_numeric_raw_rows"),
-        F.sum("m_observed").alias("observed_sum"),
-        F.min("m_observed").alias("observed_min"),
-        F.max("m_observed").alias("observed_max"),
-    ).select(F.lit(dataset).alias("dataset"), "*")
+    """Per raw column (``columns``: raw column -> audit label): rows, observed,
+    blank, redacted, zero, negative and non-numeric counts, and sum / min / max
+    of the observed values. All columns are counted side by side in one
+    aggregate - rows are never multiplied by the number of columns - and its
+    one row is unfolded into a row per column."""
+    names = list(columns)
+    text = df.selectExpr(*[f"trim(cast(`{c}` AS string)) AS t{i}" for i, c in enumerate(names)])
+    number = text.selectExpr("*", *[f"try_cast(t{i} AS double) AS d{i}" for i in range(len(names))])
+    parsed = number.selectExpr(*[f"t{i}" for i in range(len(names))], *[
+        f"CASE WHEN NOT isnan(d{i}) AND abs(d{i}) <> double('infinity') THEN d{i} END AS v{i}" for i in range(len(names))])
+    counted = parsed.selectExpr(*[_COUNTERS.format(v=f"v{i}", t=f"t{i}") + f" AS c{i}" for i in range(len(names))])
+    label = lambda s: "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    rows = ", ".join(f"named_struct('column', {label(columns[c])}, 'm', c{i})" for i, c in enumerate(names))
+    return (counted.selectExpr(f"explode(array({rows})) AS r")
+            .select(F.lit(dataset).alias("dataset"), F.col("r.column").alias("column"), "r.m.*"))
 
 
 def audit_quality_rollup(numeric_quality: DataFrame) -> DataFrame:

@@ -8,6 +8,8 @@ from flowatlas.operators import audit as au
 from flowatlas.operators import clean as cl
 from flowatlas.plans.common import register, views
 from flowatlas.schemas import STOCK_REQUIRED
+from flowatlas.sources import gate
+from flowatlas.sources.fixtures import DECISION_PARTS, DEMOGRAPHIC_COLUMNS, POC_COLUMNS
 
 V = "value_observed"
 
@@ -34,7 +36,13 @@ REQUIRED = {
     "apps_monthly": ["year", "month", "applications_monthly_observed"],
     "resettlement": ["year", "resettlement_observed", "host_country_std", "origin_country_std"],
 }
+# The six raw tables' numeric columns (raw column -> audit label).
 NUMERIC_AUDIT = {"year_raw": "Year", "value_raw": "Value"}
+RAW_NUMERIC_AUDIT = {
+    "raw_stock": NUMERIC_AUDIT, "raw_apps_monthly": NUMERIC_AUDIT, "raw_resettlement": NUMERIC_AUDIT,
+    "raw_decisions": {"year_raw": "Year"} | {f"{c}_raw": c for c in [*DECISION_PARTS, "total_decisions"]},
+    "raw_poc": {"year_raw": "Year"} | {f"{c}_raw": c for c in POC_COLUMNS},
+    "raw_demographics": {"year_raw": "Year"} | {f"{c}_raw": c for c in DEMOGRAPHIC_COLUMNS}}
 # Every dataset's year and measures (column -> audit label).
 NUMERIC_AUDIT_ALL = {"raw_stock": NUMERIC_AUDIT} | {t: {"year": "Year"} | {c: c for c in cols} for t, cols in {
     "stock": ["value_observed"],
@@ -236,20 +244,25 @@ FROM {table}""")
     return "\nUNION ALL\n".join(parts)
 
 
-def _numeric_cte(dataset: str, table: str, columns: dict) -> str:
-    return ", nq AS (" + _numeric_sql(dataset, table, columns) + ")"
+def _numeric_cte(audited: dict[str, dict]) -> str:
+    return ", nq AS (" + "\nUNION ALL\n".join(_numeric_sql(t, t, cols) for t, cols in audited.items()) + ")"
 
 
-_NQ = _numeric_cte("raw_stock", "raw_stock", NUMERIC_AUDIT)
+def _numeric_quality_df(spark, sf, audited: dict[str, dict]):
+    cat = views(spark, sf)
+    out = None
+    for t, cols in audited.items():
+        d = au.audit_numeric_quality(cat.view(t), t, cols)
+        out = d if out is None else out.unionByName(d)
+    return out
 
 
-def _numeric_quality_df(spark, sf):
-    return au.audit_numeric_quality(views(spark, sf).view("raw_stock"), "raw_stock", NUMERIC_AUDIT)
+_NQ = _numeric_cte(RAW_NUMERIC_AUDIT)
 
 
-@register("audit_numeric_quality", _NQ + "\nSELECT * FROM nq", views=("raw_stock",))
+@register("audit_numeric_quality", _NQ + "\nSELECT * FROM nq", views=tuple(RAW_NUMERIC_AUDIT))
 def q_audit_numeric_quality(spark, sf):
-    return _numeric_quality_df(spark, sf)
+    return _numeric_quality_df(spark, sf, RAW_NUMERIC_AUDIT)
 
 
 _ROLLUP_SQL = """
@@ -261,31 +274,22 @@ FROM nq GROUP BY dataset
 """
 
 
-@register("audit_quality_rollup", _NQ + _ROLLUP_SQL, views=("raw_stock",))
+@register("audit_quality_rollup", _NQ + _ROLLUP_SQL, views=tuple(RAW_NUMERIC_AUDIT))
 def q_audit_quality_rollup(spark, sf):
-    return au.audit_quality_rollup(_numeric_quality_df(spark, sf))
-
+    return au.audit_quality_rollup(_numeric_quality_df(spark, sf, RAW_NUMERIC_AUDIT))
 
-_NQ_ALL = ", nq AS (" + "\nUNION ALL\n".join(_numeric_sql(t, t, cols) for t, cols in NUMERIC_AUDIT_ALL.items()) + ")"
 
-
-def _numeric_quality_all_df(spark, sf):
-    cat = views(spark, sf)
-    out = None
-    for t, cols in NUMERIC_AUDIT_ALL.items():
-        d = au.audit_numeric_quality(cat.view(t), t, cols)
-        out = d if out is None else out.unionByName(d)
-    return out
+_NQ_ALL = _numeric_cte(NUMERIC_AUDIT_ALL)
 
 
 @register("audit_numeric_quality_all", _NQ_ALL + "\nSELECT * FROM nq", views=tuple(NUMERIC_AUDIT_ALL))
 def q_audit_numeric_quality_all(spark, sf):
-    return _numeric_quality_all_df(spark, sf)
+    return _numeric_quality_df(spark, sf, NUMERIC_AUDIT_ALL)
 
 
 @register("audit_quality_rollup_all", _NQ_ALL + _ROLLUP_SQL, views=tuple(NUMERIC_AUDIT_ALL))
 def q_audit_quality_rollup_all(spark, sf):
-    return au.audit_quality_rollup(_numeric_quality_all_df(spark, sf))
+    return au.audit_quality_rollup(_numeric_quality_df(spark, sf, NUMERIC_AUDIT_ALL))
 
 
 @register("audit_country_mapping", """
@@ -435,6 +439,34 @@ def q_quality_gate_all(spark, sf):
     return au.quality_gate(_gate_dfs(cat) + _negative_dfs(cat, NEGATIVE_COLUMNS_WIDE))
 
 
+_OVERALL_SQL = """
+SELECT 'overall' AS "check", CASE WHEN bool_or(status = 'FAIL') THEN 'FAIL' ELSE 'PASS' END AS status,
+       'blocking_checks=' || cast(count(CASE WHEN status = 'FAIL' THEN 1 END) AS varchar) AS detail,
+       coalesce(bool_or(status = 'FAIL'), false) AS blocks_pipeline FROM checks"""
+
+
+@register("quality_gate_overall", _GATE_CHECKS_SQL + "\nUNION ALL\n" + _negative_sql(NEGATIVE_COLUMNS_WIDE) + ")" + _OVERALL_SQL,
+          views=(*_GATE_VIEWS, *NEGATIVE_COLUMNS_WIDE))
+def q_quality_gate_overall(spark, sf):
+    """The one verdict that the next step of a pipeline asks for."""
+    return gate.overall(q_quality_gate_all(spark, sf))
+
+
+@register("quality_gate_published", ", checks AS (\n" + _negative_sql(NEGATIVE_COLUMNS | NEGATIVE_COLUMNS_WIDE) + """
+UNION ALL
+SELECT 'no_row_loss__stock',
+       CASE WHEN (SELECT count(*) FROM raw_stock) = (SELECT count(*) FROM stock) THEN 'PASS' ELSE 'FAIL' END,
+       'raw=' || cast((SELECT count(*) FROM raw_stock) AS varchar) || ', clean=' || cast((SELECT count(*) FROM stock) AS varchar)
+UNION ALL
+SELECT 'year_missing__stock', CASE WHEN count(CASE WHEN year IS NULL THEN 1 END) = 0 THEN 'PASS' ELSE 'DOCUMENTED' END,
+       'rows=' || cast(count(CASE WHEN year IS NULL THEN 1 END) AS varchar) FROM stock)
+SELECT "check", status, detail, status = 'FAIL' AS blocks_pipeline FROM checks
+UNION ALL""" + _OVERALL_SQL, views=("raw_stock", *NEGATIVE_COLUMNS, *NEGATIVE_COLUMNS_WIDE))
+def q_quality_gate_published(spark, sf):
+    """What the jobs that wrote the silver tables counted, and the verdict."""
+    return views(spark, sf).gate()
+
+
 @register("crosscheck_sources", """
 , a AS (SELECT year, population_type_std, coalesce(sum(value_observed), 0) AS s FROM stock
         GROUP BY year, population_type_std)

@@ -17,8 +17,9 @@ from flowatlas.plans.common import register, views
 from flowatlas.plans.stock_plans import F0, _rank_sql
 from flowatlas.schemas import DRIVER_SCHEMAS, RAW_STOCK_SCHEMA, STOCK_SCHEMA
 from flowatlas.session import shared_dir
-from flowatlas.sources import sinks
-from flowatlas.sources.catalog import load_catalog, path_exists, scan_first_available, scan_table, source_key
+from flowatlas.sources import fixtures, sinks
+from flowatlas.sources.catalog import (
+    LINE, SILVER_VIEWS, load_catalog, path_exists, scan_first_available, scan_raw_csv, scan_table, source_key)
 
 
 def scratch(spark, sf: str, key: str) -> str:
@@ -76,6 +77,25 @@ def q_load_catalog(spark, sf):
         f"SELECT '{v}' AS view_name, count(*) AS rows FROM {prefix}{v}" for v in _CATALOG_VIEWS))
 
 
+_BOUNDED = [v for v in SILVER_VIEWS if not v.startswith("raw_")]
+
+
+@register("catalog_year_bounds", "\nUNION ALL\n".join(
+    f"SELECT '{v}' AS table_name, min(year) AS year_min, max(year) AS year_max FROM {v}" for v in _BOUNDED), views=tuple(_BOUNDED))
+def q_catalog_year_bounds(spark, sf):
+    """First and last year of every table that has one: from the names of the
+    silver tables' partitions where there are silver tables."""
+    cat = views(spark, sf)
+    if cat.silver_dir:
+        cat.build_silver()
+        return cat.year_bounds(_BOUNDED)
+    out = None
+    for v in _BOUNDED:
+        d = cat.view(v).agg(F.min("year").alias("year_min"), F.max("year").alias("year_max")).select(F.lit(v).alias("table_name"), "*")
+        out = d if out is None else out.unionByName(d)
+    return out
+
+
 # a blank CSV cell reads as null (the clean step treats null and '' alike)
 _RAW_SQL = """SELECT nullif(year_raw, '') AS year_raw, nullif(origin_raw, '') AS origin_raw,
        nullif(host_raw, '') AS host_raw, nullif(population_type_raw, '') AS population_type_raw,
@@ -95,9 +115,64 @@ def _raw_csv(spark, sf):
 
 @register("scan_raw_csv", _RAW_SQL, views=("raw_stock",))
 def q_scan_raw_csv(spark, sf):
-    """Raw CSV read with an all-string schema: blank stays '', '*' and
-    'NA' codes stay text (parsing is the clean step's job)."""
-    return scan_table(spark, _raw_csv(spark, sf), RAW_STOCK_SCHEMA, fmt="csv")
+    """Raw CSV as text: an empty field is null, '*' and 'NA' codes stay text
+    (parsing is the clean step's job), malformed records are set aside."""
+    raw = scan_raw_csv(spark, _raw_csv(spark, sf), RAW_STOCK_SCHEMA.names)
+    return raw.filter(F.col(LINE).isNull()).select(*RAW_STOCK_SCHEMA.names)
+
+
+# The six raw tables and their columns; files as they arrive, without a header.
+RAW_TABLES = {
+    "raw_stock": RAW_STOCK_SCHEMA.names,
+    "raw_decisions": ["year_raw", "origin_raw", "host_raw", "procedure_raw",
+                      *[f"{c}_raw" for c in [*fixtures.DECISION_PARTS, "total_decisions"]], "source_key", "source_line"],
+    "raw_apps_monthly": ["year_raw", "month_raw", "host_raw", "value_raw", "source_key"],
+    "raw_resettlement": ["year_raw", "origin_raw", "host_raw", "value_raw"],
+    "raw_poc": ["year_raw", "origin_raw", "host_raw", *[f"{c}_raw" for c in fixtures.POC_COLUMNS]],
+    "raw_demographics": ["year_raw", "host_raw", *[f"{c}_raw" for c in fixtures.DEMOGRAPHIC_COLUMNS]],
+}
+
+
+def _pick_sql(columns) -> str:
+    """Length of a row's text; it picks the records that arrive malformed."""
+    return "length(" + " || ".join(f"coalesce(cast({c} AS varchar(400)), '')" for c in columns) + ")"
+
+
+def _damaged_csv(spark, sf, table: str) -> str:
+    """The raw table as CSV lines (written once per run); some have a field too
+    many or lack the last one."""
+    path = scratch(spark, sf, "raw_lines") + f"/{table}.csv"
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        cols = [F.col(c).cast("string").alias(c) for c in RAW_TABLES[table]]
+        keep = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+        pick = F.expr(_pick_sql(RAW_TABLES[table]))
+        line = (F.when(pick % 13 == 0, F.concat(F.to_csv(F.struct(*cols), keep), F.lit(",surplus")))
+                .when(pick % 11 == 0, F.to_csv(F.struct(*cols[:-1]), keep)).otherwise(F.to_csv(F.struct(*cols), keep)))
+        views(spark, sf).view(table).select(line.alias("value")).write.mode("overwrite").text(path)
+    return path
+
+
+def _bad_sql(columns) -> str:
+    return f"({_pick_sql(columns)} % 13 = 0 OR {_pick_sql(columns)} % 11 = 0)"
+
+
+@register("scan_raw_csv_all", "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS dataset, count(*) AS file_rows, count(CASE WHEN NOT {_bad_sql(c)} THEN 1 END) AS good_rows, "
+    f"count(CASE WHEN {_bad_sql(c)} THEN 1 END) AS quarantined_rows, "
+    f"cast(coalesce(sum(CASE WHEN NOT {_bad_sql(c)} THEN cast(year_raw AS bigint) END), 0) AS bigint) AS good_year_sum FROM {t}"
+    for t, c in RAW_TABLES.items()), views=tuple(RAW_TABLES))
+def q_scan_raw_csv_all(spark, sf):
+    """All six raw files, malformed records and all: rows of the file, good and
+    quarantined ones, one scan each."""
+    out = None
+    for t, cols in RAW_TABLES.items():
+        raw = scan_raw_csv(spark, _damaged_csv(spark, sf, t), cols, header=False)
+        good = F.col(LINE).isNull()
+        n = raw.agg(F.count(F.lit(1)).alias("file_rows"), F.count_if(good).alias("good_rows"), F.count_if(~good).alias("quarantined_rows"),
+                    F.coalesce(F.sum(F.when(good, F.col("year_raw").cast("long"))), F.lit(0)).alias("good_year_sum"))
+        n = n.select(F.lit(t).alias("dataset"), "*")
+        out = n if out is None else out.unionByName(n)
+    return out
 
 
 @register("convert_to_parquet", _RAW_SQL, views=("raw_stock",))

@@ -19,16 +19,30 @@ import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowatlas.schemas import DRIVER_SCHEMAS
 from flowatlas.session import stable_dir
-from flowatlas.sources import fixtures
+from flowatlas.sources import fixtures, gate
 
 # Views worth materialising: the line-item join (once), then the tables
 # derived from it, which then read the silver join instead of re-joining.
 SILVER_VIEWS = ("stock_base", "stock", "decisions", "resettlement", "apps_monthly", "raw_stock",
-                "demographics_wide", "poc_wide")
+                "demographics_wide", "poc_wide", "raw_decisions")
+
+# What a silver table must hold to be published.
+SILVER_CHECKS: dict[str, tuple[gate.Check, ...]] = {
+    "stock": (gate.no_negative("value_observed"), gate.Check("year_missing", "year IS NULL", blocks=False)),
+    "decisions": (gate.no_negative("applications_observed", "recognized_observed", "rejected_observed",
+                                   "other_decisions_observed", "otherwise_closed_observed"),),
+    "resettlement": (gate.no_negative("resettlement_observed"),),
+    "apps_monthly": (gate.no_negative("applications_monthly_observed"),),
+    "poc_wide": (gate.no_negative(*fixtures.POC_COLUMNS),),
+    "demographics_wide": (gate.no_negative(*fixtures.DEMOGRAPHIC_COLUMNS),),
+}
+#: clean table -> the raw table whose rows it must all have
+ROW_SOURCES = {"stock": "raw_stock"}
 
 _LOCK = threading.RLock()
 _CATALOGS: dict[tuple[str, str, bool], "Catalog"] = {}
@@ -60,6 +74,43 @@ def scan_table(spark: SparkSession, path: str, schema=None, fmt: str | None = No
     return df.repartition(spread) if spread else df
 
 
+#: columns that ``scan_raw_csv`` adds
+LINE, FILE = "_line", "_file"
+
+
+def scan_raw_csv(spark: SparkSession, path: str, columns: list[str], header: bool = True) -> DataFrame:
+    """Raw CSV, every column text, no row lost and none that stops the job: a
+    record with more or fewer fields than there are columns comes back with its
+    whole text in ``_line`` (null for good records), and every record with its
+    file in ``_file``. With a header the columns are bound by name, in any
+    order, and a file with other columns is an error; without one, by place.
+    Blanks around values and codes such as ``NA`` stay as they are; an empty
+    field is null."""
+    r = (spark.read.option("header", header).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
+    order = columns
+    if header:
+        order = r.csv(path).columns  # reads one header only
+        missing = [c for c in columns if c not in order]
+        if missing:
+            raise ValueError(f"{path} has no column {', '.join(missing)}")
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*order, LINE]])
+    # with pruned columns the parser does not count fields
+    df = (r.schema(schema).option("enforceSchema", not header).option("mode", "PERMISSIVE").option("columnPruning", False)
+          .option("columnNameOfCorruptRecord", LINE).csv(path))
+    return df.select(*columns, LINE, F.col("_metadata.file_path").alias(FILE))
+
+
+def ingest_raw_csv(spark: SparkSession, path: str, columns: list[str], out: str, header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """One pass over raw CSV into the table ``out``: (good rows, quarantine).
+    The quarantine holds file and text of every malformed record."""
+    raw = scan_raw_csv(spark, path, columns, header)
+    bad = F.col(LINE).isNotNull()
+    kept = raw.select(*[F.when(~bad, F.col(c)).alias(c) for c in columns], LINE, FILE, bad.alias("_quarantined"))
+    kept.write.mode("overwrite").partitionBy("_quarantined").parquet(out)
+    table = spark.read.schema(kept.schema).parquet(out)
+    return table.filter("not _quarantined").select(*columns), table.filter("_quarantined").select(FILE, LINE)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the Hadoop file system of the path (works for
     local, HDFS and object stores alike)."""
@@ -86,14 +137,15 @@ def scan_first_available(spark: SparkSession, candidates: list[str], schema=None
 def source_key(spark: SparkSession, sf_dir: str) -> str:
     """Names a data folder's state: its base name and a hash of the qualified
     path, of every source file's name, size and time, and of the view
-    definitions. Another folder, changed files or changed views get another
+    definitions and checks. Another folder, changed files or changed views get another
     name."""
     from flowatlas.operators import cube
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     h = hashlib.sha256()
-    for module in (fixtures, cube):
+    for module in (fixtures, cube, gate):
         h.update(inspect.getsource(module).encode())
+    h.update(repr(SILVER_CHECKS).encode())
     for t in fixtures.DRIVER_TABLES:
         path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{t}.parquet")
         fs = path.getFileSystem(conf)
@@ -118,10 +170,12 @@ class Catalog:
     def driver(self, name: str) -> DataFrame:
         return self.spark.read.schema(DRIVER_SCHEMAS[name]).parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def _drivers(self) -> dict:
+        return {t: self.driver(t) for t in fixtures.DRIVER_TABLES}
+
     def _tables(self) -> dict:
         if not self._views:
-            for t in fixtures.DRIVER_TABLES:
-                self._views[t] = self.driver(t)
+            self._views.update(self._drivers())
         return self._views
 
     # displacement views ---------------------------------------------------
@@ -161,24 +215,86 @@ class Catalog:
         self.cube()
 
     def _materialize(self, name: str, df: DataFrame) -> DataFrame:
+        """Writes a silver table aside, with its checks counted by the writing
+        job, and publishes it only if none of them blocks."""
         path = f"{self.silver_dir}/{name}"
         if not path_exists(self.spark, f"{path}/_SUCCESS"):
             # written aside and renamed: other applications see all of it or nothing
             aside = f"{self.silver_dir}/.{name}-{uuid.uuid4().hex}"
+            checks = SILVER_CHECKS.get(name, ())
             if "year" in df.columns:
                 # REBALANCE by year: AQE sizes the output partitions to the
                 # advisory size and splits a hot year over several tasks, so
                 # each year gets a few well-sized files instead of one small
                 # file per input task (or one huge task for a big year)
-                w = df.hint("rebalance", "year").sortWithinPartitions("year")
-                (w.write.mode("overwrite").option("maxRecordsPerFile", 5_000_000)
+                out, seen = gate.observe(df.hint("rebalance", "year").sortWithinPartitions("year"), name, checks)
+                (out.write.mode("overwrite").option("maxRecordsPerFile", 5_000_000)
                  .partitionBy("year").parquet(aside))
             else:
-                df.hint("rebalance").write.mode("overwrite").parquet(aside)
+                out, seen = gate.observe(df.hint("rebalance"), name, checks)
+                out.write.mode("overwrite").parquet(aside)
+            rows = gate.verdicts(name, checks, seen.get)
+            if any(r["blocks_pipeline"] for r in rows):
+                raise gate.QualityGateError(name, rows, aside)
+            gate.record(self.spark, f"{self.silver_dir}/gate-{name}.json", rows)
             _publish(self.spark, aside, path)
-        out = self.spark.read.parquet(path)
-        # keep the fixture's column order (partition column comes back last)
-        return out.select(*df.columns)
+        # the fixture's schema and column order: nothing is read for it
+        return self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
+
+    def published(self, name: str) -> str | None:
+        """Where the view's silver table is, if it has been published."""
+        path = f"{self.silver_dir}/{name}"
+        return path if name in SILVER_VIEWS and self.silver_dir and path_exists(self.spark, f"{path}/_SUCCESS") else None
+
+    def defined(self, name: str) -> DataFrame:
+        """The view, building nothing: its silver table where that is published,
+        else its definition over the driver tables. Starts no job."""
+        return self._defined(name, dict(self._drivers()))
+
+    def _defined(self, name: str, tables: dict) -> DataFrame:
+        for dep in fixtures.VIEWS[name][1]:
+            if dep not in tables:
+                self._defined(dep, tables)
+        df = fixtures.spark_view(self.spark, tables, name)
+        path = self.published(name)
+        if path:
+            df = self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
+        tables[name] = df
+        return df
+
+    def gate(self) -> DataFrame:
+        """The gate rows of all silver tables (built first if need be), the row
+        counts of clean against raw tables, and the overall verdict."""
+        self.build_silver()
+        names = [n for n in SILVER_VIEWS if n in SILVER_CHECKS or n in ROW_SOURCES.values()]
+        if self.silver_dir:
+            rows = self.spark.read.schema(gate.GATE_SCHEMA).json([f"{self.silver_dir}/gate-{n}.json" for n in names])
+        else:  # nothing is written: the counters run by themselves
+            found = [gate.verdicts(n, checks, self.view(n).agg(*gate.counters(checks)).first().asDict())
+                     for n in names for checks in [SILVER_CHECKS.get(n, ())]]
+            rows = self.spark.createDataFrame([tuple(r.values()) for f in found for r in f], gate.GATE_SCHEMA)
+        count = {r["table"]: r["rows"] for r in rows.select(F.substring_index("check", "__", -1).alias("table"), "rows").distinct().collect()}
+        loss = [(f"no_row_loss__{c}", "PASS" if count[c] == count[r] else "FAIL", f"raw={count[r]}, clean={count[c]}", count[c] != count[r])
+                for c, r in ROW_SOURCES.items()]
+        columns = "check string, status string, detail string, blocks_pipeline boolean"
+        checks = rows.filter(~F.col("check").startswith("written__")).drop("rows").unionByName(self.spark.createDataFrame(loss, columns))
+        return checks.unionByName(gate.overall(checks))
+
+    def year_bounds(self, names=None) -> DataFrame:
+        """(table_name, year_min, year_max) of the published tables that are
+        partitioned by year, from the partitions' names: no data is read."""
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        out = []
+        for name in names or SILVER_VIEWS:
+            path = self.published(name)
+            if not path:
+                continue
+            glob = jvm.org.apache.hadoop.fs.Path(f"{path}/year=*")
+            found = [s.getPath().getName().split("=", 1)[1] for s in glob.getFileSystem(conf).globStatus(glob)]
+            years = [int(y) for y in found if y.lstrip("-").isdigit()]
+            out.append((name, min(years, default=None), max(years, default=None)))
+        return self.spark.createDataFrame(out, "table_name string, year_min int, year_max int")
 
     def stock(self) -> DataFrame:
         return self.view("stock")
@@ -230,15 +346,15 @@ def catalog(spark: SparkSession, sf_dir: str, materialize: bool | None = None) -
 
 
 def load_catalog(spark: SparkSession, sf_dir: str, prefix: str = "") -> dict[str, DataFrame]:
-    """Register every displacement view as a temp view (lazy: nothing is
-    read until a query uses it) so that ``spark.sql`` can query them."""
+    """Register every displacement view as a temp view, so that ``spark.sql``
+    can query them. Nothing is built or read until a query uses one: a view
+    whose silver table is published reads that, any other its definition."""
     cat = catalog(spark, sf_dir)
     out = {}
     for name in fixtures.VIEWS:
         if name == "stock_base":
             continue
-        df = cat.view(name)
+        df = cat.defined(name)
         df.createOrReplaceTempView(prefix + name)
         out[name] = df
     return out
-

@@ -287,6 +287,68 @@ JOIN entity eh ON b.host_k = eh.k
 GROUP BY b.year, eh.country_std
 """)
 
+# The other raw tables, all strings. A cell's number picks its defect: redacted,
+# blank (empty or spaces), negative, or text; null measures are blank cells.
+def _raw_cell(value: str, pick: str) -> str:
+    whole = f"cast({value} AS bigint)"
+    return (f"CASE WHEN {value} IS NULL THEN '' WHEN ({pick}) % 37 = 0 THEN '*' WHEN ({pick}) % 41 = 0 THEN '  ' "
+            f"WHEN ({pick}) % 43 = 0 THEN '-3' WHEN ({pick}) % 47 = 0 THEN 'n/a' "
+            f"WHEN ({pick}) % 53 = 0 THEN ' ' || cast({whole} AS varchar(20)) || ' ' ELSE cast({whole} AS varchar(20)) END")
+
+
+def _raw_cells(columns: list[str], pick: str) -> str:
+    return ",\n       ".join(f"{_raw_cell(c, f'{pick} + {7 * i}')} AS {c}_raw" for i, c in enumerate(columns))
+
+
+_YEAR_RAW = "cast(year AS varchar(4)) AS year_raw"
+DECISION_PARTS = ["applications", "recognized", "rejected", "other_decisions", "otherwise_closed"]
+_view("raw_decisions", ("stock_base", "entity"), f"""
+SELECT {_YEAR_RAW}, origin_country_std AS origin_raw, host_country_std AS host_raw, procedure_raw,
+       {_raw_cells([*DECISION_PARTS, "total_decisions"], "source_key")},
+       source_key, source_line
+FROM (SELECT b.year, eo.country_std AS origin_country_std, eh.country_std AS host_country_std,
+             CASE WHEN b.l_orderkey % 11 = 0 THEN 'G / NA' WHEN b.l_orderkey % 2 = 0 THEN 'G / FI' ELSE 'U / AR' END AS procedure_raw,
+             b.l_quantity AS applications,
+             CASE WHEN b.l_orderkey % 4 = 0 THEN b.l_quantity ELSE 0.0 END AS recognized,
+             CASE WHEN b.l_orderkey % 4 = 1 THEN b.l_quantity ELSE 0.0 END AS rejected,
+             CASE WHEN b.l_orderkey % 4 = 2 THEN b.l_quantity ELSE 0.0 END AS other_decisions,
+             CASE WHEN b.l_orderkey % 4 = 3 THEN b.l_quantity ELSE 0.0 END AS otherwise_closed,
+             CASE WHEN b.l_orderkey % 7 = 0 THEN NULL ELSE b.l_quantity END AS total_decisions,
+             b.l_orderkey AS source_key, b.l_linenumber AS source_line
+      FROM stock_base b JOIN entity eo ON b.origin_k = eo.k JOIN entity eh ON b.host_k = eh.k) d
+""")
+
+_view("raw_apps_monthly", ("entity",), f"""
+SELECT cast(extract(year FROM o.o_orderdate) AS varchar(4)) AS year_raw,
+       {_month_case("cast(extract(month FROM o.o_orderdate) AS int)")} AS month_raw,
+       CASE WHEN o.o_orderkey % 5 = 0 THEN lower(eh.country_std) || ' ' ELSE eh.country_std END AS host_raw,
+       {_raw_cell("floor(o.o_totalprice / 1000)", "o.o_orderkey")} AS value_raw,
+       o.o_orderkey AS source_key
+FROM {{orders}} o
+JOIN {{customer}} c ON o.o_custkey = c.c_custkey
+JOIN entity eh ON c.c_nationkey = eh.k
+""")
+
+_view("raw_resettlement", ("resettlement",), f"""
+SELECT {_YEAR_RAW}, origin_country_std AS origin_raw, host_country_std AS host_raw,
+       {_raw_cell("resettlement_observed", "cast(resettlement_observed AS bigint) + year")} AS value_raw
+FROM resettlement
+""")
+
+POC_COLUMNS = ["refugees", "asylum_seekers", "returned_refugees", "idps", "returned_idps", "stateless", "others_of_concern"]
+_view("raw_poc", ("poc_wide",), f"""
+SELECT {_YEAR_RAW}, origin_country_std AS origin_raw, host_country_std AS host_raw,
+       {_raw_cells(POC_COLUMNS, "coalesce(cast(refugees AS bigint), 1) + year")}
+FROM poc_wide
+""")
+
+DEMOGRAPHIC_COLUMNS = [f"{s}_{a}" for s in ("female", "male") for a in ("0_4", "5_11", "5_17", "12_17", "18_59", "60", "unknown", "total")]
+_view("raw_demographics", ("demographics_wide",), f"""
+SELECT {_YEAR_RAW}, CASE WHEN year % 2 = 0 THEN ' ' || host_country_std ELSE host_country_std END AS host_raw,
+       {_raw_cells(DEMOGRAPHIC_COLUMNS, "coalesce(cast(female_total AS bigint), 1) + year")}
+FROM demographics_wide
+""")
+
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 _DRIVER_REF = re.compile(r"\{(" + "|".join(DRIVER_TABLES) + r")\}")
 
