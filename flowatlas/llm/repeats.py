@@ -21,7 +21,8 @@ task; only hashes of several documents are joined back, and a hot one is an
 ordinary skewed join key.
 
 Defined results: null or empty text has no sentences and stays as it is; rows
-of one id are one document and not compared with each other; documents without
+of one id are one document and not compared with each other, but each text
+loses its own repeats only; documents without
 an id come last, told apart by their text. Ids that are not whole numbers are
 ordered by their hash. An empty table gives an empty result; other columns of
 the table are not read.
@@ -123,22 +124,22 @@ class Sentences:
 
 
 def span_rows(docs: DataFrame) -> DataFrame:
-    """(hash, _k, first, end, again) of all runs of (_k, t); ``again``: it stands earlier in the text."""
+    """(hash, _k, _h, first, end, again) of all runs of (_k, _h, t); ``again``: it stands earlier in the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cutter = Sentences()
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                h, d, a, b = cutter.runs(part.column(1).to_pylist())
+                h, d, a, b = cutter.runs(part.column(2).to_pylist())
                 order = np.lexsort((a, h, d))
                 again = np.zeros(len(h), bool)
                 again[order[1:]] = (h[order[1:]] == h[order[:-1]]) & (d[order[1:]] == d[order[:-1]])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(h.view(np.int64)), part.column(0).take(pa.array(d)), pa.array(a.astype(np.int32)),
-                     pa.array(b.astype(np.int32)), pa.array(again)], names=["hash", "_k", "first", "end", "again"])
+                    [pa.array(h.view(np.int64)), part.column(0).take(pa.array(d)), part.column(1).take(pa.array(d)), pa.array(a.astype(np.int32)),
+                     pa.array(b.astype(np.int32)), pa.array(again)], names=["hash", "_k", "_h", "first", "end", "again"])
 
-    return docs.mapInArrow(run, "hash long, _k long, first int, end int, again boolean")
+    return docs.mapInArrow(run, "hash long, _k long, _h long, first int, end int, again boolean")
 
 
 def merge(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -159,14 +160,16 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     path = work_dir(spark, "repeats")
     kind = docs.schema[id_col].dataType.simpleString()
     t = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    keyed = docs.select(order_key(docs, id_col, t).alias("_k"), t.cast("binary").alias("t"))
+    # ranges of words belong to a text, not to an id, which may repeat with other texts
+    keyed = docs.select(order_key(docs, id_col, t).alias("_k"), F.xxhash64(t).alias("_h"), t.cast("binary").alias("t"))
     spans = span_rows(keyed)
     shared = save(spans.groupBy("hash").agg(F.min("_k").alias("least"), F.max("_k").alias("_x")).filter("least < _x")
                   .select("hash", "least"), f"{path}/shared")
     found = spans.join(shared, "hash", "left").filter(F.col("again") | (F.col("least") < F.col("_k")))
-    ranges = save(found.groupBy("_k").agg(F.collect_set(F.struct("first", "end")).alias("ranges")), f"{path}/ranges")
-    rows = docs.select(order_key(docs, id_col, t).alias("_k"), F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    rows = rows.join(ranges, "_k", "left").select("doc_id", F.col("text").cast("binary").alias("text"), "ranges")
+    ranges = save(found.groupBy("_k", "_h").agg(F.collect_set(F.struct("first", "end")).alias("ranges")), f"{path}/ranges")
+    rows = docs.select(order_key(docs, id_col, t).alias("_k"), F.xxhash64(t).alias("_h"), F.col(id_col).alias("doc_id"),
+                       F.col(text_col).cast("string").alias("text"))
+    rows = rows.join(ranges, ["_k", "_h"], "left").select("doc_id", F.col("text").cast("binary").alias("text"), "ranges")
     span = pa.struct([("first", pa.int32()), ("end", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
