@@ -7,7 +7,7 @@ of words are kept (up to a documented number per worker process), and the
 words not kept are encoded by the library, many in one call. Texts of plain
 letters, digits and punctuation are cut as the tokenizer file's pattern does,
 whole batches at a time on their bytes, and words are looked up by a 64-bit
-hash. Texts with an apostrophe are cut with the pattern itself; in texts with
+hash and then compared byte by byte. Texts with an apostrophe are cut with the pattern itself; in texts with
 any other character, white-space-delimited chunks that have one go to the
 library as they are. At start-up, probe texts check that the
 tokenizer works like this; one that does not is run on whole texts.
@@ -37,6 +37,9 @@ _CLASS = np.array([0 if b == 32 or 9 <= b <= 13 else 1 if 65 <= b <= 90 or 97 <=
 _PROBES = ["It's Émile's 42nd re'vealed --token=\"x9\" d'été.", "AKIA12 foo||bar ÀÉ1½ don't", "a\tb\nc  d\x0be ʻokina ﬁ Σας",
            " ".join(f"a{chr(c)}b" for c in range(0x21, 0x100) if not 0x7F <= c <= 0xA0)]
 
+#: bytes of words compared in one step
+COMPARE = 1 << 20
+
 _loaded: dict[str, "TextEncoder"] = {}
 
 
@@ -45,6 +48,12 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def _runs(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """start[0], start[0] + 1, ... ``size[0]`` places, then those of start[1], and so on."""
+    ends = np.cumsum(size)
+    return np.repeat(start - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
+
+
 class TextEncoder:
     def __init__(self, path: str, max_words: int = MAX_WORDS):
         from tokenizers import Tokenizer
@@ -60,11 +69,14 @@ class TextEncoder:
         # the same by hash: sorted hashes, and where their ids are in ``flat``
         self.keys, self.at, self.n = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.flat = np.zeros(0, self.dtype)
+        # and the words themselves, end to end in ``letters``: a hash alone decides nothing
+        self.word_at, self.word_n, self.letters = self.at, self.n, np.zeros(0, np.uint8)
         self.by_word = True
         whole = [p.tobytes() for p in self._library(_PROBES)]
         self.by_word = list(self.encode([t.encode() for t in _PROBES])) == whole
         self.words.clear()
         self.keys, self.at, self.n, self.flat = self.keys[:0], self.at[:0], self.n[:0], self.flat[:0]
+        self.word_at, self.word_n, self.letters = self.at, self.n, self.letters[:0]
 
     def _library(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, self.dtype) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -89,8 +101,9 @@ class TextEncoder:
             found = self._library([c.decode("utf-8", "replace") for c in chunks])
             self.words.update(zip(chunks, (p.tobytes() for p in found)))
 
-    def _plain(self, texts: list[bytes]) -> list[bytes]:
-        """Ids of texts of plain characters without apostrophes."""
+    def _plain(self, texts: list[bytes]) -> list[bytes | None]:
+        """Ids of texts of plain characters without apostrophes; none for a text
+        with a word that only shares another one's hash."""
         a = np.frombuffer(b" ".join([*texts, b""]).translate(LOWER_TABLE), np.uint8).copy()
         if not len(a):
             return []
@@ -103,7 +116,7 @@ class TextEncoder:
         total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(BYTE_VALUES[a] * powers(len(a)), dtype=np.uint64)])
         h = mix((total[end] - total[start]) * powers(len(a), inverse=True)[start] + (end - start).astype(np.uint64))
         u, where, back = np.unique(h, return_index=True, return_inverse=True)
-        before = self.keys, self.at, self.n, self.flat
+        before = self.keys, self.at, self.n, self.flat, self.word_at, self.word_n, self.letters
         at = np.searchsorted(self.keys, u)
         new = np.flatnonzero(np.append(self.keys, np.uint64(0))[at] != u if len(self.keys) else np.ones(len(u), bool))
         if len(new):
@@ -113,16 +126,38 @@ class TextEncoder:
             self.at = np.insert(self.at, at[new], len(self.flat) + np.cumsum(n) - n)
             self.n = np.insert(self.n, at[new], n)
             self.keys = np.insert(self.keys, at[new], u[new])
+            size = end[where[new]] - start[where[new]]
+            self.word_at = np.insert(self.word_at, at[new], len(self.letters) + np.cumsum(size) - size)
+            self.word_n = np.insert(self.word_n, at[new], size)
+            self.letters = np.concatenate([self.letters, a[_runs(start[where[new]], size)]])
             self.flat = np.concatenate([self.flat, *ids])
             at = np.searchsorted(self.keys, u)
+        other = self._other_words(a, start, end - start, at[back])
         n = self.n[at][back]
         stop = np.cumsum(n)
         ids = self.flat[np.repeat(self.at[at][back] - (stop - n), n) + np.arange(stop[-1] if len(stop) else 0)]
         if len(self.keys) > self.max_words:  # the early words are the frequent ones
-            self.keys, self.at, self.n, self.flat = before
+            self.keys, self.at, self.n, self.flat, self.word_at, self.word_n, self.letters = before
         first = np.searchsorted(start, np.cumsum([0, *(len(t) + 1 for t in texts)]))
         cut = np.concatenate([[0], stop])[first].tolist()
-        return [ids[i:j].tobytes() for i, j in zip(cut, cut[1:])]
+        out: list[bytes | None] = [ids[i:j].tobytes() for i, j in zip(cut, cut[1:])]
+        for i in (np.searchsorted(first, other, side="right") - 1).tolist():
+            out[i] = None
+        return out
+
+    def _other_words(self, a: np.ndarray, start: np.ndarray, size: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """The places of words whose bytes are not those of the word kept under their hash."""
+        fits = np.flatnonzero(size == self.word_n[at])
+        other = [np.flatnonzero(size != self.word_n[at])]
+        ends = np.cumsum(size[fits])
+        k = 0
+        while k < len(fits):  # at most some COMPARE bytes at a time
+            j = max(k + 1, int(np.searchsorted(ends, (ends[k - 1] if k else 0) + COMPARE)))
+            w = fits[k:j]
+            unequal = a[_runs(start[w], size[w])] != self.letters[_runs(self.word_at[at[w]], size[w])]
+            other.append(w[np.logical_or.reduceat(unequal, np.cumsum(size[w]) - size[w])])
+            k = j
+        return np.concatenate(other)
 
     @staticmethod
     def _cut(text: bytes) -> list:

@@ -27,6 +27,18 @@ def test_encoder_equals_library(enc):
     assert len(enc.words) <= 50
 
 
+@pytest.mark.parametrize("n", [1024, 2048, 4096])
+def test_words_of_equal_hash_keep_their_own_ids(n):
+    """The encoder's hash cannot tell a Thue-Morse word from its complement."""
+    one = "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+    texts = [one, f"x {one.translate(str.maketrans('ab', 'ba'))} y", one.upper(), "x y"]
+    for order in (texts, texts[::-1]):
+        enc = TextEncoder(tokenizer_path())
+        for batch in (order, order[:1], order[1:]):
+            got = [np.frombuffer(b, enc.dtype) for b in enc.encode([t.encode() for t in batch])]
+            assert all(np.array_equal(a, b) for a, b in zip(got, enc._library(batch)))
+
+
 def _ids(enc, text):
     return np.append(enc._library([text or ""])[0].astype("<u4"), np.uint32(1))
 
