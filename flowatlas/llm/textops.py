@@ -33,9 +33,34 @@ def powers(n: int, inverse: bool = False) -> np.ndarray:
     return np.multiply.accumulate(p)
 
 
+#: a prime; the second polynomial's base and byte values below it
+PRIME = np.uint64((1 << 31) - 1)
+_BASE2 = 1_103_515_245
+_SMALL = np.random.Generator(np.random.PCG64(11)).integers(1, int(PRIME), 256, dtype=np.uint64)
+
+
+def _reduce(x: np.ndarray) -> np.ndarray:
+    """Values below 2^62 modulo ``PRIME``, or the prime itself for zero."""
+    x = (x & PRIME) + (x >> np.uint64(31))
+    return (x & PRIME) + (x >> np.uint64(31))
+
+
+def prime_powers(n: int, base: int) -> np.ndarray:
+    """The first ``n`` powers of ``base`` modulo ``PRIME``."""
+    p, done = np.ones(max(n, 1), np.uint64), 1
+    while done < n:
+        k = min(done, n - done)
+        p[done:done + k] = p[:k] * np.uint64(pow(base, done, int(PRIME))) % PRIME
+        done += k
+    return p[:n]
+
+
 class WordHasher:
-    """64-bit hashes of the words between separator bytes. A word's hash is
-    the difference of two prefix sums of a polynomial over its bytes."""
+    """64-bit hashes of the words between separator bytes. A word's hash mixes
+    two polynomials over its bytes, one modulo 2^64 and one modulo a prime:
+    words made to collide in the first (it cannot tell some regular sequences
+    apart, whatever its base) differ in the second. Each is the difference of
+    two prefix sums."""
 
     def __init__(self, separators: np.ndarray, lower: bool = True, prefixes: tuple[int, ...] = ()):
         """``prefixes``: also hash the words' first so many bytes (whole shorter words)."""
@@ -45,17 +70,21 @@ class WordHasher:
     def _segment(self, a: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
         if len(a) > len(self.up):
             self.up, self.down = powers(len(a)), powers(len(a), inverse=True)
+            self.up2, self.down2 = (prime_powers(len(a), b) for b in (_BASE2, pow(_BASE2, -1, int(PRIME))))
         sep = self.separators[a]
         edge = np.flatnonzero(sep[1:] != sep[:-1]) + 1
         edge = np.concatenate([[0] if not sep[0] else [], edge, [len(a)] if not sep[-1] else []]).astype(np.int64)
         start, end = edge[::2], edge[1::2]
         total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(BYTE_VALUES[a] * self.up[:len(a)], dtype=np.uint64)])
+        # up to 2^31 places of values up to 2^31: the sums are exact
+        total2 = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_reduce(_SMALL[a] * self.up2[:len(a)]), dtype=np.uint64)])
         out = []
         for n in (None, *self.prefixes):
             stop = end if n is None else np.minimum(end, start + n)
             # the length tells a whole word from the same letters that begin a longer one
             size = (end - start if n is None else np.minimum(end - start, n + 1)).astype(np.uint64)
-            out.append(mix((total[stop] - total[start]) * self.down[start] + size))
+            second = (total2[stop] - total2[start]) % PRIME * self.down2[start] % PRIME
+            out.append(mix((total[stop] - total[start]) * self.down[start] + size + mix(second)))
         return start, end, out
 
     def __call__(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
