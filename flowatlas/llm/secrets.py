@@ -4,9 +4,12 @@ Every version of a file is a row (path, version, text). A text is a blob,
 named by its SHA-256. The ledger is a table of what has been scanned: one row
 per (blob, rules), with the spans found there. A scan
 
-1. names all blobs and takes one row for each that the ledger lacks under the
-   current rules (an anti-join on names; no text moves),
-2. reads those rows' texts again, scans them and appends to the ledger,
+1. names all blobs, asks of each text whether it can hold a match at all (marks
+   and runs that every match of a rule has, as JVM expressions), and takes one
+   row for each blob that the ledger lacks under the current rules (an
+   anti-join on names; no text moves),
+2. enters the blobs that can hold none into the ledger as they are, reads the
+   texts of the others again, scans them and appends what it finds,
 3. joins the ledger's spans back to every path and version of each blob.
 
 A ledger folder is append-only Parquet: a lost task or a repeated scan adds
@@ -29,54 +32,82 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import reduce
+from typing import NamedTuple
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowatlas.llm.common import register, save, ship_package, small, work_dir
 
+class Rule(NamedTuple):
+    kind: str
+    pattern: str
+    #: group whose length counts, and its least length
+    group: int
+    least: int
+    #: every match holds one of these strings (in either case, if ``fold``); none: unknown
+    marks: tuple[str, ...] = ()
+    fold: bool = False
+    #: every match that is long enough holds a match of this (Python and Java alike)
+    core: str = ""
+    #: an equal pattern that runs faster: the same matches of at least that length
+    fast: str = ""
+
+
 #: fixed values of the contract, in the order in which kinds are listed
 BASE_RULES = [
-    ("assign", r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 8),
-    ("access", r"AKIA[A-Z0-9]+", 0, 16),
-    ("hex", r"[0-9a-f]+", 0, 32),
+    Rule("assign", r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 8,
+         ("password", "passwd", "secret", "token", "apikey", "api_key"), fold=True),
+    Rule("access", r"AKIA[A-Z0-9]+", 0, 16, ("AKIA",), core="AKIA[A-Z0-9]{12}"),
+    Rule("hex", r"[0-9a-f]+", 0, 32, core="[0-9a-f]{32}", fast="[0-9a-f]{32,}"),
 ]
-#: rules of our own: (kind, pattern, group whose length counts, least length)
+#: rules of our own
 MORE_RULES = [
-    ("jwt", r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 0, 40),
-    ("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:(?:(?!-----BEGIN [A-Z ]*PRIVATE KEY-----)[\s\S])*?-----END [A-Z ]*PRIVATE KEY-----)?", 0, 27),
-    ("url_password", r"[a-z][a-z0-9+.-]{1,30}://[^\s:/@]+:([^\s:/@]+)@", 1, 4),
-    ("vendor", r"\b(?:gh[pousr]_[A-Za-z0-9]{36,}|xox[abpr]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{35})", 0, 10),
+    # a run whose first eyJ begins no match has none: it is skipped as a whole, so no text is read more than a few times
+    Rule("jwt", r"(eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+)|eyJ[A-Za-z0-9_-]*+", 1, 40, ("eyJ",)),
+    Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:(?:(?!-----BEGIN [A-Z ]*PRIVATE KEY-----)[\s\S])*?-----END [A-Z ]*PRIVATE KEY-----)?",
+         0, 27, ("-----BEGIN ",)),
+    Rule("url_password", r"[a-z][a-z0-9+.-]{1,30}://[^\s:/@]+:([^\s:/@]+)@", 1, 4, ("://",), core=r"://[^\s:/@]+:[^\s:/@]+@"),
+    Rule("vendor", r"\b(?:gh[pousr]_[A-Za-z0-9]{36,}|xox[abpr]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{35})", 0, 10,
+         ("ghp_", "gho_", "ghu_", "ghs_", "ghr_", "xoxa-", "xoxb-", "xoxp-", "xoxr-", "sk_live_", "AIza")),
 ]
 RULES = BASE_RULES + MORE_RULES
-#: a text without any of a kind's marks holds no match of it
-_MARKS = {"assign": ("password", "passwd", "secret", "token", "apikey", "api_key"), "access": ("AKIA",), "jwt": ("eyJ",),
-          "pem": ("-----BEGIN ",), "url_password": ("://",), "vendor": ("gh", "xox", "sk_live_", "AIza")}
 SPAN = "struct<kind:string,first:int,end:int>"
 
 
 def rules_version(rules=RULES) -> str:
     """Changes with any rule."""
-    return hashlib.sha256(repr(rules).encode()).hexdigest()[:16]
+    return hashlib.sha256(repr([tuple(r) for r in rules]).encode()).hexdigest()[:16]
+
 
+def possible(text: Column, rules=RULES) -> Column:
+    """Whether ``text`` can hold a match of any rule: what each rule says of its
+    matches, as JVM expressions. A rule that says nothing is always possible."""
+    lower = F.lower(text)
+    each = []
+    for r in (Rule(*r) for r in rules):
+        marks = [(lower if r.fold else text).contains(m) for m in r.marks]
+        c = reduce(Column.__or__, marks) if marks else F.lit(True)
+        each.append(c & text.rlike(r.core) if r.core else c)
+    return reduce(Column.__or__, each) if each else F.lit(False)
 
-def compile_rules(rules=RULES) -> list[tuple[str, re.Pattern, int, int]]:
-    # a run shorter than the least length cannot match, so runs are found by their length at once
-    return [(k, re.compile("[0-9a-f]{32,}" if k == "hex" else p), g, n) for k, p, g, n in rules]
+
+def compile_rules(rules=RULES) -> list[tuple[Rule, re.Pattern]]:
+    return [(r, re.compile(r.fast or r.pattern)) for r in (Rule(*r) for r in rules)]
 
 
 def find_spans(text: str, compiled) -> list[tuple[str, int, int]]:
     """(kind, first, end) by first, then kind as listed."""
     out = []
     lower = text.lower()
-    for order, (kind, pattern, group, least) in enumerate(compiled):
-        marks = _MARKS.get(kind)
-        if marks and not any(m in (lower if kind == "assign" else text) for m in marks):
+    for order, (r, pattern) in enumerate(compiled):
+        if r.marks and not any(m in (lower if r.fold else text) for m in r.marks):
             continue
         for m in pattern.finditer(text):
-            if len(m.group(group)) >= least:
-                out.append((m.start(), order, kind, m.end()))
+            if len(m.group(r.group) or "") >= r.least:
+                out.append((m.start(), order, r.kind, m.end()))
     return [(kind, a, b) for a, _, kind, b in sorted(out)]
 
 
@@ -92,19 +123,21 @@ def scan(versions: DataFrame, ledger: str, path_col: str = "path", text_col: str
     ship_package(spark)
     work, version = work_dir(spark, "secrets"), rules_version(rules)
     v = F.col(version_col) if version_col else F.lit(0)
-    named = save(versions.select(F.col(path_col).alias("path"), v.alias("version"), _blobs(versions, text_col).alias("blob")),
-                 f"{work}/named")
+    t = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    named = save(versions.select(F.col(path_col).alias("path"), v.alias("version"), _blobs(versions, text_col).alias("blob"),
+                                 possible(t, rules).alias("possible")), f"{work}/named")
     have = read_ledger(spark, ledger).filter(F.col("rules") == version).select("blob").distinct()
     # one place of each unseen blob: a path and version that hold it
     key = F.struct(F.coalesce(F.col("path").cast("string"), F.lit("-")).alias("p"),
                    F.coalesce(F.col("version").cast("string"), F.lit("-")).alias("v"))
-    todo = save(named.groupBy("blob").agg(F.min(key).alias("_at")).join(have, "blob", "left_anti")
-                .select(F.col("_at.p").alias("_p"), F.col("_at.v").alias("_v"), "blob"), f"{work}/todo")
-    t = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    todo = save(named.groupBy("blob", "possible").agg(F.min(key).alias("_at")).join(have, "blob", "left_anti")
+                .select(F.col("_at.p").alias("_p"), F.col("_at.v").alias("_v"), "blob", "possible"), f"{work}/todo")
+    # the texts that move: those that can hold a match, whatever their number
     texts = versions.select(F.coalesce(F.col(path_col).cast("string"), F.lit("-")).alias("_p"),
-                            F.coalesce(v.cast("string"), F.lit("-")).alias("_v"), t.alias("_t"))
+                            F.coalesce(v.cast("string"), F.lit("-")).alias("_v"), t.alias("_t")).filter(possible(F.col("_t"), rules))
     # equal keys may hold different texts: the name decides
-    one = texts.join(small(todo, todo.count()), ["_p", "_v"]).filter(F.sha2(F.col("_t").cast("binary"), 256) == F.col("blob"))
+    one = (texts.join(todo.filter("possible").drop("possible"), ["_p", "_v"])
+           .filter(F.sha2(F.col("_t").cast("binary"), 256) == F.col("blob")).select("blob", "_t"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compiled = compile_rules(rules)
@@ -115,8 +148,9 @@ def scan(versions: DataFrame, ledger: str, path_col: str = "path", text_col: str
                 [batch.column(0), pa.array(spans, pa.list_(pa.struct([("kind", pa.string()), ("first", pa.int32()), ("end", pa.int32())])))],
                 names=["blob", "spans"])
 
-    scanned = one.select("blob", "_t").mapInArrow(run, f"blob string, spans array<{SPAN}>")
-    scanned.withColumn("rules", F.lit(version)).select("blob", "rules", "spans").write.mode("append").parquet(ledger)
+    scanned = one.mapInArrow(run, f"blob string, spans array<{SPAN}>")
+    nothing = todo.filter("not possible").select("blob", F.array().cast(f"array<{SPAN}>").alias("spans"))
+    scanned.unionByName(nothing).withColumn("rules", F.lit(version)).write.mode("append").parquet(ledger)
     # blobs without findings need no join; the others once each, whatever repeats in the ledger
     hits = (read_ledger(spark, ledger).filter((F.col("rules") == version) & (F.size("spans") > 0))
             .select("blob", "spans").dropDuplicates(["blob"]))
@@ -155,6 +189,6 @@ def q_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
     found = scan(docs, work_dir(spark, "ledger"), path_col="doc_id", version_col=None)
     n = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
-    base = F.filter("spans", lambda s: s["kind"].isin([r[0] for r in BASE_RULES]))
+    base = F.filter("spans", lambda s: s["kind"].isin([r.kind for r in BASE_RULES]))
     return found.select(F.col("path").alias("doc_id"), n("assign"), n("access"), n("hex"),
                         F.sha2(span_text(base), 256).alias("base_sha256"), span_text(F.col("spans")).alias("spans"))
