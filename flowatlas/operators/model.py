@@ -17,6 +17,7 @@ table, and MLlib builds the trees distributed over the executors.
 from __future__ import annotations
 
 import threading
+import uuid
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -29,6 +30,7 @@ from pyspark.sql import functions as F
 from flowatlas.functions.columns import share_or_zero, sum0
 from flowatlas.operators.spatial import feature_matrix
 from flowatlas.schemas import DISTANCE_BANDS, FEATURE_COLUMNS
+from flowatlas.session import shared_dir
 
 # Series labels, model gates (rows, years, train rows, test
 # rows) and the reasons given when a gate refuses.
@@ -69,6 +71,9 @@ def train_gates(cy: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ fit
+ROWS_PER_PARTITION = 10_000
+
+
 @dataclass
 class ForestBundle:
     ok: bool
@@ -102,18 +107,19 @@ def _split_memory_mb(spark) -> int:
 
 
 def fit_forest(cy: DataFrame, n_trees: int = 140, seed: int = 42, max_depth: int = 30,
-               max_bins: int = 256, partitions: int = 16) -> ForestBundle:
+               max_bins: int = 256, partitions: int | None = None) -> ForestBundle:
     """Train on the non-test years (checked by the gates first: one
     one-row action). Bagging is seeded per partition, so the rows are dealt
-    to a fixed number of ``partitions`` by their key and sorted: one seed gives
-    one model on any cluster."""
+    to a number of ``partitions`` that the training rows alone decide (one for
+    ``ROWS_PER_PARTITION``) by their key and sorted: one seed gives one model on
+    any cluster, and small data does not pay for empty tasks at every level."""
     g = train_gates(cy).first()
     if not g["ok"]:
         return ForestBundle(False, g["reason"], None, g["train_rows"], g["test_rows"])
     # cached for the level-by-level passes
     key = ["year", "origin", "host"]
     train = feature_matrix(temporal_split(cy).filter(~F.col("is_test"))).repartition(
-        int(partitions), *key).sortWithinPartitions(*key).persist()
+        int(partitions or -(-g["train_rows"] // ROWS_PER_PARTITION)), *key).sortWithinPartitions(*key).persist()
     rf = RandomForestRegressor(featuresCol="features", labelCol="target_log_flow", numTrees=int(n_trees),
                                minInstancesPerNode=2, featureSubsetStrategy="all", maxDepth=int(max_depth),
                                maxBins=int(max_bins), seed=int(seed), subsamplingRate=1.0, bootstrap=True,
@@ -216,21 +222,36 @@ def distance_mix_actual_vs_predicted(pred: DataFrame) -> DataFrame:
         "distance_band", "value", "share", "series", "year")
 
 
+def leaf_values(bundle: ForestBundle, spark) -> DataFrame:
+    """(tree, leaf, value) of every leaf, from the model's own saved nodes: a
+    tree's leaves are numbered from left to right, and nodes by preorder, so
+    the n-th leaf node is leaf n."""
+    path = f"{shared_dir(spark)}/flowatlas_out/forest-{uuid.uuid4().hex}"
+    bundle.forest.write().save(path)
+    nodes = spark.read.parquet(f"{path}/data").filter("nodeData.leftChild < 0")
+    order = Window.partitionBy("treeID").orderBy("nodeData.id")
+    return nodes.select(F.col("treeID").alias("tree_id"), (F.row_number().over(order) - 1).alias("leaf"),
+                        F.col("nodeData.prediction").alias("_log"))
+
+
 def distance_uncertainty(bundle: ForestBundle, pred: DataFrame, n_trees: int | None = None) -> DataFrame:
     """Per-tree band shares of all (or the first ``n_trees``) trees -> p10/p50/p90
-    per band; empty if the model was refused. Each tree scores the rows (one column per tree), the columns
-    are exploded to (tree_id, value), then grouped."""
+    per band; empty if the model was refused. One pass finds the leaf of every
+    tree that a row falls into; rows are counted per (band, tree, leaf) before
+    the leaves' values are joined, so what is joined grows with the model, not
+    with the rows."""
     if bundle.model is None:
         return pred.select("distance_band", *[F.lit(None).cast("double").alias(p) for p in ("p10", "p50", "p90")]).limit(0)
-    trees = bundle.forest.trees[:n_trees]
     x = bundle.model.stages[0].transform(feature_matrix(
         pred.drop(*[c for c in pred.columns if c in ("features", "prediction")])))
-    cols = []
-    for i, t in enumerate(trees):
-        x = t.setPredictionCol(f"_t{i}").transform(x)
-        cols.append(f"_t{i}")
-    per_tree = x.select("distance_band", F.posexplode(F.array(*cols)).alias("tree_id", "_log"))
-    per_tree = per_tree.withColumn("_v", F.greatest(F.expm1("_log"), F.lit(0.0)))
+    forest = bundle.forest
+    forest = forest.copy({forest.leafCol: "_leaf", forest.predictionCol: "_all"})
+    leaves = forest.transform(x).select("distance_band", F.posexplode(vector_to_array("_leaf")).alias("tree_id", "_at"))
+    if n_trees is not None:
+        leaves = leaves.filter(F.col("tree_id") < int(n_trees))
+    n = leaves.groupBy("distance_band", "tree_id", F.col("_at").cast("int").alias("leaf")).agg(F.count(F.lit(1)).alias("_n"))
+    per_tree = n.join(leaf_values(bundle, pred.sparkSession), ["tree_id", "leaf"])
+    per_tree = per_tree.withColumn("_v", F.col("_n") * F.greatest(F.expm1("_log"), F.lit(0.0)))
     shares = _dense_band_shares(per_tree, "_v", ["tree_id"])
     q = shares.groupBy("distance_band").agg(
         F.percentile("share", F.array(F.lit(0.1), F.lit(0.5), F.lit(0.9))).alias("_q"))

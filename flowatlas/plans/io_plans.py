@@ -13,13 +13,14 @@ from pyspark.sql import functions as F
 
 from flowatlas.operators import stock as st
 from flowatlas.operators.select import filter_selection
-from flowatlas.plans.common import register, views
+from flowatlas.plans.common import ORACLES, QUERIES, register, views
 from flowatlas.plans.stock_plans import F0, _rank_sql
-from flowatlas.schemas import DRIVER_SCHEMAS, RAW_STOCK_SCHEMA, STOCK_SCHEMA
+from flowatlas.schemas import DRIVER_SCHEMAS, RAW_STOCK_SCHEMA, STOCK_REQUIRED, STOCK_SCHEMA
 from flowatlas.session import shared_dir
 from flowatlas.sources import fixtures, sinks
 from flowatlas.sources.catalog import (
     LINE, SILVER_VIEWS, load_catalog, path_exists, scan_first_available, scan_raw_csv, scan_table, source_key)
+from flowatlas.sources.files import validate_files
 
 
 def scratch(spark, sf: str, key: str) -> str:
@@ -183,6 +184,49 @@ def q_convert_to_parquet(spark, sf):
     return spark.read.parquet(out["raw_stock"])
 
 
+# The ten chart tables, by the query that makes each.
+CHART_TABLES = {
+    "kpis": "kpi_table", "trends": "trend_by_type", "host_rankings": "rank_hosts", "origin_rankings": "rank_origins",
+    "sankey_links": "sankey_layers", "choropleth": "choropleth_latest", "corridors": "corridors",
+    "animated_host_map": "host_by_year", "role_scatter": "role_scatter", "host_pressure": "host_pressure"}
+
+
+@register("convert_to_parquet_all", "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, count(*) AS rows FROM (\n{ORACLES[q]}\n) q_{t}" for t, q in CHART_TABLES.items()), views=())
+def q_convert_to_parquet_all(spark, sf):
+    """The ten chart tables: exported as CSV, converted together, and counted
+    in what was published."""
+    folder = scratch(spark, sf, "charts")
+    made = {t: QUERIES[q](spark, sf) for t, q in CHART_TABLES.items()}
+    for t, df in made.items():
+        sinks.write_csv(df, f"{folder}/csv/{t}.csv")
+    manifest = sinks.convert_together(spark, {t: f"{folder}/csv/{t}.csv" for t in made}, f"{folder}/parquet",
+                                      schemas={t: df.schema for t, df in made.items()})
+    out = None
+    for r in manifest.collect():  # ten rows
+        d = spark.read.schema(made[r["table_name"]].schema).parquet(r["path"]).agg(F.count(F.lit(1)).alias("rows"))
+        d = d.select(F.lit(r["table_name"]).alias("table_name"), "rows")
+        out = d if out is None else out.unionByName(d)
+    return out
+
+
+REQUIRED_FILES = fixtures.USED_COLUMNS | {"stock": STOCK_REQUIRED}
+
+
+@register("validate_required_files", "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS dataset, '{t}.parquet' AS file, true AS exists, "
+    f"(SELECT count(*) FROM information_schema.columns WHERE table_name = '{t}')::INT AS columns_in_preview, "
+    f"'{' | '.join(c)}' AS required_columns, '' AS missing_required_columns, 'PASS' AS status"
+    for t, c in fixtures.USED_COLUMNS.items()) + f"""
+UNION ALL
+SELECT 'stock', 'stock.parquet', false, 0, '{' | '.join(STOCK_REQUIRED)}', '{' | '.join(STOCK_REQUIRED)}', 'MISSING'
+""", views=())
+def q_validate_required_files(spark, sf):
+    """Every file of the driver tables, and of a first stock candidate that is not there."""
+    d = validate_files(spark, {t: f"{sf}/{t}.parquet" for t in REQUIRED_FILES}, REQUIRED_FILES)
+    return d.withColumn("file", F.substring_index("file", "/", -1))
+
+
 @register("export_chart_table", _rank_sql("host", 12))
 def q_export_chart_table(spark, sf):
     r = st.rank_entities(filter_selection(views(spark, sf).cube(), F0), "host", F0.top_n)

@@ -15,6 +15,7 @@ from flowatlas.operators.select import scope_fallback
 from flowatlas.plans.common import ACTIVE, register, views
 from flowatlas.plans.spatial_plans import CY_SQL, CY_VIEWS, F_ALL, corridor_year_df
 from flowatlas.schemas import ACTIVE_FORCED_TYPES, Filters
+from flowatlas.sources.catalog import source_key
 
 N_TREES = 140
 
@@ -23,7 +24,7 @@ def _bundle(spark, sf, f: Filters = F_ALL):
     """The forest of the scope (trained on every year of the scope, origin /
     host / crisis filters ignored), fitted once per run."""
     scope_f = Filters(year=None, scope=f.scope)
-    key = (spark.sparkContext.applicationId, sf, f.scope, N_TREES)
+    key = (spark.sparkContext.applicationId, source_key(spark, sf), f.scope, N_TREES)
     return ml.fit_forest_cached(key, corridor_year_df(spark, sf, scope_f), n_trees=N_TREES)
 
 

@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 from flowatlas.schemas import DRIVER_SCHEMAS
 from flowatlas.session import stable_dir
 from flowatlas.sources import fixtures, gate
+from flowatlas.sources.files import require_columns
 
 # Views worth materialising: the line-item join (once), then the tables
 # derived from it, which then read the silver join instead of re-joining.
@@ -164,6 +165,7 @@ class Catalog:
         base = stable_dir(spark) if materialize is not False else None
         self.silver_dir = f"{base}/flowatlas_silver/{self.key}" if base else None
         self._views: dict[str, DataFrame] = {}
+        self._guarded = False
         self._locks: dict[str, threading.Lock] = {}
 
     # driver tables ---------------------------------------------------------
@@ -219,6 +221,7 @@ class Catalog:
         job, and publishes it only if none of them blocks."""
         path = f"{self.silver_dir}/{name}"
         if not path_exists(self.spark, f"{path}/_SUCCESS"):
+            self.guard()
             # written aside and renamed: other applications see all of it or nothing
             aside = f"{self.silver_dir}/.{name}-{uuid.uuid4().hex}"
             checks = SILVER_CHECKS.get(name, ())
@@ -241,6 +244,14 @@ class Catalog:
         # the fixture's schema and column order: nothing is read for it
         return self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
+    def guard(self) -> None:
+        """Before the first job that reads the driver tables: every file of them
+        is there and has the columns that the views read (from the footers)."""
+        with _LOCK:
+            if not self._guarded:
+                require_columns(self.spark, {t: f"{self.sf_dir}/{t}.parquet" for t in fixtures.USED_COLUMNS}, fixtures.USED_COLUMNS)
+                self._guarded = True
+
     def published(self, name: str) -> str | None:
         """Where the view's silver table is, if it has been published."""
         path = f"{self.silver_dir}/{name}"

@@ -350,6 +350,12 @@ FROM demographics_wide
 """)
 
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
+#: the columns that the views read
+USED_COLUMNS = {
+    "nation": ["n_nationkey", "n_name"], "customer": ["c_custkey", "c_nationkey"], "supplier": ["s_suppkey", "s_nationkey"],
+    "orders": ["o_orderkey", "o_custkey", "o_orderdate", "o_totalprice"],
+    "lineitem": ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag", "l_linestatus", "l_shipdate"],
+}
 _DRIVER_REF = re.compile(r"\{(" + "|".join(DRIVER_TABLES) + r")\}")
 
 

@@ -8,14 +8,19 @@ own queries that is the session's checkpoint folder (the cluster's shared
 from __future__ import annotations
 
 import math
+import uuid
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowatlas.sources.catalog import scan_table
 
 
+MANIFEST = "table_name string, path string, rows long, bytes long"
+
+
 def _clean_value(c: Column, dtype: T.DataType) -> Column:
     """NaN and +/-inf -> null in a value of ``dtype``, recursing into arrays,
     structs and map values with higher-order functions (JVM side)."""
@@ -91,6 +96,50 @@ def export_chart_table(df: DataFrame, path: str, aliases: list[str] | None = Non
     return out
 
 
+def convert_together(spark, tables: dict[str, str], out_dir: str, schemas: dict | None = None,
+                     partition_by: dict[str, str] | None = None, threads: int = 4) -> DataFrame:
+    """CSV tables (name -> path) to parquet by concurrent jobs, published
+    together or not at all. All are written into a new version folder of
+    ``out_dir``, each job counting the rows it writes; once every table is there
+    the manifest (table_name, path, rows, bytes) takes its name, by one rename.
+    If a table fails, the error is raised, no manifest is written and readers
+    keep the version before. Returns the manifest."""
+    version = f"{out_dir.rstrip('/')}/version-{uuid.uuid4().hex}"
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+
+    def convert(name: str) -> tuple:
+        df = scan_table(spark, tables[name], (schemas or {}).get(name), fmt="csv")
+        seen = Observation(f"convert_{name}")
+        df = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+        w, col, dst = df.write, (partition_by or {}).get(name), f"{version}/{name}.parquet"
+        (w.partitionBy(col) if col else w).parquet(dst)
+        path = jvm.org.apache.hadoop.fs.Path(dst)
+        return name, dst, int(seen.get["rows"]), int(path.getFileSystem(conf).getContentSummary(path).getLength())
+
+    with ThreadPoolExecutor(max_workers=threads) as pool:
+        rows = list(pool.map(convert, tables))  # raises the first failure, after all have ended
+    manifest = spark.createDataFrame(rows, MANIFEST)
+    aside = f"{version}/manifest"
+    manifest.coalesce(1).write.json(aside)
+    src, dst = jvm.org.apache.hadoop.fs.Path(aside), jvm.org.apache.hadoop.fs.Path(f"{out_dir.rstrip('/')}/manifests/{version.rsplit('-', 1)[1]}")
+    fs = dst.getFileSystem(conf)
+    fs.mkdirs(dst.getParent())
+    if not fs.rename(src, dst):
+        raise RuntimeError(f"{out_dir} could not be published")
+    return manifest
+
+
+def converted(spark, out_dir: str) -> DataFrame | None:
+    """The manifest of the latest published version, or none."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    glob = jvm.org.apache.hadoop.fs.Path(f"{out_dir.rstrip('/')}/manifests/*")
+    found = glob.getFileSystem(conf).globStatus(glob) or []
+    if not len(found):
+        return None
+    latest = max(found, key=lambda s: (s.getModificationTime(), s.getPath().getName()))
+    return spark.read.schema(MANIFEST).json(latest.getPath().toString())
+
+
 def write_csv(df: DataFrame, path: str, compression: str | None = None) -> None:
     w = _verbatim(df.write.mode("overwrite"))
     if compression:

@@ -5,13 +5,15 @@ import os
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from conftest import SF_SMALL
 from flowatlas.operators import audit as au
 from flowatlas.plans.io_plans import RAW_TABLES
 from flowatlas.sources import catalog as cat_mod
-from flowatlas.sources import fixtures, gate
+from flowatlas.sources import fixtures, gate, sinks
 from flowatlas.sources.catalog import LINE, Catalog, ingest_raw_csv, load_catalog, scan_raw_csv
+from flowatlas.sources.files import MissingColumnsError, validate_files
 
 import __spark_entry__ as E
 
@@ -87,6 +89,48 @@ def test_counters_ride_on_the_write(spark, own_silver):
     assert seen.get["rows"] == df.count() and seen.get["c0"] == 0
 
 
+# ---------------------------------------------------------------- guards
+def test_one_file_without_a_column_is_named(spark, tmp_path, own_silver):
+    data = driver_copy(spark, tmp_path / "data")
+    spark.read.parquet(f"{data}/supplier.parquet").drop("s_nationkey").coalesce(1).write.mode("append").parquet(f"{data}/supplier.parquet")
+    rows = validate_files(spark, {"supplier": f"{data}/supplier.parquet"}, {"supplier": fixtures.USED_COLUMNS["supplier"]}).collect()
+    bad = [r for r in rows if r.status == "FAIL"]
+    assert len(rows) > 1 and len(bad) == 1 and bad[0].missing_required_columns == "s_nationkey"
+    cat = Catalog(spark, data)
+    with pytest.raises(MissingColumnsError, match=os.path.basename(bad[0].file) + ": lacks s_nationkey"):
+        cat.view("stock")
+    assert not os.path.exists(f"{own_silver}/flowatlas_silver/{cat.key}")
+
+
+def test_headers_of_plain_and_compressed_csv(spark, tmp_path):
+    import gzip
+    (tmp_path / "t.csv" / "year=1999").mkdir(parents=True)
+    (tmp_path / "t.csv" / "a.csv").write_text('k,"v, w"\r\n1,2\n')
+    (tmp_path / "t.csv" / "year=1999" / "b.csv.gz").write_bytes(gzip.compress(b"k\n1\n"))
+    (tmp_path / "t.csv" / "_SUCCESS").write_text("")
+    (tmp_path / "t.csv" / "c.csv").write_text("")
+    rows = {os.path.basename(r.file): r for r in validate_files(spark, {"t": f"{tmp_path}/t.csv", "u": f"{tmp_path}/none"},
+                                                               {"t": ["k", "v, w"], "u": ["x"]}).collect()}
+    assert {f: (r.status, r.missing_required_columns, r.columns_in_preview) for f, r in rows.items()} == {
+        "a.csv": ("PASS", "", 2), "b.csv.gz": ("FAIL", "v, w", 2), "c.csv": ("FAIL", "k | v, w", 0), "none": ("MISSING", "x", 0)}
+
+
+def test_conversions_are_published_together(spark, tmp_path):
+    for t, text in (("a", "k,v\n1,x\n2,y\n"), ("b", "k,v\n1,x\n")):
+        (tmp_path / f"{t}.csv").write_text(text)
+    tables = {t: f"{tmp_path}/{t}.csv" for t in "ab"}
+    schemas = {t: T.StructType([T.StructField("k", T.IntegerType()), T.StructField("v", T.StringType())]) for t in "ab"}
+    out = f"{tmp_path}/out"
+    assert sinks.converted(spark, out) is None
+    first = {r.table_name: r for r in sinks.convert_together(spark, tables, out, schemas, partition_by={"a": "v"}).collect()}
+    assert {t: r.rows for t, r in first.items()} == {"a": 2, "b": 1} and all(r.bytes > 0 for r in first.values())
+    assert spark.read.parquet(first["a"].path).count() == 2 and os.path.exists(first["a"].path + "/v=x")
+    (tmp_path / "b.csv").write_text("k,v\nnot a number,x\n")
+    with pytest.raises(Exception):
+        sinks.convert_together(spark, tables, out, schemas)
+    assert {r.path for r in sinks.converted(spark, out).collect()} == {r.path for r in first.values()}
+
+
 # --------------------------------------------------------------- raw files
 def test_malformed_records_are_set_aside(spark, tmp_path):
     folder = tmp_path / "in.csv"
