@@ -3,13 +3,14 @@
 Learning. Labelled texts (equal ones once) give, per word, the number of toxic
 and clean texts that hold it. A word's log-odds have a Dirichlet prior from
 its first six bytes, theirs from its first four, theirs from the overall
-share. What a word scores is the lower confidence bound of its log-odds if
-that is positive, else ``-DRIFT``; words of few texts score as their
+share. What a word scores is its log-odds, shrunk to the confidence bound on
+the side of zero: the lower bound if that is positive, the upper bound if that
+is below ``-DRIFT``, else ``-DRIFT``; words of few texts score as their
 beginning does. Only words and beginnings that score otherwise than their
 beginning make the lexicon.
 
 Search. The maximal scoring segments of a text (Ruzzo and Tompa) are found in
-one pass over its scoring words.
+one pass over its scoring words, in linear time.
 
 Calibration. The texts of each half of the labels are scored with the lexicon
 of the other half. The clean ones give the Karlin-Altschul parameters: lambda
@@ -48,6 +49,7 @@ from flowatlas.llm.textops import NON_ALNUM, WordHasher
 PREFIXES = (6, 4)       # bytes of a word that its prior is taken from, in turn
 PRIOR = 10.0            # pseudo-texts of each prior
 BOUND = 3.0             # standard deviations that a score is below the log-odds
+CLEAN_BOUND = 3.0       # standard deviations that a clean word's score is above its log-odds
 DRIFT = 0.1             # what any other word costs
 MIN_TEXTS = 5           # texts that a word or beginning needs to speak for itself
 E_VALUE = 0.05          # a passage is significant up to this E-value
@@ -133,7 +135,7 @@ class Lexicon:
         if not places:
             return np.zeros(0, np.int64), np.zeros(0)
         place, value = np.concatenate(places), np.concatenate(values)
-        place, value = place[value > 0], value[value > 0]
+        place, value = place[value != 0], value[value != 0]
         order = np.argsort(place)
         return place[order], value[order]
 
@@ -150,8 +152,10 @@ def lexicon(counts: DataFrame, folds: tuple[int, ...], limit: int = LEXICON_ROWS
     def level(df: DataFrame, q: str, parent: Column) -> DataFrame:
         a, b = F.col("c1") + PRIOR * parent, F.col("c0") + PRIOR * (1 - parent)
         # half a text on either side keeps the bound finite where the prior leaves none
-        bound = F.log((a + 0.5) / (b + 0.5)) - math.log(root / (1 - root)) - BOUND * F.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
-        return df.withColumn(q, a / (a + b)).withColumn("s", F.when((bound > 0), bound).otherwise(0.0))
+        odds = F.log((a + 0.5) / (b + 0.5)) - math.log(root / (1 - root))
+        error = F.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
+        low, high = odds - BOUND * error, odds + CLEAN_BOUND * error
+        return df.withColumn(q, a / (a + b)).withColumn("s", F.when(low > 0, low).when(high < -DRIFT, high).otherwise(0.0))
 
     l4 = level(base.groupBy("p4").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1")), "q4", F.lit(root))
     known = F.col("c0") + F.col("c1") >= MIN_TEXTS
@@ -163,7 +167,7 @@ def lexicon(counts: DataFrame, folds: tuple[int, ...], limit: int = LEXICON_ROWS
     lw = lw.withColumn("s", F.when(known, F.col("s")).otherwise(F.col("s6")))
     rows = (lw.filter("s <> s6").select(F.lit(0).alias("level"), F.col("word").alias("k"), "s")
             .union(l6.filter("s6 <> s4").select(F.lit(1), "p6", "s6"))
-            .union(l4.filter("s4 > 0").select(F.lit(2), "p4", "s4")))
+            .union(l4.filter("s4 <> 0").select(F.lit(2), "p4", "s4")))
     rows = save(rows, work_dir(counts.sparkSession, "lexicon"))
     n = rows.count()
     if n > limit:
@@ -181,23 +185,27 @@ def lexicon(counts: DataFrame, folds: tuple[int, ...], limit: int = LEXICON_ROWS
 # ------------------------------------------------------------------ search
 def segments(place: np.ndarray, value: np.ndarray, drift: float = DRIFT) -> list[tuple[int, int, float]]:
     """All maximal scoring segments (first word, end, score) of a text whose
-    word at ``place[i]`` scores ``value[i]`` and all others ``-drift``."""
-    out: list[list] = []  # first, end, sum before, sum after
+    word at ``place[i]`` scores ``value[i]`` and all others ``-drift``.
+
+    Every candidate keeps a link to the nearest earlier one with a smaller sum
+    before it; the search for that one follows links only, and a candidate that
+    was passed over is never looked at again, so the time is linear."""
+    out: list[list] = []  # first, end, sum before, sum after, link
     gained = 0.0
     for n, (p, v) in enumerate(zip(place.tolist(), value.tolist())):
         before = gained - drift * (p - n)
         gained += v
-        new = [p, p + 1, before, before + v]
-        while True:
-            j = len(out) - 1
-            while j >= 0 and out[j][2] >= new[2]:
-                j -= 1
-            if j < 0 or out[j][3] >= new[3]:
-                out.append(new)
-                break
-            new = [out[j][0], new[1], out[j][2], new[3]]
-            del out[j:]
-    return [(a, b, r - le) for a, b, le, r in out]
+        if v <= 0:
+            continue
+        j = len(out) - 1
+        while j >= 0 and out[j][2] >= before:
+            j = out[j][4]
+        first, after = p, before + v
+        while j >= 0 and out[j][3] < after:  # joined with all since j, whose link holds for the whole
+            first, before, j, keep = out[j][0], out[j][2], out[j][4], j
+            del out[keep:]
+        out.append([first, p + 1, before, after, j])
+    return [(a, b, r - le) for a, b, le, r, _ in out]
 
 
 @dataclass

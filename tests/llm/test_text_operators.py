@@ -317,12 +317,25 @@ def test_chi_square():
 
 
 # ------------------------------------------------------------------ toxicity
+def test_segments_take_linear_time():
+    import time
+    n = 200_000
+    place = np.arange(n) * 3
+    falling, rising = np.full(n, 0.05), np.full(n, 0.5)
+    mixed = np.where(np.arange(n) % 2 == 0, 0.7, -0.9)
+    for value in (falling, rising, mixed, np.where(np.arange(n) < n // 2, 0.05, 5.0)):
+        t = time.time()
+        found = toxicity.segments(place, value)
+        assert time.time() - t < 5 and found
+    assert len(toxicity.segments(place, rising)) == 1 and len(toxicity.segments(place, falling)) == n
+
+
 def test_segments_equal_brute_force():
     r = random.Random(4)
     for _ in range(300):
         n = r.randint(1, 25)
-        s = [r.choice([-0.1, -0.1, -0.1, r.uniform(0.5, 1.5), r.uniform(0, 0.1)]) for _ in range(n)]  # no ties
-        place = np.array([i for i in range(n) if s[i] > 0])
+        s = [r.choice([-0.1, -0.1, -0.1, r.uniform(0.5, 1.5), r.uniform(0, 0.1), -r.uniform(0.2, 2)]) for _ in range(n)]  # no ties
+        place = np.array([i for i in range(n) if s[i] != -0.1], int)
         got = toxicity.segments(place, np.array([s[i] for i in place]), 0.1)
 
         def best(a, b):  # the definition: take the best segment, go on left and right of it
