@@ -96,20 +96,21 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     hits = save(found.filter(F.size("spans") > 0).groupBy("blob").agg(F.any_value("spans").alias("_spans")), f"{path}/hits")
     d, names = _inner(docs)
     text = F.col(names["text"])
-    d = d.withColumn("_blob", F.sha2(F.coalesce(text.cast("string"), F.lit("")).cast("binary"), 256))
-    d = d.join(small(hits, hits.count(), 100_000), F.col("_blob") == F.col("blob"), "left")
-    clean = F.when(F.col("_spans").isNotNull(), secrets.redact(text, F.col("_spans"))).otherwise(text)
-    d = d.withColumn("_clean", clean)
+    possible = secrets.possible(F.coalesce(text.cast("string"), F.lit("")))
+    # only texts that can hold a secret meet the findings; all others stay where they are
+    some = d.filter(possible).withColumn("_blob", F.sha2(text.cast("string").cast("binary"), 256))
+    some = some.join(small(hits, hits.count(), 100_000), F.col("_blob") == F.col("blob"), "left")
+    some = some.withColumn("_clean", F.when(F.col("_spans").isNotNull(), secrets.redact(text, F.col("_spans"))).otherwise(text))
     out = []
     for c, inner in names.items():
         if c == "text":
-            out.append(F.col("_clean").alias(c))
+            out.append(F.col("_clean").alias(inner))
         elif c == "n_chars":
             kind = docs.schema[c].dataType
-            out.append(F.when(F.col("_spans").isNotNull(), F.length("_clean").cast(kind)).otherwise(F.col(inner)).alias(c))
+            out.append(F.when(F.col("_spans").isNotNull(), F.length("_clean").cast(kind)).otherwise(F.col(inner)).alias(inner))
         else:
-            out.append(F.col(inner).alias(c))
-    return d.select(*out)
+            out.append(F.col(inner))
+    return d.filter(~possible).unionByName(some.select(*out)).toDF(*names)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
