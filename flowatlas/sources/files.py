@@ -71,8 +71,8 @@ def file_columns(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.list_(pa.string()))],
                                              names=["dataset", "file", "exists", "columns"])
 
-    tasks = max(1, min(len(rows), spark.sparkContext.defaultParallelism * 4))
-    table = spark.createDataFrame(rows, "dataset string, file string, exists boolean").repartition(tasks)
+    # a local table of names: Spark deals it over its cores without a shuffle
+    table = spark.createDataFrame(rows, "dataset string, file string, exists boolean")
     return table.mapInArrow(run, FILE_SCHEMA)
 
 
