@@ -111,6 +111,44 @@ def audit_unmapped(raw: DataFrame, country_map: DataFrame, dataset: str,
     return miss.select(F.lit(dataset).alias("dataset"), "country_role", "raw_country_value", "rows")
 
 
+def country_labels(df: DataFrame, dataset: str, roles: dict[str, str]) -> DataFrame:
+    """Every raw country label of a table with its rows, per role (``roles``:
+    role -> raw column); a missing label is counted too. One scan, counted
+    before the shuffle."""
+    each = F.explode(F.array(*[F.struct(F.lit(role).alias("country_role"), F.col(c).alias("raw_country_value"))
+                               for role, c in roles.items()]))
+    return (df.select(each.alias("e")).select(F.lit(dataset).alias("dataset"), "e.*")
+            .groupBy("dataset", "country_role", "raw_country_value").agg(F.count(F.lit(1)).alias("rows")))
+
+
+def resolve_labels(labels: DataFrame, country_map: DataFrame) -> DataFrame:
+    """``labels`` with ``country_std``, ``iso3``, ``mapping_status`` and
+    ``map_eligible_flag``. Every distinct label, whatever the table and role it
+    comes from, meets the map once. A label that the map lacks is ``unmapped``,
+    a null or blank one ``missing``, neither is eligible; of several entries of
+    one label the least counts."""
+    entry = F.struct("country_std", "iso3", "mapping_status", "map_eligible_flag")
+    known = country_map.filter("label_key IS NOT NULL").groupBy("label_key").agg(F.min(entry).alias("_e"))
+    keyed = labels.withColumn("_key", label_key("raw_country_value"))
+    keys = keyed.filter("_key <> ''").select("_key").distinct()
+    found = keys.join(known, F.col("_key") == F.col("label_key")).select("_key", "_e")
+    blank = F.coalesce(F.col("_key") == "", F.lit(True))
+    return keyed.join(found, "_key", "left").select(
+        *labels.columns, "_e.country_std", "_e.iso3",
+        F.when(blank, F.lit("missing")).when(F.col("_e").isNull(), F.lit("unmapped")).otherwise(F.col("_e.mapping_status")).alias("mapping_status"),
+        F.when(F.col("_e").isNull(), F.lit(False)).otherwise(F.col("_e.map_eligible_flag")).alias("map_eligible_flag"))
+
+
+def audit_label_mapping(resolved: DataFrame) -> DataFrame:
+    """``resolve_labels``' rows and labels per dataset, role, status and map flag."""
+    return resolved.groupBy("dataset", "country_role", "mapping_status", "map_eligible_flag").agg(
+        F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("labels"))
+
+
+def unmapped_labels(resolved: DataFrame) -> DataFrame:
+    return resolved.filter("mapping_status = 'unmapped'").select("dataset", "country_role", "raw_country_value", "rows")
+
+
 def _check(df1row: DataFrame, check: str, ok, detail) -> DataFrame:
     return df1row.select(F.lit(check).alias("check"),
                          F.when(ok, F.lit("PASS")).otherwise(F.lit("FAIL")).alias("status"),

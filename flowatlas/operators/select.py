@@ -7,11 +7,14 @@ parquet scan (and prunes ``year`` partitions of the silver table).
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowatlas.functions.columns import ne_keep_null, not_in_keep_null
+from flowatlas.operators.cube import row_count
 from flowatlas.schemas import (
     EXCLUDED_STATUSES, LATEST, UNMAPPED_ISO, Filters, crisis_origin, scope_types,
 )
@@ -115,6 +118,47 @@ def filter_options(df: DataFrame) -> DataFrame:
     )
 
 
+COVERAGE = "rows BIGINT, year_min INT, year_max INT, years ARRAY<INT>, origin_countries ARRAY<STRING>, host_countries ARRAY<STRING>"
+
+
+def dataset_coverage(tables: dict[str, DataFrame]) -> DataFrame:
+    """One row: the map dataset -> struct of rows, first and last year, years and
+    countries (``COVERAGE``). A table without a country column has null there,
+    an empty one no years. Each table is read once and gives one row; the map
+    has an entry per table, whatever their sizes."""
+    def side(df: DataFrame, role: str):
+        c = f"{role}_country_std"
+        return (F.array_sort(F.collect_set(c)) if c in df.columns else F.lit(None)).cast("array<string>").alias(f"{role}_countries")
+
+    def entry(name: str, df: DataFrame) -> DataFrame:
+        n = F.coalesce(row_count(df), F.lit(0)).cast("bigint")  # of the cube: the cells behind its rows
+        year = F.col("year").cast("int")
+        return df.agg(F.struct(
+            n.alias("rows"), F.min(year).alias("year_min"), F.max(year).alias("year_max"),
+            F.array_sort(F.collect_set(year)).alias("years"), side(df, "origin"), side(df, "host")).alias("coverage")).select(
+                F.lit(name).alias("dataset"), "coverage")
+
+    each = reduce(DataFrame.unionByName, [entry(n, df) for n, df in tables.items()])
+    return each.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("dataset", "coverage")))).alias("dataset_coverage"))
+
+
+def filter_options_document(df: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
+    """The filter options as one JSON document: ``filter_options`` of ``df``, the
+    coverage of every table and the years of all of them together."""
+    doc = filter_options(df).withColumn("dataset_coverage", dataset_coverage(tables).scalar())
+    bounds = F.map_values("dataset_coverage")
+    doc = doc.withColumns({"all_dataset_year_min": F.array_min(F.transform(bounds, lambda x: x["year_min"])),
+                           "all_dataset_year_max": F.array_max(F.transform(bounds, lambda x: x["year_max"]))})
+    return doc.select(F.to_json(F.struct(*doc.columns)).alias("document"))
+
+
+def read_coverage(document: DataFrame) -> DataFrame:
+    """The coverage in a JSON document again, one row per dataset."""
+    kind = f"struct<dataset_coverage: map<string, struct<{', '.join(f.strip().replace(' ', ': ', 1) for f in COVERAGE.split(','))}>>>"
+    return (document.select(F.from_json("document", kind).alias("_d"))
+            .select(F.explode("_d.dataset_coverage").alias("dataset", "_c")).select("dataset", "_c.*"))
+
+
 def year_fallback(df: DataFrame, year: int) -> DataFrame:
     """One row: ``year`` if it has rows, otherwise the latest year present."""
     return df.agg(F.coalesce(
@@ -135,6 +179,7 @@ def scope_fallback(selected: DataFrame, whole_scope: DataFrame, min_rows: int =
 
 __all__ = [
     "scope_types", "filter_selection", "clean_entities", "positive_only", "key_not_null",
-    "last_n_years", "year_bounds", "filter_choices", "filter_options", "year_fallback",
+    "last_n_years", "year_bounds", "filter_choices", "filter_options",
+    "dataset_coverage", "filter_options_document", "read_coverage", "year_fallback",
     "scope_fallback", "latest_year", "filter_year",
 ]

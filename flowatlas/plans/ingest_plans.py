@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowatlas.operators import audit as au
@@ -321,6 +324,41 @@ def q_audit_unmapped(spark, sf):
     return _unmapped_df(views(spark, sf))
 
 
+# raw tables and the column of each country role
+RAW_COUNTRIES = {"raw_stock": {"origin": "origin_raw", "host": "host_raw"}, "raw_decisions": {"origin": "origin_raw", "host": "host_raw"},
+                 "raw_apps_monthly": {"host": "host_raw"}, "raw_resettlement": {"origin": "origin_raw", "host": "host_raw"},
+                 "raw_poc": {"origin": "origin_raw", "host": "host_raw"}, "raw_demographics": {"host": "host_raw"}}
+_LABELS_SQL = ", lab AS (" + "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS dataset, '{role}' AS country_role, {c} AS raw_country_value, count(*) AS rows FROM {t} GROUP BY {c}"
+    for t, roles in RAW_COUNTRIES.items() for role, c in roles.items()) + """)
+, res AS (SELECT lab.*, CASE WHEN coalesce(trim(raw_country_value), '') = '' THEN 'missing'
+                             WHEN m.label_key IS NULL THEN 'unmapped' ELSE m.mapping_status END AS mapping_status,
+                 CASE WHEN m.label_key IS NULL THEN false ELSE m.map_eligible_flag END AS map_eligible_flag
+          FROM lab LEFT JOIN country_map m ON m.label_key = upper(trim(lab.raw_country_value)))
+"""
+
+
+def _resolved_labels(spark, sf):
+    cat = views(spark, sf)
+    labels = reduce(DataFrame.unionByName, [au.country_labels(cat.view(t), t, roles) for t, roles in RAW_COUNTRIES.items()])
+    return au.resolve_labels(labels, cat.view("country_map"))
+
+
+@register("audit_country_mapping_all", _LABELS_SQL + """
+SELECT dataset, country_role, mapping_status, map_eligible_flag, cast(sum(rows) AS bigint) AS rows, count(*) AS labels
+FROM res GROUP BY dataset, country_role, mapping_status, map_eligible_flag
+""", views=(*RAW_COUNTRIES, "country_map"))
+def q_audit_country_mapping_all(spark, sf):
+    return au.audit_label_mapping(_resolved_labels(spark, sf))
+
+
+@register("audit_unmapped_all", _LABELS_SQL + """
+SELECT dataset, country_role, raw_country_value, rows FROM res WHERE mapping_status = 'unmapped'
+""", views=(*RAW_COUNTRIES, "country_map"))
+def q_audit_unmapped_all(spark, sf):
+    return au.unmapped_labels(_resolved_labels(spark, sf))
+
+
 @register("check_no_row_loss", """
 SELECT 'no_row_loss__stock' AS "check",
        CASE WHEN (SELECT count(*) FROM raw_stock) = (SELECT count(*) FROM stock) THEN 'PASS' ELSE 'FAIL' END AS status,

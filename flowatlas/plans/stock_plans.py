@@ -170,6 +170,31 @@ def q_filter_options(spark, sf):
         "origin_country_count", "host_country_count")
 
 
+_COVERED = {"stock": ("origin", "host"), "decisions": ("origin", "host"), "apps_monthly": ("host",),
+            "resettlement": ("origin", "host"), "demographics_wide": ("host",), "poc_wide": ("origin", "host")}
+
+
+def _coverage_sql(table, roles):
+    names = [f"(SELECT string_agg(c, ',' ORDER BY c) FROM (SELECT DISTINCT {r}_country_std AS c FROM {table}))" if r in roles
+             else "cast(NULL AS varchar)" for r in ("origin", "host")]
+    return f"""SELECT '{table}' AS dataset, count(*) AS rows, min(year) AS year_min, max(year) AS year_max,
+       (SELECT string_agg(cast(y AS varchar), ',' ORDER BY y) FROM (SELECT DISTINCT year AS y FROM {table})) AS years,
+       {names[0]} AS origin_countries, {names[1]} AS host_countries FROM {table}"""
+
+
+@register("filter_options_coverage", "\nUNION ALL\n".join(_coverage_sql(t, r) for t, r in _COVERED.items()), views=tuple(_COVERED))
+def q_filter_options_coverage(spark, sf):
+    """Written into the filter options' JSON document and read back from it."""
+    cat = views(spark, sf)
+    cube = _cube(spark, sf)
+    tables = {t: cube if t == "stock" else cat.view(t) for t in _COVERED}
+    back = sel.read_coverage(sel.filter_options_document(cube, tables))
+    return back.select("dataset", "rows", "year_min", "year_max",
+                       F.array_join(F.transform("years", lambda y: y.cast("string")), ",").alias("years"),
+                       F.array_join("origin_countries", ",").alias("origin_countries"),
+                       F.array_join("host_countries", ",").alias("host_countries"))
+
+
 @register("year_fallback", """
 SELECT cast(coalesce(max(CASE WHEN year = 1990 THEN year END), max(year)) AS int) AS target_year FROM stock
 """)

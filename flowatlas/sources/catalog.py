@@ -54,7 +54,9 @@ def scan_table(spark: SparkSession, path: str, schema=None, fmt: str | None = No
     ``.csv.gz``). CSV columns are bound to ``schema`` by their names in the
     header, in any order; a missing column or a malformed typed value is an
     error. Without a schema all columns are strings. Blanks around values are
-    kept. A single large gzip file is one task: ``spread`` deals its rows out."""
+    kept. A gzip file is read by one task: its rows are rebalanced over tasks of
+    the advisory size behind it (``spread``: over that many); files that can be
+    split are not."""
     p = path.rstrip("/")
     kind = fmt or ("csv" if p.endswith(".csv") or p.endswith(".csv.gz") else "parquet")
     if kind == "parquet":
@@ -72,9 +74,13 @@ def scan_table(spark: SparkSession, path: str, schema=None, fmt: str | None = No
             raise ValueError(f"{path} has no column {', '.join(missing)}")
         bound = T.StructType([known.get(c, T.StructField(c, T.StringType())) for c in df.columns])
         df = r.schema(bound).option("enforceSchema", False).option("mode", "FAILFAST").csv(path).select(*known)
-    return df.repartition(spread) if spread else df
+    if spread:
+        return df.repartition(spread)
+    return df.hint("rebalance") if p.endswith(UNSPLITTABLE) else df
 
 
+#: suffixes of files that one task must read whole
+UNSPLITTABLE = (".gz",)
 #: columns that ``scan_raw_csv`` adds
 LINE, FILE = "_line", "_file"
 

@@ -7,14 +7,18 @@ import math
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from flowatlas.functions.columns import distance_band, haversine_km
+from flowatlas.operators import audit as au
 from flowatlas.operators import model as ml
 from flowatlas.operators import select as sel
 from flowatlas.operators import spatial as sp
 from flowatlas.operators import stock as st
 from flowatlas.operators.clean import clean_measure, protect_literal_na, reconcile_decision_total
 from flowatlas.schemas import BAND_FAR, BAND_NEAR, BAND_REGIONAL, Filters
+from flowatlas.sources import sinks
+from flowatlas.sources.catalog import scan_first_available
 from flowatlas.sources.sinks import nullify_non_finite
 
 STOCK_DDL = ("year int, population_type_std string, value_observed double, "
@@ -209,3 +213,52 @@ def test_scan_first_available_gzip_csv_and_fallbacks(spark, tmp_path):
     assert empty.count() == 0 and empty.schema == STOCK_SCHEMA
     with pytest.raises(FileNotFoundError):
         scan_first_available(spark, [str(tmp_path / "missing.parquet")], STOCK_SCHEMA, required=True)
+
+
+def test_only_gzip_reads_are_rebalanced(spark, tmp_path):
+    """A gzip candidate is one task's read: an exchange above it deals its rows out; filters still reach the scan."""
+    plain, gz, pq = (str(tmp_path / n) for n in ("t.csv", "t.csv.gz", "t.parquet"))
+    rows = spark.range(50).selectExpr("cast(id AS string) AS k", "'x' AS v")
+    rows.write.parquet(pq)
+    sinks.write_csv(rows, plain)
+    sinks.write_csv(rows, gz, compression="gzip")
+    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("v", T.StringType())])
+    plans = {}
+    for name, path in (("plain", plain), ("gz", gz), ("pq", pq)):
+        df = scan_first_available(spark, [str(tmp_path / "none"), path], None if name == "pq" else schema).filter("k > 40")
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        assert df.count() == 9
+    assert "Exchange" in plans["gz"] and "GreaterThan(k,40)" in plans["gz"].split("PushedFilters")[1]
+    assert "Exchange" not in plans["plain"] and "Exchange" not in plans["pq"]
+
+
+def test_labels_of_several_tables_are_resolved_once(spark):
+    cmap = spark.createDataFrame([("A", "Aland", "AAA", "manual_iso", True), ("A", "Other", "OOO", "manual_iso", True),
+                                  ("B", "Bland", "BBB", None, None), (None, "Null", "NNN", "manual_iso", True)],
+                                 "label_key string, country_std string, iso3 string, mapping_status string, map_eligible_flag boolean")
+    t = spark.createDataFrame([("a", "b"), (" A ", None), ("a", "zz"), (None, "  ")], "o string, h string")
+    u = spark.createDataFrame([("zz",)] * 3, "h string")
+    labels = au.country_labels(t, "t", {"origin": "o", "host": "h"}).unionByName(au.country_labels(u, "u", {"host": "h"}))
+    labels = labels.unionByName(au.country_labels(u.limit(0), "empty", {"host": "h"}))
+    got = au.resolve_labels(labels, cmap)
+    assert got.agg(F.sum("rows")).first()[0] == 11  # no row lost, none twice
+    assert {(r.dataset, r.country_role, r.mapping_status, r.map_eligible_flag): (r.rows, r.labels)
+            for r in au.audit_label_mapping(got).collect()} == {
+        ("t", "origin", "manual_iso", True): (3, 2), ("t", "origin", "missing", False): (1, 1),
+        ("t", "host", None, None): (1, 1), ("t", "host", "missing", False): (2, 2),
+        ("t", "host", "unmapped", False): (1, 1), ("u", "host", "unmapped", False): (3, 1)}
+    assert {tuple(r) for r in au.unmapped_labels(got).collect()} == {("t", "host", "zz", 1), ("u", "host", "zz", 3)}
+
+
+def test_filter_options_document_round_trip(spark):
+    import json
+    stock = spark.createDataFrame([(2001, "P", "A", "B"), (2003, None, "A", None)],
+                                  "year int, population_type_std string, origin_country_std string, host_country_std string")
+    monthly = spark.createDataFrame([(1999, "B")], "year int, host_country_std string")
+    doc = sel.filter_options_document(stock, {"stock": stock, "monthly": monthly, "none": monthly.limit(0)})
+    text = json.loads(doc.first()[0])
+    assert text["years"] == [2001, 2003] and (text["all_dataset_year_min"], text["all_dataset_year_max"]) == (1999, 2003)
+    assert list(text["dataset_coverage"]) == ["monthly", "none", "stock"]
+    assert {r.dataset: tuple(r)[1:] for r in sel.read_coverage(doc).collect()} == {
+        "stock": (2, 2001, 2003, [2001, 2003], ["A"], ["B"]), "monthly": (1, 1999, 1999, [1999], None, ["B"]),
+        "none": (0, None, None, [], None, [])}
