@@ -1,5 +1,5 @@
 """What the operators share: registration, the shared work folder, size-checked
-broadcasts and exact binned quantiles."""
+broadcasts and quantiles from exact bin counts."""
 
 from __future__ import annotations
 

@@ -312,6 +312,70 @@ def test_quality(spark):
     assert quality.judge_documents(frame(spark, [])).count() == 0
 
 
+def numpy_cut(x, share):
+    b = np.sort(np.floor(np.log2(x + 1e-9) * 64))
+    return 2.0 ** ((b[int(np.ceil(share * len(b) - 1e-9)) - 1] + 1) / 64)
+
+
+def numpy_mcd(x):
+    """Mean, covariance and log determinant of one group: the operator's starts and steps in plain numpy."""
+    floor = np.array(list(quality.FLOORS.values()))
+    floored = lambda c: c + np.diag(np.maximum(floor ** 2 - np.diag(c), 0))
+    factor = 0.75 / quality.chi2_cdf(quality.chi2_quantile(0.75, 5), 7)
+    dist = lambda m, c: np.einsum("ij,ij->i", x - m, np.linalg.solve(c, (x - m).T).T)
+
+    def step(m, c):
+        d = dist(m, c)
+        near = x[d <= numpy_cut(d, 0.75)]
+        return near.mean(0), floored(np.cov(near.T, bias=True) * factor)
+
+    med = np.array([numpy_cut(v, 0.5) for v in x.T])
+    dev = np.maximum(1.4826 * np.array([numpy_cut(np.abs(v - a), 0.5) for v, a in zip(x.T, med)]), floor)
+    z = (x - med) / dev
+    sign = z / np.sqrt((z * z).sum(1, keepdims=True) + 1e-12)
+    starts = [np.eye(5)]
+    for c in (np.cov(np.tanh(z).T, bias=True), sign.T @ sign / len(z)):
+        both = np.sqrt(np.outer(np.diag(c), np.diag(c)))
+        starts.append(np.where(both > 1e-12, c / np.maximum(both, 1e-12), 0) * (1 - np.eye(5)) + np.eye(5))
+    found = []
+    for r in starts:
+        m, c = step(*step(med, floored(r * np.outer(dev, dev))))
+        found.append((np.linalg.slogdet(c)[1], m, c))
+    ld, m, c = min(found, key=lambda f: f[0])
+    while True:
+        m2, c2 = step(m, c)
+        if np.linalg.slogdet(c2)[1] >= ld - 1e-9:
+            return dist(m, c), ld, [f[0] for f in found]
+        ld, m, c = np.linalg.slogdet(c2)[1], m2, c2
+
+
+def test_minimum_determinant_equals_numpy(spark):
+    """Three groups, a fifth of one of them spoilt (a core of 0.75 bears a quarter); ``d2`` and the verdict of every row."""
+    r = np.random.default_rng(5)
+    rows, at = [], 0
+    for group, n, bad in (("a", 400, 0.2), ("b", 90, 0.1), ("c", 260, 0.0)):
+        for i in range(n):
+            words = int(np.exp(r.normal(5, 0.8))) + 50
+            spoilt = i < n * bad
+            chars = int(words * (r.normal(9, 0.4) if spoilt else r.normal(4.5, 0.2) + 0.1 * np.log(words)))
+            rows.append((at, "en", group, words, chars, int(words * (0.5 if spoilt else 0.02 * r.random())), int(r.integers(0, 3)),
+                         int(words * r.random() * 0.1)))
+            at += 1
+    df = spark.createDataFrame(rows, "doc_id long, lang string, source string, n_words long, word_chars long, n_symbols long, "
+                                     "n_dup_lines long, n_repeat_words long")
+    got = {x.doc_id: x for x in quality.robust_outliers(df, "n_words > 0").collect()}
+    limit = quality.chi2_quantile(1 - quality.ALPHA, 5)
+    for group in "abc":
+        mine = [x for x in rows if x[2] == group]
+        v = np.array([[np.log1p(w), c / w, np.log1p(100 * s / w), np.log1p(100 * d / w), p / w] for *_, w, c, s, d, p in mine])
+        d2, last, first = numpy_mcd(v)
+        assert last <= min(first)
+        assert np.allclose([got[x[0]].d2 for x in mine], d2, rtol=1e-6, atol=1e-9)
+        assert [got[x[0]].outlier for x in mine] == (d2 > limit).tolist()
+    assert sum(got[x[0]].outlier for x in rows if x[2] == "a") >= 80  # the spoilt rows do not mask themselves
+    assert quality.robust_outliers(df.limit(0), "n_words > 0").count() == 0
+
+
 def test_chi_square():
     assert abs(quality.chi2_quantile(0.95, 5) - 11.0705) < 1e-3 and abs(quality.chi2_cdf(2.0, 2) - (1 - np.exp(-1))) < 1e-12
 
