@@ -134,11 +134,11 @@ def _cholesky(e: DataFrame, keys: list[str]) -> DataFrame:
     return e.withColumn("logdet", logdet).select(*keys, *_ESTIMATE)
 
 
-def _distance(rows: DataFrame, est: DataFrame, estimates: int, extra: tuple = ()) -> DataFrame:
-    """``rows`` with ``d2``, null where the group has no estimate, once for each
-    of the group's estimates. The rows stay where they are if all ``estimates``
-    may be broadcast."""
-    r = rows.join(small(est, estimates), "_g", "left")
+def _distance(rows: DataFrame, est: DataFrame, estimates: int, extra: tuple = (), how: str = "left") -> DataFrame:
+    """``rows`` with ``d2``, once for each of the group's estimates; null (or
+    left out, by ``how``) where it has none. The rows stay where they are if all
+    ``estimates`` may be broadcast."""
+    r = rows.join(small(est, estimates), "_g", how)
     for i, a in enumerate(DIMS):  # forward substitution: L z = x - m
         s = F.col(a) - F.col(f"m_{i}")
         for k in range(i):
@@ -188,7 +188,7 @@ def _starts(used: DataFrame, groups: int, path: str) -> DataFrame:
 def _concentrate(used: DataFrame, est: DataFrame, estimates: int, core: float) -> DataFrame:
     """One concentration step of every estimate: mean and covariance of the
     closest ``core`` share of its group's rows."""
-    near = _distance(used, est, estimates, ("_s",)).filter(F.col("d2").isNotNull())
+    near = _distance(used, est, estimates, ("_s",), "inner")
     cut = binned_cut(near, ["_g", "_s"], "d2", core, "_cut")
     # the covariance of the closest share is too small by this factor
     factor = core / chi2_cdf(chi2_quantile(core, len(DIMS)), len(DIMS) + 2)
@@ -208,8 +208,7 @@ def minimum_determinant(used: DataFrame, groups: int, path: str, core: float = C
     least = F.min(F.struct("logdet", "_s", *[c for c in _ESTIMATE if c != "logdet"])).alias("_e")
     est = save(est.groupBy("_g").agg(least).select("_g", "_e.*").withColumn("_open", F.lit(True)), f"{path}/least")
     for k in range(steps):
-        new = _concentrate(used.join(small(est.filter("_open").select("_g"), groups), "_g", "left_semi"),
-                           est.filter("_open").select("_g", "_s", *_ESTIMATE), groups, core)
+        new = _concentrate(used, est.filter("_open").select("_g", "_s", *_ESTIMATE), groups, core)
         new = new.select("_g", F.struct(*_ESTIMATE).alias("_new"))
         both = est.join(new, "_g", "left").withColumn("_falls", F.coalesce(F.col("_new.logdet") < F.col("logdet") - TOLERANCE, F.lit(False)))
         est = save(both.select("_g", "_s", *[F.when(F.col("_falls"), F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) for c in _ESTIMATE],
