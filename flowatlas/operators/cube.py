@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flowatlas.sources.bucketed import Buckets
+
 ENTITY_COLUMNS = ["country_std", "iso3", "mapping_status", "map_eligible_flag"]
 CUBE_KEYS = (["year", "population_type_std"]
              + [f"origin_{c}" for c in ENTITY_COLUMNS] + [f"host_{c}" for c in ENTITY_COLUMNS])
@@ -38,6 +40,19 @@ def build_cube(stock: DataFrame) -> DataFrame:
     )
 
 
+#: the corridor table is dealt by these columns; at most countries^2 x years x
+#: types rows (some tens of millions) share the buckets
+CORRIDOR_BUCKETS = Buckets(16, ("origin_country_std", "host_country_std"), ("origin_country_std", "host_country_std", "year"))
+
+
+def build_corridors(cube: DataFrame) -> DataFrame:
+    """Totals per (year, population type, origin, host) of rows that name all
+    of year, origin and host: what corridor-years are made of."""
+    return (cube.dropna(subset=["year", *CORRIDOR_BUCKETS.by])
+            .groupBy("year", "population_type_std", *CORRIDOR_BUCKETS.by)
+            .agg(F.sum("value_observed").alias("value_observed")))
+
+
 def row_count(df: DataFrame):
     """Rows behind a group: ``count(*)`` over cells, ``sum(source_rows)``
     over the cube."""

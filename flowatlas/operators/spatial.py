@@ -4,10 +4,11 @@
 (year, origin, host) with a positive total and a centroid at both ends,
 the great-circle distance, its band, and three exact-previous-year lags.
 
-Plan shape: one partial+final aggregation by (year, origin, host); two
-broadcast joins against the centroid dimension (one row per country, a
-bounded dimension); the pair lag is a range window partitioned by
-(origin, host) over the *aggregated* rows; end-point totals are
+Plan shape: one partial+final aggregation by (year, origin, host); the pair
+lag is a range window partitioned by (origin, host) over the *aggregated*
+rows; two joins against the centroid dimension (one row per country, a
+bounded dimension). Over the catalog's corridor table, which is bucketed by
+(origin, host), neither aggregation nor window shuffles. End-point totals are
 aggregated per (year, end) - at most countries x years rows - and joined
 back. A hot origin never reaches one task with raw rows: every shuffle
 carries partial aggregates only.
@@ -50,11 +51,12 @@ def corridor_year(df: DataFrame, centroid: DataFrame) -> DataFrame:
                      F.col("host_country_std").alias("host"))
             .agg(sum0(V).alias(V))
             .filter(F.col(V) > 0))
-    out = with_distance(centroid_join(base, centroid))
     # exact previous calendar year (a range frame: a gap year gives null,
-    # not the previous row's value)
+    # not the previous row's value). A pair lacks a centroid in all years or
+    # in none, so its lag can be taken first: rows dealt by pair stay there.
     pair_w = Window.partitionBy("origin", "host").orderBy("year").rangeBetween(-1, -1)
-    out = out.withColumn("previous_year_flow", F.sum(V).over(pair_w))
+    lagged = base.withColumn("previous_year_flow", F.sum(V).over(pair_w))
+    out = with_distance(centroid_join(lagged, centroid))
 
     def end_prev(end: str, name: str) -> DataFrame:
         tot = out.groupBy("year", end).agg(F.sum(V).alias("_t"))

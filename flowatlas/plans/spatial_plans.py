@@ -51,7 +51,7 @@ CY_VIEWS = ("stock", "centroid")
 
 def corridor_year_df(spark, sf, f: Filters = F_ALL, feature_scope: str = "selection"):
     cat = views(spark, sf)
-    return sp.corridor_year_for(cat.cube(), cat.view("centroid"), f, feature_scope)
+    return sp.corridor_year_for(cat.corridors(), cat.view("centroid"), f, feature_scope)
 
 
 def _pairs(spark, sf):

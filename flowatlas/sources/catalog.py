@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from flowatlas.schemas import DRIVER_SCHEMAS
 from flowatlas.session import stable_dir
-from flowatlas.sources import fixtures, gate
+from flowatlas.sources import bucketed, fixtures, gate
 from flowatlas.sources.files import require_columns
 
 # Views worth materialising: the line-item join (once), then the tables
@@ -150,7 +150,7 @@ def source_key(spark: SparkSession, sf_dir: str) -> str:
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     h = hashlib.sha256()
-    for module in (fixtures, cube, gate):
+    for module in (fixtures, cube, gate, bucketed):
         h.update(inspect.getsource(module).encode())
     h.update(repr(SILVER_CHECKS).encode())
     for t in fixtures.DRIVER_TABLES:
@@ -220,18 +220,22 @@ class Catalog:
         self.view(SILVER_VIEWS[0])
         with ThreadPoolExecutor(max_workers=threads) as ex:
             list(ex.map(self.view, SILVER_VIEWS[1:]))
-        self.cube()
+        self.corridors()  # built from the cube
 
-    def _materialize(self, name: str, df: DataFrame) -> DataFrame:
+    def _materialize(self, name: str, df: DataFrame, buckets: bucketed.Buckets | None = None) -> DataFrame:
         """Writes a silver table aside, with its checks counted by the writing
-        job, and publishes it only if none of them blocks."""
+        job, and publishes it only if none of them blocks. With ``buckets`` it
+        is bucketed, else partitioned by year where it has one."""
         path = f"{self.silver_dir}/{name}"
         if not path_exists(self.spark, f"{path}/_SUCCESS"):
             self.guard()
             # written aside and renamed: other applications see all of it or nothing
             aside = f"{self.silver_dir}/.{name}-{uuid.uuid4().hex}"
             checks = SILVER_CHECKS.get(name, ())
-            if "year" in df.columns:
+            if buckets:
+                out, seen = gate.observe(bucketed.deal(df, buckets), name, checks)
+                bucketed.write(out, aside, buckets)
+            elif "year" in df.columns:
                 # REBALANCE by year: AQE sizes the output partitions to the
                 # advisory size and splits a hot year over several tasks, so
                 # each year gets a few well-sized files instead of one small
@@ -247,6 +251,8 @@ class Catalog:
                 raise gate.QualityGateError(name, rows, aside)
             gate.record(self.spark, f"{self.silver_dir}/gate-{name}.json", rows)
             _publish(self.spark, aside, path)
+        if buckets:
+            return bucketed.read(self.spark, df.schema, path, buckets)
         # the fixture's schema and column order: nothing is read for it
         return self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
@@ -318,20 +324,30 @@ class Catalog:
 
     def cube(self) -> DataFrame:
         """The stock cube (``operators.cube``), written once as silver."""
-        key = "__final__stock_cube"
+        from flowatlas.operators.cube import build_cube
+        return self._derived("stock_cube", self.stock, build_cube)
+
+    def corridors(self) -> DataFrame:
+        """Corridor totals (``operators.cube``), written once, bucketed by
+        (origin, host): per-pair grouping and lags read them without a shuffle."""
+        from flowatlas.operators.cube import CORRIDOR_BUCKETS, build_corridors
+        return self._derived("corridors", self.cube, build_corridors, CORRIDOR_BUCKETS)
+
+    def _derived(self, name: str, source, build, buckets: bucketed.Buckets | None = None) -> DataFrame:
+        """A silver table built from another one, once per catalog."""
+        key = f"__final__{name}"
         with _LOCK:
             tables = self._tables()
             if key in tables:
                 return tables[key]
-        from flowatlas.operators.cube import build_cube
-        stock = self.stock()
-        with self._lock_for("stock_cube"):
+        src = source()
+        with self._lock_for(name):
             with _LOCK:
                 if key in tables:
                     return tables[key]
-            df = build_cube(stock)
+            df = build(src)
             if self.silver_dir:
-                df = self._materialize("stock_cube", df)
+                df = self._materialize(name, df, buckets)
             with _LOCK:
                 tables[key] = df
             return df

@@ -52,10 +52,10 @@ def _raw_row_exchanges(node, out):
         cur = kids[0]
         while True:
             n = cur.nodeName()
-            if "Scan" in n:
+            if n.startswith("Scan ") and "ExistingRDD" not in n:  # files; a table that the driver made is bounded
                 out.append(node.toString().splitlines()[0])
                 break
-            if any(p in n for p in _PASS_THROUGH) and cur.children().size() == 1:
+            if n.split(" (")[0] in _PASS_THROUGH and cur.children().size() == 1:
                 cur = cur.children().apply(0)
                 continue
             break
@@ -64,8 +64,10 @@ def _raw_row_exchanges(node, out):
 
 
 # gzip CSV is not splittable: its one-task read is spread out on purpose; a
-# conversation's digest is one hash over its turns in order, so its windows must meet
-RAW_SHUFFLE_OK = {"scan_stock", "fit_forest", "op13_chat_windows"}
+# conversation's digest is one hash over its turns in order, so its windows must meet;
+# the leaves of distance_uncertainty are numbered in the model's own saved nodes, which
+# grow with the model and not with the data
+RAW_SHUFFLE_OK = {"scan_stock", "fit_forest", "op13_chat_windows", "distance_uncertainty"}
 
 
 @pytest.mark.parametrize("key", sorted(k for k in QUERIES if k not in RAW_SHUFFLE_OK))
@@ -74,7 +76,7 @@ def test_no_raw_row_shuffle(spark, key):
     partial aggregates: no query shuffles raw rows."""
     plan = QUERIES[key](spark, SF_SMALL)._jdf.queryExecution().executedPlan()
     if plan.nodeName() == "AdaptiveSparkPlan":
-        plan = plan.inputPlan()
+        plan = plan.initialPlan()  # with the exchanges; inputPlan has none yet
     out = []
     _raw_row_exchanges(plan, out)
     assert not out, f"{key}: {out}"
