@@ -21,9 +21,11 @@ evidence to probability is fitted on counts per evidence bin and label.
 
 Sizes: counts are grouped by Spark; the lexicon is broadcast after its rows
 are counted (it holds significant words only, so it grows with the
-vocabulary, not with the corpus) and beyond ``LEXICON_ROWS`` refused with an
-error that names the parameter to raise; the curve is fitted on at most a few
-hundred counts.
+vocabulary, not with the corpus). Beyond ``LEXICON_ROWS`` it stays a table and
+words meet it in a shuffle join, one row per distinct word of 256 texts, so a
+word of a third of all texts is 256 times rarer there, and AQE divides what is
+still skewed; scores are the same. The curve is fitted on at most a few hundred
+counts.
 
 Defined results: null or empty text has no words and the evidence of none.
 Labels that are null or contradict each other evenly are not learned from;
@@ -37,9 +39,11 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,7 +58,8 @@ DRIFT = 0.1             # what any other word costs
 MIN_TEXTS = 5           # texts that a word or beginning needs to speak for itself
 E_VALUE = 0.05          # a passage is significant up to this E-value
 THRESHOLD = 0.7
-LEXICON_ROWS = 5_000_000
+LEXICON_ROWS = 5_000_000  # rows that are broadcast; larger lexicons are joined
+TEXTS = 256             # texts that are hashed together
 _EULER = 0.5772156649015329
 
 
@@ -82,8 +87,8 @@ def word_counts(texts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher(NON_ALNUM, prefixes=PREFIXES)
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for at in range(0, batch.num_rows, TEXTS):
+                part = batch.slice(at, TEXTS)
                 levels, first = hasher.levels(part.column(2).to_pylist())
                 kind = np.repeat(part.column(0).to_numpy() * 2 + part.column(1).to_numpy(), np.diff(first))
                 doc = np.repeat(np.arange(part.num_rows), np.diff(first))
@@ -140,13 +145,20 @@ class Lexicon:
         return place[order], value[order]
 
 
-def lexicon(counts: DataFrame, folds: tuple[int, ...], limit: int = LEXICON_ROWS) -> tuple[Lexicon, float]:
-    """Scores learned from the given folds of ``counts`` (word, p6, p4, c00, c01, c10, c11)."""
+@dataclass
+class LexiconTable:
+    """A lexicon too large to broadcast: (level, k, s), one row per hash of a level."""
+    rows: DataFrame
+
+
+def lexicon(counts: DataFrame, folds: tuple[int, ...], limit: int | None = None) -> Lexicon | LexiconTable:
+    """Scores learned from the given folds of ``counts`` (word, p6, p4, c00, c01, c10, c11);
+    a table beyond ``limit`` rows (``LEXICON_ROWS``)."""
     c0, c1 = (sum((F.col(f"c{f}{y}") for f in folds[1:]), F.col(f"c{folds[0]}{y}")) for y in (0, 1))
     base = counts.select("word", "p6", "p4", c0.alias("c0"), c1.alias("c1")).filter("c0 + c1 > 0")
     share = base.agg(F.sum("c0"), F.sum("c1")).first()
     if not share[0] or not share[1]:
-        return Lexicon([np.zeros(0, np.uint64)] * 3, [np.zeros(0)] * 3), 0.0
+        return Lexicon([np.zeros(0, np.uint64)] * 3, [np.zeros(0)] * 3)
     root = share[1] / (share[0] + share[1])
 
     def level(df: DataFrame, q: str, parent: Column) -> DataFrame:
@@ -169,9 +181,8 @@ def lexicon(counts: DataFrame, folds: tuple[int, ...], limit: int = LEXICON_ROWS
             .union(l6.filter("s6 <> s4").select(F.lit(1), "p6", "s6"))
             .union(l4.filter("s4 <> 0").select(F.lit(2), "p4", "s4")))
     rows = save(rows, work_dir(counts.sparkSession, "lexicon"))
-    n = rows.count()
-    if n > limit:
-        raise ValueError(f"the lexicon has {n} rows, more than {limit}: raise BOUND or the limit")
+    if rows.count() > (LEXICON_ROWS if limit is None else limit):
+        return LexiconTable(rows)
     t = rows.toArrow()
     lv, k, s = t["level"].to_numpy(), t["k"].to_numpy().view(np.uint64), t["s"].to_numpy()
     keys, scores = [], []
@@ -179,7 +190,7 @@ def lexicon(counts: DataFrame, folds: tuple[int, ...], limit: int = LEXICON_ROWS
         order = np.argsort(k[lv == i])
         keys.append(k[lv == i][order])
         scores.append(s[lv == i][order])
-    return Lexicon(keys, scores), root
+    return Lexicon(keys, scores)
 
 
 # ------------------------------------------------------------------ search
@@ -230,8 +241,8 @@ class Calibration:
 def _scored(batches: Iterator[pa.RecordBatch], lex, text: int) -> Iterator[tuple[pa.RecordBatch, int, int, list]]:
     hasher = WordHasher(NON_ALNUM, prefixes=PREFIXES)
     for batch in batches:
-        for at in range(0, batch.num_rows, 256):
-            part = batch.slice(at, 256)
+        for at in range(0, batch.num_rows, TEXTS):
+            part = batch.slice(at, TEXTS)
             levels, first = hasher.levels(part.column(text).to_pylist())
             use = lex(part)
             place, value = use.score(levels)
@@ -240,7 +251,71 @@ def _scored(batches: Iterator[pa.RecordBatch], lex, text: int) -> Iterator[tuple
                          for a, b, i, j in zip(first[:-1], first[1:], ends[:-1], ends[1:])]
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> tuple[Lexicon, Calibration]:
+def joined_hits(texts: DataFrame, lex: LexiconTable) -> DataFrame:
+    """The columns of ``texts`` but the last, its binary text, of which come
+    ``_n`` (words), ``_place`` and ``_value`` (of its scoring words): what
+    ``Lexicon.score`` finds, by a join.
+
+    One written table holds a row per text and a row per distinct word of each
+    ``TEXTS`` texts, so both sides of the later joins agree on the texts' numbers
+    whatever is computed again. A text's hits meet in one row, as its words did."""
+    spark = texts.sparkSession
+    carry, text = texts.columns[:-1], len(texts.columns) - 1
+    path = work_dir(spark, "words")
+    like = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in texts.schema.fields[:-1])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher, done = WordHasher(NON_ALNUM, prefixes=PREFIXES), TaskContext.get().partitionId() << 40
+        longs = pa.list_(pa.int64())
+        for batch in batches:
+            for at in range(0, batch.num_rows, TEXTS):
+                part = batch.slice(at, TEXTS)
+                levels, first = hasher.levels(part.column(text).to_pylist())
+                ids = done + np.arange(part.num_rows)
+                done += part.num_rows
+                size = np.diff(first)
+                none = pa.nulls(part.num_rows, pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns[:-1], pa.array(ids), pa.array(size.astype(np.int64)), none, none, none,
+                     pa.nulls(part.num_rows, longs), pa.nulls(part.num_rows, longs)], names=names)
+                doc = np.repeat(np.arange(part.num_rows), size)
+                place = np.arange(len(doc)) - np.repeat(first[:-1], size)
+                order = np.argsort(levels[0], kind="stable")
+                w = levels[0][order]
+                start = np.flatnonzero(np.concatenate([np.ones(min(1, len(w)), bool), w[1:] != w[:-1]]))
+                bounds = pa.array(np.append(start, len(w)).astype(np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [*[pa.nulls(len(start), c.type) for c in part.columns[:-1]], pa.nulls(len(start), pa.int64()),
+                     pa.nulls(len(start), pa.int64()), *[pa.array(x[order[start]].view(np.int64)) for x in levels],
+                     pa.ListArray.from_arrays(bounds, pa.array(ids[doc[order]])),
+                     pa.ListArray.from_arrays(bounds, pa.array(place[order].astype(np.int64)))], names=names)
+
+    names = [*carry, "_text", "_n", "_w0", "_w1", "_w2", "_texts", "_places"]
+    both = save(texts.mapInArrow(run, f"{like}, _text long, _n long, _w0 long, _w1 long, _w2 long, "
+                                      "_texts array<long>, _places array<long>"), path + "/all")
+    words = both.filter("_texts is not null").select("_w0", "_w1", "_w2", "_texts", "_places")
+    for i in range(len(PREFIXES) + 1):
+        level = lex.rows.filter(F.col("level") == i).select(F.col("k").alias(f"_w{i}"), F.col("s").alias(f"_s{i}"))
+        words = words.join(level, f"_w{i}", "left")
+    value = F.coalesce(*[F.col(f"_s{i}") for i in range(len(PREFIXES) + 1)])
+    hits = (words.select("_texts", "_places", value.alias("_v")).filter("_v <> 0")
+            .select("_v", F.explode(F.arrays_zip("_texts", "_places")).alias("_e"))
+            .groupBy(F.col("_e._texts").alias("_text"))
+            .agg(F.array_sort(F.collect_list(F.struct(F.col("_e._places").alias("p"), F.col("_v").alias("v")))).alias("_hits")))
+    return (both.filter("_texts is null").join(hits, "_text", "left")
+            .select(*carry, "_n", F.coalesce(F.col("_hits.p"), F.array().cast("array<long>")).alias("_place"),
+                    F.coalesce(F.col("_hits.v"), F.array().cast("array<double>")).alias("_value")))
+
+
+def _scored_hits(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list]]:
+    """As ``_scored``, of rows from ``joined_hits``."""
+    for part in batches:
+        n, place, value = (part.column(i) for i in range(part.num_columns - 3, part.num_columns))
+        yield part, [(n[i].as_py(), segments(place[i].values.to_numpy(), value[i].values.to_numpy()))
+                     for i in range(part.num_rows)]
+
+
+def fit(docs: DataFrame, labels: DataFrame) -> tuple[Lexicon | LexiconTable, Calibration]:
     spark = docs.sparkSession
     ship_package(docs.sparkSession)
     path = work_dir(spark, "toxicity")
@@ -250,21 +325,27 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[Lexicon, Calibration]:
     counts = save(word_counts(texts).groupBy("word", "p6", "p4").agg(
         *[F.sum(F.when((F.col("fold") == f) & (F.col("toxic") == y), F.col("n")).otherwise(0)).alias(f"c{f}{y}")
           for f in (0, 1) for y in (0, 1)]), f"{path}/counts")
-    final, _ = lexicon(counts, (0, 1))
+    final = lexicon(counts, (0, 1))
     shares = {r["toxic"]: r["n"] for r in train.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     share = shares.get(1, 0) / max(1, sum(shares.values()))
     if len(shares) < 2:
         return final, Calibration(1.0, 1.0, 0.0, 0.0, share)
-    by_fold = spark.sparkContext.broadcast([lexicon(counts, (1 - f,))[0] for f in (0, 1)])
+    other = [lexicon(counts, (1 - f,)) for f in (0, 1)]
+    binary = texts.select("fold", "toxic", F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("t"))
+    joined = any(isinstance(x, LexiconTable) for x in other)
+    if joined:
+        binary = reduce(DataFrame.unionByName, [joined_hits(binary.filter(F.col("fold") == f), _table(spark, x))
+                                                for f, x in enumerate(other)])
+    by_fold = None if joined else spark.sparkContext.broadcast(other)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, found in _scored(_halves(batches), lambda p: by_fold.value[p.column(0)[0].as_py()], 2):
+        for part, found in (_scored_hits(batches) if by_fold is None else
+                            _scored(_halves(batches), lambda p: by_fold.value[p.column(0)[0].as_py()], 2)):
             yield pa.RecordBatch.from_arrays(
                 [part.column(1), pa.array([n for n, _ in found], pa.int64()),
                  pa.array([[s for _, _, s in seg] for _, seg in found], pa.list_(pa.float64()))],
                 names=["toxic", "words", "scores"])
 
-    binary = texts.select("fold", "toxic", F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("t"))
     held = save(binary.mapInArrow(run, "toxic int, words long, scores array<double>"), f"{path}/held")
     # lambda: sum over clean words of p * exp(lambda * score) = 1, segments standing for their scoring words
     clean = held.filter("toxic = 0")
@@ -291,6 +372,15 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[Lexicon, Calibration]:
     return final, c
 
 
+def _table(spark: SparkSession, lex: Lexicon | LexiconTable) -> LexiconTable:
+    """``lex`` as a table (the other half's lexicon may be the one that is too large)."""
+    if isinstance(lex, LexiconTable):
+        return lex
+    rows = [pa.table({"level": np.full(len(k), i, np.int32), "k": k.view(np.int64), "s": s})
+            for i, (k, s) in enumerate(zip(lex.keys, lex.scores))]
+    return LexiconTable(spark.createDataFrame(pa.concat_tables(rows)))
+
+
 def _halves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Cuts batches so that each holds rows of one fold."""
     for b in batches:
@@ -318,17 +408,18 @@ def _logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray, ridge: float = 1e-2)
     return max(float(w[0]) / scale, 0.01), float(w[1])
 
 
-def score_documents(docs: DataFrame, lex: Lexicon, cal: Calibration, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score_documents(docs: DataFrame, lex: Lexicon | LexiconTable, cal: Calibration, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, _h, score, n_words and the significant passages
     (first word, end, segment score, E-value)."""
     kind = docs.schema[id_col].dataType.simpleString()
     ship_package(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast((lex, cal))
+    joined = isinstance(lex, LexiconTable)
+    shared = docs.sparkSession.sparkContext.broadcast((None if joined else lex, cal))
     passage = pa.struct([("first", pa.int64()), ("end", pa.int64()), ("score", pa.float64()), ("e_value", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lex, cal = shared.value
-        for part, found in _scored(batches, lambda _: lex, 2):
+        for part, found in _scored_hits(batches) if joined else _scored(batches, lambda _: lex, 2):
             rows = []
             for n, seg in found:
                 e = [cal.k * max(n, 1) * math.exp(-min(cal.lam * s, 700)) for _, _, s in seg]
@@ -339,7 +430,8 @@ def score_documents(docs: DataFrame, lex: Lexicon, cal: Calibration, id_col: str
                  pa.array(rows, pa.list_(passage))], names=["doc_id", "_h", "score", "n_words", "passages"])
 
     t = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(t).alias("_h"), t.cast("binary").alias("t")).mapInArrow(
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(t).alias("_h"), t.cast("binary").alias("t"))
+    return (joined_hits(texts, lex) if joined else texts).mapInArrow(
         run, f"doc_id {kind}, _h long, score double, n_words long, "
              "passages array<struct<first:long,end:long,score:double,e_value:double>>")
 

@@ -436,6 +436,39 @@ def test_toxicity_learns(spark):
     assert all(re.match("grob|scound", words[p["first"]]) for p in toxic[0].passages)
 
 
+def test_toxicity_joined_lexicon(spark, monkeypatch):
+    """Beyond the broadcast limit the lexicon is joined: the same rows come out."""
+    r, rows, labels = random.Random(6), [], []
+    for i in range(300):
+        w = prose(3000 + i, r.randint(5, 80)).split()
+        if i % 6 == 0:
+            w = [r.choice(["grobian", "grobling", "grobster", "scoundrel"]) if r.random() < 0.2 else x for x in w]
+        rows.append((i, " ".join(w), "en", "a", 0))
+        labels.append((i, int(i % 6 == 0)))
+    hot = (400, "grobian and scoundrel " * 5000, "en", "a", 0)  # one word many times in one text
+    docs = frame(spark, rows + [hot, hot, (None, None, None, None, None), (None, "grobian", "en", "a", 0), (700, "", "en", "a", 0)])
+    lab = spark.createDataFrame(labels, "doc_id long, toxic int")
+
+    def result(d):
+        lex, cal = toxicity.fit(d, lab)
+        found = toxicity.score_documents(d, lex, cal).collect()
+        return type(lex), sorted(((str(x.doc_id), x._h, x.n_words, round(x.score, 9),
+                                   [(p.first, p.end, round(p.score, 6)) for p in x.passages]) for x in found))
+
+    kind, want = result(docs)
+    assert kind is toxicity.Lexicon and len(want) == 305 and any(x[4] for x in want)
+    for limit in (10, 0):
+        monkeypatch.setattr(toxicity, "LEXICON_ROWS", limit)
+        kind, got = result(docs)
+        assert kind is toxicity.LexiconTable and got == want
+    # string ids, texts without words, no texts
+    named = docs.withColumn("doc_id", F.concat(F.lit("x"), F.col("doc_id").cast("string")))
+    lex, cal = toxicity.fit(docs, lab)
+    assert sorted(str(x.doc_id) for x in toxicity.score_documents(named, lex, cal).collect()) == sorted(
+        str(x[0]) if x[0] == "None" else "x" + x[0] for x in want)
+    assert toxicity.score_documents(docs.limit(0), lex, cal).count() == 0
+
+
 def test_toxicity_without_labels(spark):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     out = toxicity.score_documents(frame(spark), *toxicity.fit(frame(spark), none)).collect()
