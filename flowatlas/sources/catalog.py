@@ -12,6 +12,7 @@ re-running a four-way join. Without a checkpoint folder the views stay lazy.
 
 from __future__ import annotations
 
+import contextlib
 import hashlib
 import inspect
 import os
@@ -32,6 +33,12 @@ from flowatlas.sources.files import require_columns
 SILVER_VIEWS = ("stock_base", "stock", "decisions", "resettlement", "apps_monthly", "raw_stock",
                 "demographics_wide", "poc_wide", "raw_decisions")
 
+# Those with a row per line item or order. They are written by the tasks that
+# compute them: a shuffle, or a sort by year, would move all their rows once more.
+CELL_VIEWS = ("stock_base", "stock", "decisions", "apps_monthly", "raw_stock", "raw_decisions")
+#: years that a writing task keeps open at once; the rows of a task with more are sorted
+OPEN_YEARS = 64
+
 # What a silver table must hold to be published.
 SILVER_CHECKS: dict[str, tuple[gate.Check, ...]] = {
     "stock": (gate.no_negative("value_observed"), gate.Check("year_missing", "year IS NULL", blocks=False)),
@@ -235,11 +242,18 @@ class Catalog:
             if buckets:
                 out, seen = gate.observe(bucketed.deal(df, buckets), name, checks)
                 bucketed.write(out, aside, buckets)
+            elif name in CELL_VIEWS:
+                # as many files per year as there are tasks (at most), of the
+                # shares of a split or of a partition that AQE sized
+                out, seen = gate.observe(df, name, checks)
+                w = out.write.mode("overwrite").option("maxRecordsPerFile", 5_000_000)
+                with unsorted_writes(self.spark, OPEN_YEARS):
+                    (w.partitionBy("year") if "year" in df.columns else w).parquet(aside)
             elif "year" in df.columns:
-                # REBALANCE by year: AQE sizes the output partitions to the
-                # advisory size and splits a hot year over several tasks, so
-                # each year gets a few well-sized files instead of one small
-                # file per input task (or one huge task for a big year)
+                # aggregated rows, few. REBALANCE by year: AQE sizes the output
+                # partitions to the advisory size and splits a hot year over
+                # several tasks, so each year gets a few well-sized files
+                # instead of one small file per task
                 out, seen = gate.observe(df.hint("rebalance", "year").sortWithinPartitions("year"), name, checks)
                 (out.write.mode("overwrite").option("maxRecordsPerFile", 5_000_000)
                  .partitionBy("year").parquet(aside))
@@ -353,6 +367,33 @@ class Catalog:
             return df
 
 
+#: per session: (writes that want it now, what the setting was before)
+_UNSORTED: dict[SparkSession, tuple[int, str | None]] = {}
+_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+
+
+@contextlib.contextmanager
+def unsorted_writes(spark: SparkSession, folders: int):
+    """Partitioned writes inside keep up to ``folders`` files open in a task
+    instead of sorting its rows first. The last of several concurrent ones sets
+    the session back to what it was."""
+    with _LOCK:
+        n, before = _UNSORTED.get(spark) or (0, spark.conf.get(_WRITERS, None))
+        _UNSORTED[spark] = n + 1, before
+        spark.conf.set(_WRITERS, str(folders))
+    try:
+        yield
+    finally:
+        with _LOCK:
+            n, before = _UNSORTED.pop(spark)
+            if n > 1:
+                _UNSORTED[spark] = n - 1, before
+            elif before is None:
+                spark.conf.unset(_WRITERS)
+            else:
+                spark.conf.set(_WRITERS, before)
+
+
 def _publish(spark: SparkSession, aside: str, path: str) -> None:
     """Gives a written table its name, unless another application was first
     (its table holds the same rows)."""
