@@ -50,7 +50,8 @@ def encode_shard(ids: np.ndarray, doc_ids: pa.Array, n_tokens: list[int], bits:
     s = ids
     for shift in range(bits - 1, -1, -1):
         b = ((s >> s.dtype.type(shift)) & s.dtype.type(1)).view(bool) if s.dtype.itemsize == 1 else (s & s.dtype.type(1 << shift)) != 0
-        zeros = s[~b]
+        # places first: numpy finds them without a branch per bit, unlike s[b]
+        ones_at, zeros_at = np.flatnonzero(b), np.flatnonzero(~b)
         packed = np.packbits(b)
         sizes, ones, at = [], [], 0
         for k in range(0, len(packed), BLOCK // 8):
@@ -59,8 +60,8 @@ def encode_shard(ids: np.ndarray, doc_ids: pa.Array, n_tokens: list[int], bits:
             sizes.append(len(blobs[-1]))
             ones.append(at)
             at += int(np.bitwise_count(raw).sum())
-        planes.append({"zeros": len(zeros), "sizes": sizes, "ones": ones})
-        s = np.concatenate([zeros, s[b]])
+        planes.append({"zeros": len(zeros_at), "sizes": sizes, "ones": ones})
+        s = np.concatenate([s[zeros_at], s[ones_at]])
     meta = {"n": len(ids), "bits": bits, "block": BLOCK, "planes": planes}
     table = pa.table({"doc_id": doc_ids, "n_tokens": pa.array(n_tokens, pa.int64())}).replace_schema_metadata(
         {"shard": json.dumps(meta, separators=(",", ":"))})
@@ -172,8 +173,8 @@ class Shard:
             b = np.unpackbits(np.concatenate(packed), count=self.n).view(bool) if packed else np.zeros(0, bool)
             zeros = self.planes[p]["zeros"]
             up = np.empty_like(s)
-            up[b] = s[zeros:] | s.dtype.type(1 << (self.bits - 1 - p))
-            up[~b] = s[:zeros]
+            up[np.flatnonzero(b)] = s[zeros:] | s.dtype.type(1 << (self.bits - 1 - p))
+            up[np.flatnonzero(~b)] = s[:zeros]
             s = up
         return s
 

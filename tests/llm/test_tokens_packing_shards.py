@@ -39,6 +39,32 @@ def test_words_of_equal_hash_keep_their_own_ids(n):
             assert all(np.array_equal(a, b) for a, b in zip(got, enc._library(batch)))
 
 
+@pytest.mark.parametrize("spread", [0, 7, (1 << 64) - 1])
+def test_hash_table_tells_words_of_one_hash_and_one_slot_apart(monkeypatch, spread):
+    """Hashes cut to a few values: every batch mixes words of one hash, of all
+    lengths around the pieces of eight bytes; more batches than slots at first."""
+    from flowatlas.llm import tokens
+    real = tokens.mix
+    monkeypatch.setattr(tokens, "mix", lambda x: real(x) & np.uint64(spread))
+    r = random.Random(3)
+    words = ["".join(r.choice("abé") for _ in range(n)) for n in (*range(1, 20), 31, 32, 33, 63, 64, 65, 66, 200) for _ in range(3)]
+    words += [w[:-1] + "z" for w in words if len(w) > 1] + ["a\0", "a"]
+    enc = TextEncoder(tokenizer_path())
+    for _ in range(4):
+        texts = [" ".join(r.choices(words, k=r.randint(0, 9))) for _ in range(150)] + [f"w{i:05d} x{r.random()}" for i in range(100)]
+        got = [np.frombuffer(b, enc.dtype) for b in enc.encode([t.encode() for t in texts])]
+        assert all(np.array_equal(a, b) for a, b in zip(got, enc._library(texts), strict=True))
+
+
+def test_table_finds_kept_words_and_no_others():
+    enc = TextEncoder(tokenizer_path())
+    words = [f"{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676 % 26)}" for i in range(9000)]
+    enc._plain([" ".join(words).encode()])
+    assert len(enc.keys) == 9000 and len(enc.slots) >= 3 * 9000
+    assert enc._find(enc.keys).tolist() == list(range(9000))
+    assert set(enc._find(enc.keys + np.uint64(1)).tolist()) == {-1}
+
+
 def _ids(enc, text):
     return np.append(enc._library([text or ""])[0].astype("<u4"), np.uint32(1))
 
