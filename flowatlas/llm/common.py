@@ -1,8 +1,9 @@
 """What the operators share: registration, the shared work folder, size-checked
-broadcasts and quantiles from exact bin counts."""
+broadcasts, quantiles from exact bin counts, and what worker processes keep."""
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
@@ -10,6 +11,7 @@ import zipfile
 from collections.abc import Callable, Sequence
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -64,6 +66,22 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
+#: what a worker process keeps from task to task (encoders with their words)
+KEPT: dict = {}
+
+
+def let_go() -> None:
+    """For the start of a task that uses nothing of ``KEPT``: Spark hands the
+    workers of one stage to the next, so what an earlier operator kept there would
+    stay beside this one's data. Freed memory goes back to the system."""
+    KEPT.clear()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError, TypeError):  # another C library: it keeps its free memory
+        pass
+
+
 def work_dir(spark: SparkSession, key: str) -> str:
     """A new folder of this call under the shared checkpoint folder (tables
     written there survive lost executors)."""

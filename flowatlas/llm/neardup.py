@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowatlas.llm.common import register, save, ship_package, small, work_dir
+from flowatlas.llm.common import let_go, register, save, ship_package, small, work_dir
 from flowatlas.llm.graph import components
 from flowatlas.llm.textops import SPACE, WordHasher, groups, shingle_sets
 
@@ -77,6 +77,7 @@ def signature(shingles: np.ndarray) -> np.ndarray:
 
 
 def _sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
+    let_go()
     hasher = WordHasher(SPACE)
     for batch in batches:
         for at in range(0, batch.num_rows, 256):

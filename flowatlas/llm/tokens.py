@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
+from flowatlas.llm.common import KEPT
 from flowatlas.llm.textops import LOWER_TABLE, mix
 
 END_ID = 1
@@ -45,8 +46,6 @@ PIECED = 64
 _PIECE = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)  # the first n bytes of eight
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
-_loaded: dict[str, "TextEncoder"] = {}
-
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
@@ -253,10 +252,10 @@ class TextEncoder:
 
 
 def encoder(path: str) -> TextEncoder:
-    """One per worker process and tokenizer file."""
-    if path not in _loaded:
-        _loaded[path] = TextEncoder(path)
-    return _loaded[path]
+    """One per worker process and tokenizer file, until a task lets it go."""
+    if path not in KEPT:
+        KEPT[path] = TextEncoder(path)
+    return KEPT[path]
 
 
 def crc32_u32(ids: np.ndarray) -> int:

@@ -47,7 +47,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowatlas.llm.common import register, save, ship_package, small, work_dir
+from flowatlas.llm.common import let_go, register, save, ship_package, small, work_dir
 from flowatlas.llm.textops import NON_ALNUM, WordHasher
 
 PREFIXES = (6, 4)       # bytes of a word that its prior is taken from, in turn
@@ -85,6 +85,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
     """(word, p6, p4, fold, toxic, n): texts of each kind that hold each word, added up per batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         hasher = WordHasher(NON_ALNUM, prefixes=PREFIXES)
         for batch in batches:
             for at in range(0, batch.num_rows, TEXTS):
@@ -239,6 +240,7 @@ class Calibration:
 
 
 def _scored(batches: Iterator[pa.RecordBatch], lex, text: int) -> Iterator[tuple[pa.RecordBatch, int, int, list]]:
+    let_go()
     hasher = WordHasher(NON_ALNUM, prefixes=PREFIXES)
     for batch in batches:
         for at in range(0, batch.num_rows, TEXTS):
@@ -265,6 +267,7 @@ def joined_hits(texts: DataFrame, lex: LexiconTable) -> DataFrame:
     like = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in texts.schema.fields[:-1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         hasher, done = WordHasher(NON_ALNUM, prefixes=PREFIXES), TaskContext.get().partitionId() << 40
         longs = pa.list_(pa.int64())
         for batch in batches:
